@@ -82,22 +82,26 @@ def delete_transitions(nets: Nets, deleted: DataFrame) -> Nets:
     )
 
 
-def transition_arcs(nets: Nets) -> DataFrame:
+def directed_arcs(nets: Nets) -> DataFrame:
     """Arcs seen from their transition: (model_id, transition_id, side, place_id, arc_ord).
 
     The first letter of the source decides the direction: p is an input, t an output,
-    anything else is not an arc. A place counts once per side, at its lowest arc.
+    anything else is not an arc.
     """
     kind = F.substring("source", 1, 1)
+    return nets.arcs.where(kind.isin("p", "t")).select(
+        "model_id",
+        F.when(kind == "p", F.col("target")).otherwise(F.col("source")).alias("transition_id"),
+        F.when(kind == "p", "in").otherwise("out").alias("side"),
+        F.when(kind == "p", F.col("source")).otherwise(F.col("target")).alias("place_id"),
+        "arc_ord",
+    )
+
+
+def transition_arcs(nets: Nets) -> DataFrame:
+    """Directed arcs without repeats: a place counts once per side, at its lowest arc."""
     return (
-        nets.arcs.where(kind.isin("p", "t"))
-        .select(
-            "model_id",
-            F.when(kind == "p", F.col("target")).otherwise(F.col("source")).alias("transition_id"),
-            F.when(kind == "p", "in").otherwise("out").alias("side"),
-            F.when(kind == "p", F.col("source")).otherwise(F.col("target")).alias("place_id"),
-            "arc_ord",
-        )
+        directed_arcs(nets)
         .groupBy("model_id", "transition_id", "side", "place_id").agg(F.min("arc_ord").alias("arc_ord"))
     )
 
@@ -223,33 +227,36 @@ def check_nets(nets: Nets, model_ids: list[str]) -> dict[str, ModelFacts]:
     """
     wanted = F.col("model_id").isin(model_ids)
     declared = nets.transitions.where(wanted)
-    names = (
-        declared.groupBy("model_id", "name").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("model_id").agg(F.lit("names").alias("fact"), F.max("n").alias("a"),
-                                 F.sum(F.when(F.col("name").isNull(), F.col("n")).otherwise(0)).alias("b"))
-    )
-    ids = (
-        declared.groupBy("model_id", "transition_id").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("model_id").agg(F.lit("ids").alias("fact"), F.max("n").alias("a"), F.sum("n").alias("b"))
+    # one row per use of a transition id or of an event name
+    uses = (
+        declared.select("model_id", F.lit("id").alias("kind"), F.col("transition_id").alias("key"), F.lit(1).alias("declared"))
+        .unionByName(declared.select("model_id", F.lit("name").alias("kind"), F.col("name").alias("key"), F.lit(1).alias("declared")))
+        .unionByName(directed_arcs(nets).where(wanted).select(
+            "model_id", F.lit("id").alias("kind"), F.col("transition_id").alias("key"), F.lit(0).alias("declared")))
     )
-    touched = transition_arcs(nets).where(wanted).withColumnRenamed("transition_id", "used_id")
-    known = declared.select(F.col("model_id").alias("m"), F.col("transition_id").alias("known_id")).distinct()
-    dangling = (
-        touched.join(known, (F.col("m") == F.col("model_id")) & (F.col("known_id") == F.col("used_id")), "left")
-        .groupBy("model_id").agg(F.lit("arcs").alias("fact"), F.count(F.lit(1)).alias("a"),
-                                 F.sum(F.when(F.col("known_id").isNull(), 1).otherwise(0)).alias("b"))
+    is_id, is_name = F.col("kind") == "id", F.col("kind") == "name"
+    rows = (
+        uses.groupBy("model_id", "kind", "key").agg(F.sum("declared").alias("declared"), F.count(F.lit(1)).alias("uses"))
+        .groupBy("model_id").agg(
+            F.sum(F.when(is_id, F.col("declared"))).alias("transitions"),
+            F.sum(F.when(is_id, F.col("uses") - F.col("declared"))).alias("arcs"),
+            F.max(F.when(is_name, F.col("declared"))).alias("most_per_name"),
+            F.max(F.when(is_id, F.col("declared"))).alias("most_per_id"),
+            F.count(F.when(is_id & (F.col("declared") == 0), 1)).alias("dangling"),
+            F.count(F.when(is_name & F.col("key").isNull(), 1)).alias("unnamed"))
     )
-    facts = {(r.model_id, r.fact): r for r in names.unionByName(ids).unionByName(dangling).collect()}
+    # one row per run's model
+    facts = {row.model_id: row for row in rows.collect()}
     checked = {}
     for model in model_ids:
-        if (model, "ids") not in facts:
+        fact = facts.get(model)
+        if fact is None or not fact.transitions:
             raise ValueError(f"model {model} has no transitions")
-        by_name, by_id, by_arc = (facts.get((model, fact)) for fact in ("names", "ids", "arcs"))
-        if by_id.a > 1:
+        if fact.most_per_id > 1:
             raise ValueError(f"model {model} uses a transition id twice")
-        if by_name.b:
+        if fact.unnamed:
             raise ValueError(f"model {model} has a transition without a name")
-        if by_arc is not None and by_arc.b:
+        if fact.dangling:
             raise ValueError(f"model {model} has an arc to a transition it does not declare")
-        checked[model] = ModelFacts(by_id.b, by_arc.a if by_arc else 0, by_name.a)
+        checked[model] = ModelFacts(fact.transitions, fact.arcs, fact.most_per_name)
     return checked

@@ -19,22 +19,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tracefold.operators.models import Nets, transition_arcs
+from tracefold.operators.models import Nets, directed_arcs
 from tracefold.operators.sessions import Piece, Sessions, union_all, with_session_values
 from tracefold.schemas import STATUS_OK, STATUS_UNKNOWN_EVENT
 
 EFFECTS = "array<struct<place_id:string,c:int,o:int,ord:int,init:int>>"
 
 
-def event_effects(nets: Nets) -> DataFrame:
-    """Per (model_id, event): what firing the event's only transition does to each place."""
+def event_effects(nets: Nets, expected: DataFrame) -> DataFrame:
+    """Per (model_id, event): ``effects``, what the event's only transition does to each place.
+
+    Each row also holds ``closing``, what the end of a session does in that model.
+    """
     is_input = F.col("side") == "in"
+    inits = nets.places.select("model_id", "place_id", F.col("init_tokens").alias("init"))
     touched = (
-        transition_arcs(nets)
+        directed_arcs(nets)
         .groupBy("model_id", "transition_id", "place_id")
         .agg(F.max(is_input.cast("int")).alias("c"), F.max((~is_input).cast("int")).alias("o"),
              F.min(F.when(is_input, F.col("arc_ord"))).alias("ord"))
-        .join(nets.places.select("model_id", "place_id", F.col("init_tokens").alias("init")), ["model_id", "place_id"], "left")
+        .join(inits, ["model_id", "place_id"], "left")
         .withColumns({"ord": F.coalesce("ord", F.lit(-1)), "init": F.coalesce("init", F.lit(0))})
     )
     effect = F.when(F.col("place_id").isNotNull(), F.struct("place_id", "c", "o", "ord", "init"))
@@ -42,20 +46,23 @@ def event_effects(nets: Nets) -> DataFrame:
         nets.transitions.join(touched, ["model_id", "transition_id"], "left")
         .groupBy("model_id", F.col("name").alias("event"))
         .agg(F.collect_list(effect).cast(EFFECTS).alias("effects"))
+        .join(_closing_effects(nets, expected), "model_id", "left")
+        .withColumn("closing", F.coalesce("closing", F.array().cast(EFFECTS)))
     )
 
 
-def closing_effects(nets: Nets, expected: DataFrame) -> DataFrame:
+def _closing_effects(nets: Nets, expected: DataFrame) -> DataFrame:
     """Per model: the expected final marking as consumption, and initial places left untouched.
 
     ``expected`` holds (model_id, expected_final); a place listed k times is consumed k times.
     """
-    initial = nets.places.where(F.col("init_tokens") > 0).select("model_id", "place_id", F.col("init_tokens").alias("init"))
-    wanted = expected.select("model_id", F.posexplode("expected_final").alias("ord", "place_id"))
     inits = nets.places.select("model_id", "place_id", F.col("init_tokens").alias("init"))
-    consumed = wanted.join(inits, ["model_id", "place_id"], "left").select(
-        "model_id", "place_id", F.lit(1).alias("c"), "ord", F.coalesce("init", F.lit(0)).alias("init"))
-    untouched = initial.select("model_id", "place_id", F.lit(0).alias("c"), F.lit(-1).alias("ord"), "init")
+    consumed = (
+        expected.select("model_id", F.posexplode("expected_final").alias("ord", "place_id"))
+        .join(inits, ["model_id", "place_id"], "left")
+        .select("model_id", "place_id", F.lit(1).alias("c"), "ord", F.coalesce("init", F.lit(0)).alias("init"))
+    )
+    untouched = inits.where("init > 0").select("model_id", "place_id", F.lit(0).alias("c"), F.lit(-1).alias("ord"), "init")
     return (
         consumed.unionByName(untouched)
         .groupBy("model_id")
@@ -65,13 +72,12 @@ def closing_effects(nets: Nets, expected: DataFrame) -> DataFrame:
 
 def replay_scan(sessions: Sessions, nets: Nets, expected: DataFrame, hint=F.broadcast) -> DataFrame:
     """Replay sessions that carry ``model_id`` and length ``n``; one result row per session."""
-    effects = hint(event_effects(nets))
-    closing = hint(closing_effects(nets, expected))
-    return union_all(_replay_piece(piece, effects, closing) for piece in sessions.pieces)
+    effects = hint(event_effects(nets, expected))
+    return union_all(_replay_piece(piece, effects) for piece in sessions.pieces)
 
 
-def _replay_piece(piece: Piece, effects: DataFrame, closing: DataFrame) -> DataFrame:
-    rows = piece.rows.join(effects, ["model_id", "event"], "left").join(closing, "model_id", "left")
+def _replay_piece(piece: Piece, effects: DataFrame) -> DataFrame:
+    rows = piece.rows.join(effects, ["model_id", "event"], "left")
     unknown = F.min(F.when(F.col("effects").isNull(), F.struct("pos", "event")))
     known = with_session_values(piece.with_rows(rows), unknown=unknown)
     steps = _token_steps(known)
@@ -85,7 +91,7 @@ def _token_steps(piece: Piece) -> Piece:
     at = lambda name, pos: F.transform(name, lambda e: F.struct(pos.alias("at"), e.alias("effect")))
     all_effects = F.concat(
         at("effects", F.col("pos")),
-        F.when(last & F.col("closing").isNotNull(), at("closing", F.col("n"))).otherwise(F.array()),
+        F.when(last, at("closing", F.col("n"))).otherwise(F.array()),
     )
     rows = (
         piece.rows.where(F.col("unknown").isNull() | (F.col("pos") == 0))

@@ -221,9 +221,14 @@ def trim_end(sessions: Sessions, last_events) -> Sessions:
 
 
 def trim_sessions(sessions: Sessions, first_events, last_events) -> Sessions:
-    """Cut each session to start at its first start event and end at its last end event."""
+    """Cut each session to start at its first start event and end at its last end event.
+
+    Rows also get ``n``, the length of the trimmed session.
+    """
     kept = F.col("pos").between(F.col("start"), F.col("end"))
-    return _narrow(with_bounds(sessions, first_events, last_events), kept, shift=True)
+    bounded = with_bounds(sessions, first_events, last_events)
+    bounded = bounded.map(lambda p: p.with_rows(p.rows.withColumn("n", F.col("end") - F.col("start") + 1)))
+    return _narrow(bounded, kept, shift=True)
 
 
 def extract_logs(log: DataFrame, first_events, last_events, hot_rows: int | None = None) -> Sessions:

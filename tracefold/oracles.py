@@ -212,9 +212,11 @@ SELECT model_id, transition_id FROM transitions t WHERE NOT EXISTS (
   SELECT 1 FROM {sides()} s WHERE s.model_id = t.model_id AND s.transition_id = t.transition_id AND side = '{side}')"""
 
 
-MARKINGS = f"""log AS ({DAY_LOG}), {net_values(["shop_amb"])},
-kinds AS (SELECT DISTINCT case_id AS marking_id, event FROM log),
-held AS (SELECT marking_id, list_distinct(flatten(list(outs))) AS tokens FROM kinds JOIN trs USING (event) GROUP BY marking_id),
+MARKINGS = f"""log AS (
+  SELECT CAST(user_id AS VARCHAR) || '@' || strftime(ts, '%Y-%m-%d') AS marking_id, event_type AS event,
+    'p' || (event_id % 6 + 1) AS place FROM events), {net_values(["shop_amb"])},
+kinds AS (SELECT DISTINCT marking_id, event FROM log),
+held AS (SELECT marking_id, list(DISTINCT place) AS tokens FROM log GROUP BY marking_id),
 ratios AS (
   SELECT marking_id, event, transition_id,
     CASE WHEN len(ins) = 0 THEN 0.0 ELSE len(list_filter(ins, lambda p: NOT list_contains(tokens, p)))::DOUBLE / len(ins) END AS ratio
