@@ -53,32 +53,36 @@ def add_transitions(nets: Nets, added: DataFrame) -> Nets:
     and optionally the two place arrays.
     """
     transitions = _append(nets.transitions, added.select(nets.transitions.columns), "trans_ord")
-    arcs = nets.arcs
-    for column, source, target in (("input_places", "place_id", "transition_id"),
-                                   ("output_places", "transition_id", "place_id")):
-        if column not in added.columns:
-            continue
-        places = added.select("model_id", "trans_ord", "transition_id", F.posexplode(column).alias("nth", "place_id"))
-        # order by transition, then by place within its list
-        by_model = Window.partitionBy("model_id").orderBy("trans_ord", "nth")
-        rows = places.select(
-            "model_id", (F.row_number().over(by_model) - 1).alias("arc_ord"),
-            F.col(source).alias("source"), F.col(target).alias("target"),
-        )
-        arcs = _append(arcs, rows, "arc_ord")
-    return replace(nets, transitions=transitions, arcs=arcs)
+    listed = [c for c in ("input_places", "output_places") if c in added.columns]
+    if not listed:
+        return replace(nets, transitions=transitions)
+    # arc numbers leave every list of a model the same room, so no rows have to be counted in order
+    longest = F.max(F.greatest(F.lit(0), *[F.size(c) for c in listed])).alias("room")
+    roomy = added.join(added.groupBy("model_id").agg(longest), "model_id")
+    place_lists = F.array(*[F.struct(F.lit(k).alias("list"), F.col(c).alias("places")) for k, c in enumerate(listed)])
+    ends = (
+        roomy.select("model_id", "trans_ord", "transition_id", "room", F.inline(place_lists))
+        .select("*", F.posexplode("places").alias("nth", "place_id"))
+    )
+    is_input = F.element_at(F.array(*[F.lit(c == "input_places") for c in listed]), F.col("list") + 1)
+    arcs = ends.select(
+        "model_id", ((F.col("trans_ord") * len(listed) + F.col("list")) * F.col("room") + F.col("nth")).alias("arc_ord"),
+        F.when(is_input, F.col("place_id")).otherwise(F.col("transition_id")).alias("source"),
+        F.when(is_input, F.col("transition_id")).otherwise(F.col("place_id")).alias("target"),
+    )
+    return replace(nets, transitions=transitions, arcs=_append(nets.arcs, arcs, "arc_ord"))
 
 
 def delete_transitions(nets: Nets, deleted: DataFrame) -> Nets:
     """Remove transitions and the arcs touching them; places stay."""
-    gone = deleted.select("model_id", "transition_id").distinct()
-    by_source = gone.withColumnRenamed("transition_id", "source")
-    by_target = gone.withColumnRenamed("transition_id", "target")
+    gone = deleted.select("model_id", "transition_id")
+    leaves_transition = F.substring("source", 1, 1) == "t"
+    arcs = nets.arcs.withColumn("transition_id", F.when(leaves_transition, F.col("source")).otherwise(F.col("target")))
+    key = ["model_id", "transition_id"]
     return replace(
         nets,
-        transitions=nets.transitions.join(gone, ["model_id", "transition_id"], "left_anti"),
-        arcs=nets.arcs.join(by_source, ["model_id", "source"], "left_anti")
-                      .join(by_target, ["model_id", "target"], "left_anti"),
+        transitions=nets.transitions.join(gone, key, "left_anti"),
+        arcs=arcs.join(gone, key, "left_anti").select(nets.arcs.columns),
     )
 
 
@@ -131,9 +135,8 @@ def merge_transitions(nets: Nets, merges: DataFrame) -> Nets:
 
     ``merges`` holds (model_id, transition_id, other_id); the other transition stays as it is.
     """
-    arcs = transition_arcs(nets)
     borrowed = (
-        arcs.withColumnRenamed("transition_id", "other_id")
+        directed_arcs(nets).withColumnRenamed("transition_id", "other_id")
         .join(merges, ["model_id", "other_id"])
         .join(_next_ord(nets.arcs, "arc_ord"), "model_id")
     )

@@ -57,7 +57,7 @@ def order_nets(spark: SparkSession, sf_dir: str) -> M.Nets:
         "transition_id": F.concat(F.lit("t"), "l_linenumber"), "supp": F.col("l_suppkey") % 10, "part": F.col("l_partkey") % 10})
     transitions = (
         lines.groupBy("model_id", F.col("line").alias("trans_ord"), "transition_id")
-        .agg(F.min("l_returnflag").alias("name"))
+        .agg(F.char(F.min(F.ascii("l_returnflag"))).alias("name"))
     )
     kind = F.when(F.col("l_tax") == 0, "s").otherwise("p")
     inputs = lines.where("l_linestatus = 'O'").select(
