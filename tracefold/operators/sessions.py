@@ -23,8 +23,6 @@ from tracefold.local import local_table
 # A case is split once it holds more rows than a task's fair share, never below this.
 SMALLEST_HOT_CASE = 100_000
 CHUNKS_PER_SLOT = 4
-# Equal (case, ts, event) rows travel as one counted run, at most this many per row.
-COPIES_PER_RUN = 1024
 # Events per row wherever sessions are shown or folded as arrays.
 SEGMENT_EVENTS = 2048
 
@@ -135,32 +133,33 @@ def _order_within_task(log: DataFrame) -> Piece:
 def _order_across_tasks(log: DataFrame, sizes: CaseSizes) -> Piece:
     """Order the hot cases by range, so that one case fills many consecutive chunks.
 
-    Copies of one record are counted before the shuffle: a range partitioner cannot
-    cut through equal keys. The chunk number is a partition number, hence the
-    checkpoint: every later use must see the same chunks.
+    A range partitioner cannot cut through equal keys, so copies of a record are first
+    told apart: counted within the task that read them, then numbered. The chunk number
+    is a partition number, hence the checkpoint: every later use must see the same chunks.
     """
     chunks = max(2, -(-sizes.total // sizes.limit))
-    runs = (
-        log.groupBy("case_id", "ts", "event").agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {COPIES_PER_RUN}"))))
-        .withColumn("copies", F.least(F.lit(COPIES_PER_RUN), F.col("copies") - F.col("run") * COPIES_PER_RUN))
-        .repartitionByRange(chunks, "case_id", "ts", "event", "run")
-        .withColumn("chunk", F.spark_partition_id())
+    numbered = (
+        log.withColumn("origin", F.spark_partition_id())
+        .groupBy("case_id", "ts", "event", "origin").agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     )
-    runs = cut_lineage(runs)
-    in_chunk = Window.partitionBy("case_id", "chunk").orderBy("ts", "event", "run")
+    rows = cut_lineage(
+        numbered.repartitionByRange(chunks, "case_id", "ts", "event", "origin", "copy")
+        .select("case_id", F.spark_partition_id().alias("chunk"), "ts", "event")
+    )
+    in_chunk = Window.partitionBy("case_id", "chunk").orderBy("ts", "event")
     before = Window.partitionBy("case_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per hot case and chunk: the sizes of the chunks before it
     offsets = (
-        runs.groupBy("case_id", "chunk").agg(F.sum("copies").alias("in_chunk"))
-        .select("case_id", "chunk", F.coalesce(F.sum("in_chunk").over(before), F.lit(0)).alias("offset"))
+        rows.groupBy("case_id", "chunk").agg(F.count(F.lit(1)).alias("size"))
+        .select("case_id", "chunk", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     )
-    rows = (
-        runs.withColumn("upto", F.sum("copies").over(in_chunk))
+    ordered = (
+        rows.withColumn("nth", F.row_number().over(in_chunk))
         .join(F.broadcast(offsets), ["case_id", "chunk"])
-        .withColumn("first", F.col("offset") + F.col("upto") - F.col("copies"))
-        .withColumn("pos", F.explode(F.sequence("first", F.col("first") + F.col("copies") - 1)))
+        .withColumn("pos", F.col("offset") + F.col("nth") - 1)
     )
-    return Piece(rows.select("case_id", "chunk", "pos", "ts", "event"), split=True)
+    return Piece(ordered.select("case_id", "chunk", "pos", "ts", "event"), split=True)
 
 
 def with_session_values(piece: Piece, **values: Column) -> Piece:
