@@ -7,12 +7,16 @@ a single task.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+# Models up to this many arcs and transitions are broadcast; larger ones are joined by shuffle.
+BROADCAST_MODEL_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Nets:
@@ -177,10 +181,10 @@ def union_nets(*nets: Nets) -> Nets:
     return first
 
 
-def event_transition_lookup(log: DataFrame, nets: Nets) -> DataFrame:
-    """Each event with every transition of its name."""
-    lookup = transition_lookup(nets).withColumnRenamed("name", "event")
-    return log.join(lookup, "event")
+def event_transition_lookup(log: DataFrame, nets: Nets, model_id: str) -> DataFrame:
+    """Each event of a log with every transition of its name in the model."""
+    lookup = transition_lookup(nets).where(F.col("model_id") == model_id).withColumnRenamed("name", "event")
+    return log.join(broadcast_hint(check_nets(nets, [model_id]))(lookup), "event")
 
 
 def missing_ratios(markings: DataFrame, nets: Nets) -> DataFrame:
@@ -263,3 +267,9 @@ def check_nets(nets: Nets, model_ids: list[str]) -> dict[str, ModelFacts]:
             raise ValueError(f"model {model} has an arc to a transition it does not declare")
         checked[model] = ModelFacts(fact.transitions, fact.arcs, fact.most_per_name)
     return checked
+
+
+def broadcast_hint(facts: dict[str, ModelFacts], models: Iterable[str] | None = None) -> Callable[[DataFrame], DataFrame]:
+    """A broadcast for tables of these models if they are small; Spark's own choice of join beyond that."""
+    size = sum(facts[m].arcs + facts[m].transitions for m in models or facts)
+    return F.broadcast if size <= BROADCAST_MODEL_ROWS else lambda df: df

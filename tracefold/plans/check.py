@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracefold.local import local_table
-from tracefold.operators.models import ModelFacts, Nets, check_nets
+from tracefold.operators.context import surrounding_events
+from tracefold.operators.models import ModelFacts, Nets, broadcast_hint, check_nets
 from tracefold.operators.replay_fold import replay_fold
 from tracefold.operators.replay_scan import replay_scan
 from tracefold.operators.sessions import (
@@ -17,9 +18,6 @@ from tracefold.operators.sessions import (
 )
 from tracefold.schemas import RESULT_COLUMNS
 
-# Models up to this many arcs and transitions are broadcast; larger ones are joined by shuffle.
-BROADCAST_MODEL_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class Run:
@@ -87,10 +85,10 @@ def replay_assigned(assigned: Sessions, nets: Nets, runs: Sequence[Run], facts:
     results = []
     if plain:
         chosen, picked = _pick(assigned, plain, facts), [r for r in runs if r.model_id in plain]
-        results.append(replay_scan(chosen, _only(nets, plain), _expected(nets, picked), _hint(facts, plain)))
+        results.append(replay_scan(chosen, _only(nets, plain), _expected(nets, picked), broadcast_hint(facts, plain)))
     if rest:
         chosen, picked = _pick(assigned, rest, facts), [r for r in runs if r.model_id in rest]
-        results.append(replay_fold(chosen, _only(nets, rest), _expected(nets, picked), _hint(facts, rest),
+        results.append(replay_fold(chosen, _only(nets, rest), _expected(nets, picked), broadcast_hint(facts, rest),
                                    segment, share_variants))
     return union_all(results).select(RESULT_COLUMNS)
 
@@ -101,21 +99,14 @@ def _pick(assigned: Sessions, models: list[str], facts: dict[str, ModelFacts]) -
     return assigned.map(lambda p: p.with_rows(p.rows.where(F.col("model_id").isin(models))))
 
 
-def _hint(facts: dict[str, ModelFacts], models: list[str]):
-    size = sum(facts[m].arcs + facts[m].transitions for m in models)
-    return F.broadcast if size <= BROADCAST_MODEL_ROWS else (lambda df: df)
-
-
 def unknown_events(log: DataFrame, nets: Nets, model_id: str) -> DataFrame:
     """Events of a log that no transition of the model is named after."""
-    names = nets.transitions.where(F.col("model_id") == model_id).select(F.col("name").alias("event")).distinct()
-    return log.join(names, "event", "left_anti")
+    names = nets.transitions.where(F.col("model_id") == model_id).select(F.col("name").alias("event"))
+    return log.join(broadcast_hint(check_nets(nets, [model_id]))(names), "event", "left_anti")
 
 
 def generate_report(sessions: Sessions, nets: Nets, runs: Sequence[Run], **options) -> DataFrame:
     """Check results with the events around each missing token."""
-    from tracefold.operators.context import surrounding_events
-
     facts = check_nets(nets, [run.model_id for run in runs])
     assigned = assign_runs(sessions, runs)
     results = replay_assigned(assigned, nets, runs, facts, **options)

@@ -216,9 +216,7 @@ def model_output_transitions(spark, sf_dir):
 
 
 def event_transition_lookup(spark, sf_dir):
-    nets = demo_nets(spark)
-    nets = M.Nets(nets.places, nets.transitions.where("model_id = 'shop_amb'"), nets.arcs)
-    return M.event_transition_lookup(user_log(spark, sf_dir), nets).select(
+    return M.event_transition_lookup(user_log(spark, sf_dir), demo_nets(spark), "shop_amb").select(
         "case_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "event", "transition_id", "trans_ord")
 
 
