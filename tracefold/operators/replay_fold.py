@@ -4,16 +4,18 @@ Which transition fires depends on the tokens held, and ties keep several marking
 alive, so a session is a fold over its events. The fold is one native ``aggregate``
 over the events of a segment, with places and event names as small integers.
 
-Sessions longer than a segment are folded segment by segment: every round takes one
-bounded segment of each unfinished session and joins it to the markings the round
-before left behind. A step depends on the step before it, so the rounds follow each
-other, but no task ever holds more than a segment per session.
+A longer session is folded in many segments at once. Every segment first runs from a
+guess; its result then holds for all starts from which each test for a token would
+come out the same. Where the segment before it ends in such a start the guess was as
+good as the truth, and the other segments run again from what is now known. Results
+are exact: the rounds end only when every segment fits the one before it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tracefold.cluster import cut_lineage
 from tracefold.operators.models import Nets, transition_arcs
@@ -22,13 +24,12 @@ from tracefold.schemas import STATUS_OK, STATUS_PATH_EXPLOSION, STATUS_UNKNOWN_E
 
 PATH_LIMIT = 100
 SESSION = ["model_id", "case_id"]
-# On the way back through the rounds the plan grows by a join per round; cut it this often.
-ROUNDS_PER_CUT = 8
 
 # A marking: tokens per place, the marking of the segment start it came from, and the
 # tokens missing since then, each coded as event position * places + place number.
 MARKING = "struct<tok:array<int>,org:int,miss:array<bigint>>"
-STATE = f"struct<buf:array<{MARKING}>,pos:bigint,exploded:boolean>"
+STATE = f"struct<buf:array<{MARKING}>,pos:bigint,exploded:boolean,low:array<int>>"
+NEVER_TESTED = 2**31 - 1
 OPTIONS = "array<array<struct<ins:array<int>,io:array<struct<c:int,o:int>>>>>"
 
 
@@ -79,6 +80,7 @@ def event_options(nets: Nets, expected: DataFrame) -> tuple[DataFrame, DataFrame
         .select(
             "model_id", "names", "init",
             F.transform("labels", lambda l: F.transform(l["ts"], lambda t: F.struct(t["ins"], t["io"]))).cast(OPTIONS).alias("options"),
+            F.transform("labels", lambda l: F.array_distinct(F.flatten(l["ts"]["ins"]))).alias("tests"),
             F.transform("expected_final", lambda p: (F.array_position("names", p) - 1).cast("int")).alias("final"))
     )
     numbered = labels.select("model_id", F.posexplode(F.col("labels.name")).alias("label", "event"))
@@ -141,20 +143,33 @@ def _trim(buffer: Column) -> Column:
     return F.when(F.size(buffer) > 1, trimmed).otherwise(buffer)
 
 
-def _step(state: Column, label: Column) -> Column:
+def _step(state: Column, label: Column, watch: bool) -> Column:
     def settle(buffer: Column) -> Column:
-        return F.struct(buffer.alias("buf"), (state["pos"] + 1).alias("pos"), (F.size(buffer) > PATH_LIMIT).alias("exploded"))
+        low = _lowest_tested(state, F.get("tests", label)) if watch else state["low"]
+        return F.struct(buffer.alias("buf"), (state["pos"] + 1).alias("pos"),
+                        (F.size(buffer) > PATH_LIMIT).alias("exploded"), low.alias("low"))
     advanced = _advance(state["buf"], F.get("options", label), state["pos"])
     moved = bind(bind(advanced, _trim), settle).cast(STATE)
     return F.when(state["exploded"], state).otherwise(moved)
 
 
-def fold_segment(rows: DataFrame, start: int) -> DataFrame:
-    """Fold ``labels`` from the markings in ``toks``; adds ``state`` at the segment's end."""
+def _lowest_tested(state: Column, tested: Column) -> Column:
+    """Per place the fewest tokens any marking held when the place was tested for a token."""
+    fewest = lambda place: F.array_min(F.transform(state["buf"], lambda m: m["tok"][place]))
+    return F.transform(state["low"], lambda low, place: F.when(
+        F.array_contains(tested, place), F.least(low, fewest(place))).otherwise(low))
+
+
+def fold_segment(rows: DataFrame, start: Column, watch: bool = False) -> DataFrame:
+    """Fold ``labels`` from the markings in ``toks``; adds ``state`` at the segment's end.
+
+    ``watch`` also fills ``low``, what the outcome depends on: without it ``low`` stays empty.
+    """
     opening = F.transform("toks", lambda tok, k: F.struct(
         tok.alias("tok"), k.alias("org"), F.array().cast("array<bigint>").alias("miss")))
-    zero = F.struct(opening.alias("buf"), F.lit(start).cast("bigint").alias("pos"), F.lit(False).alias("exploded")).cast(STATE)
-    return rows.withColumn("state", F.aggregate("labels", zero, _step))
+    low = F.transform("init", lambda n: F.lit(NEVER_TESTED)) if watch else F.array().cast("array<int>")
+    zero = F.struct(opening.alias("buf"), start.cast("bigint").alias("pos"), F.lit(False).alias("exploded"), low.alias("low"))
+    return rows.withColumn("state", F.aggregate("labels", zero.cast(STATE), lambda s, label: _step(s, label, watch)))
 
 
 # --- whole sessions ---------------------------------------------------------------
@@ -191,11 +206,11 @@ def replay_fold(sessions: Sessions, nets: Nets, expected: DataFrame, hint=F.broa
         first = segments.drop("segment")
         folded = _fold_variants(first, models) if share_variants else _fold_first(first.join(models, "model_id"))
         return _finish(folded)
-    return _finish(_fold_rounds(segments, models, -(-sessions.longest // size), size))
+    return _finish(_fold_long(segments, models, size))
 
 
 def _fold_first(rows: DataFrame) -> DataFrame:
-    folded = fold_segment(rows.withColumn("toks", F.array("init")), 0)
+    folded = fold_segment(rows.withColumn("toks", F.array("init")), F.lit(0))
     return folded.withColumns({
         "tok": F.col("state.buf")[0]["tok"], "miss": F.col("state.buf")[0]["miss"], "exploded": F.col("state.exploded")})
 
@@ -210,55 +225,124 @@ def _fold_variants(rows: DataFrame, models: DataFrame) -> DataFrame:
     return rows.join(results, ["model_id", "labels"]).join(models.select("model_id", "names", "final"), "model_id")
 
 
-def _fold_rounds(segments: DataFrame, models: DataFrame, rounds: int, size: int) -> DataFrame:
-    """Fold segment after segment; a session leaves the rounds with its last segment.
+def _fold_long(segments: DataFrame, models: DataFrame, size: int) -> DataFrame:
+    """Fold sessions of several segments, all segments at once, until they fit together.
 
-    Only the live markings go from round to round. Which of them turns out to be the
-    result is known at the end of the session, so its missing tokens are picked up on a
-    way back through the rounds.
+    The first segment of a session runs from the truth, so each round settles at least the
+    next one, and all of them as soon as their starts no longer matter.
     """
-    # where an unknown event cuts a session off, later segments do not exist
-    last_event = F.when(F.col("unknown").isNull(), F.col("n") - 1).otherwise(F.greatest(F.col("unknown.pos") - 1, F.lit(0)))
-    segments = cut_lineage(segments.withColumn("last", F.floor(last_event / size)))
-    levels, running = [], None
-    for number in range(rounds):
-        current = segments.where(F.col("segment") == number).join(models, "model_id")
-        if running is None:
-            current = current.withColumn("toks", F.array("init"))
-        else:
-            # one row of bounded size per session still running, so the keys are even
-            current = current.join(running, SESSION)
-        folded = fold_segment(current, number * size)
-        over = F.col("state.exploded") | (F.col("last") == number)
-        level = cut_lineage(folded.select(
-            *SESSION, "n", "unknown", over.alias("over"), F.col("state.exploded").alias("exploded"),
-            F.col("state.buf.tok").alias("toks"), F.col("state.buf.org").alias("orgs"), F.col("state.buf.miss").alias("misses")))
-        levels.append(level)
-        running = level.where("not over").select(*SESSION, "toks")
-        if number + 1 < rounds and running.isEmpty():
+    # an unknown event cuts a session off: later segments do not count
+    within = F.col("unknown").isNull() | (F.col("segment") <= F.expr(f"greatest(unknown.pos - 1, 0L) div {size}"))
+    segments = cut_lineage(segments.where(within))
+    runs = _run(segments.join(models.select("model_id", F.array("init").alias("toks")), "model_id"), models, size)
+    while True:
+        linked = cut_lineage(_link(runs))
+        open_sessions = linked.groupBy(*SESSION).agg(
+            F.min(F.when(~F.col("fits"), F.col("segment"))).alias("misfit"),
+            F.min(F.when(F.col("exploded"), F.col("segment"))).alias("boom"))
+        # what follows a settled explosion is of no account
+        if open_sessions.where("misfit <= coalesce(boom, misfit)").isEmpty():
             break
-    ends = union_all(level.where("over").select(
-        *SESSION, "n", "unknown", "exploded", F.col("toks")[0].alias("tok")) for level in levels)
+        again = linked.where("not fits").select(*SESSION, "segment", F.col("next_toks").alias("toks"))
+        rerun = _run(segments.join(again, [*SESSION, "segment"]), models, size)
+        runs = runs.join(again.select(*SESSION, "segment"), [*SESSION, "segment"], "left_anti").unionByName(rerun)
+        runs = cut_lineage(runs)
+    shifted = F.zip_with(F.col("toks_out")[0], F.col("shift"), lambda n, d: n + d)
+    ends = (
+        linked.groupBy(*SESSION)
+        .agg(F.max_by(shifted, F.col("segment")).alias("tok"), F.max("exploded").alias("exploded"))
+        .join(segments.where("segment = 0").select(*SESSION, "n", "unknown"), SESSION)
+    )
     missing = (
-        _walk_back(levels).groupBy(*SESSION)
+        _pick_winners(runs).groupBy(*SESSION)
         .agg(F.flatten(F.sort_array(F.collect_list(F.struct("segment", "miss")))["miss"]).alias("miss"))
     )
     return ends.join(missing, SESSION).join(models.select("model_id", "names", "final"), "model_id")
 
 
-def _walk_back(levels: list[DataFrame]) -> DataFrame:
-    """Missing tokens of the winning marking per session and segment, from the last round to the first."""
-    found, later = [], None
-    for number in reversed(range(len(levels))):
-        winners = levels[number].where("over").select(*SESSION, F.lit(0).alias("pick"))
-        if later is not None:
-            winners = winners.unionByName(later)
-        picked = levels[number].join(winners, SESSION)
-        found.append(picked.select(*SESSION, F.lit(number).alias("segment"), F.get("misses", F.col("pick")).alias("miss")))
-        later = picked.select(*SESSION, F.get("orgs", F.col("pick")).alias("pick"))
-        if number % ROUNDS_PER_CUT == 0 and number:
-            later = cut_lineage(later)
-    return union_all(found)
+def _run(starts: DataFrame, models: DataFrame, size: int) -> DataFrame:
+    """Fold segments from the markings in ``toks``."""
+    folded = fold_segment(starts.join(models, "model_id"), F.col("segment") * size, watch=True)
+    return cut_lineage(folded.select(
+        *SESSION, "segment", "toks", F.col("state.buf.tok").alias("toks_out"), F.col("state.buf.org").alias("orgs"),
+        F.col("state.buf.miss").alias("misses"), F.col("state.low").alias("low"), F.col("state.exploded").alias("exploded")))
+
+
+def _link(runs: DataFrame) -> DataFrame:
+    """Compare the start each segment ran from with the end of the segment before it.
+
+    Adds ``shift``, the tokens per place by which the true start differs if all segments
+    before it are right; ``fits``, whether the run holds for that start; and ``next_toks``,
+    the start to run from otherwise. A run holds if all markings are shifted alike, places
+    found empty are not shifted, and places found filled stay filled.
+    """
+    key = [*SESSION, "segment"]
+    ends = runs.select(*SESSION, (F.col("segment") + 1).alias("segment"), F.col("toks_out").alias("before"))
+    minus = lambda a, b: F.zip_with(a, b, lambda x, y: x - y)
+    alike = (F.size("before") == F.size("toks")) & (F.size(F.array_distinct("gaps")) == 1)
+    linked = (
+        runs.join(ends, key, "left")
+        .withColumn("before", F.coalesce("before", "toks"))
+        .withColumn("gaps", F.when(F.size("before") == F.size("toks"), F.zip_with("before", "toks", minus)))
+        .withColumn("alike", F.coalesce(alike, F.lit(False)))
+        .withColumn("gap", F.when(F.col("alike"), F.col("gaps")[0]).otherwise(F.transform("low", lambda l: F.lit(0))))
+    )
+    # sums over the segments of a session, a row of numbers per segment and place
+    so_far = Window.partitionBy(*SESSION, "place").orderBy("segment").rowsBetween(Window.unboundedPreceding, 0)
+    holds = (
+        (F.col("low") == NEVER_TESTED)
+        | ((F.col("low") == 0) & (F.col("shift") == 0))
+        | ((F.col("low") > 0) & (F.col("shift") + F.col("low") > 0))
+    )
+    shifts = (
+        linked.select(*key, F.posexplode(F.arrays_zip("gap", "low")).alias("place", "z"))
+        .select(*key, "place", F.col("z.gap").alias("gap"), F.col("z.low").alias("low"))
+        .withColumn("shift", F.sum("gap").over(so_far).cast("int"))
+        .groupBy(*key).agg(F.bool_and(holds).alias("holds"),
+                           F.sort_array(F.collect_list(F.struct("place", "shift")))["shift"].alias("shift"))
+    )
+    earlier = minus(F.col("shift"), F.col("gap"))
+    return (
+        linked.join(shifts, key)
+        .withColumn("earlier", earlier)
+        .withColumn("next_toks", F.transform("before", lambda tok: F.zip_with(
+            tok, "earlier", lambda n, d: F.greatest(F.lit(0), n + d))))
+        .select(*key, "toks_out", "exploded", "shift", "next_toks", (F.col("alike") & F.col("holds")).alias("fits"))
+    )
+
+
+def _pick_winners(runs: DataFrame) -> DataFrame:
+    """Per segment the missing tokens of the marking that ends up as the session's result.
+
+    A segment knows which of its last markings wins once the markings after it all stem
+    from one of them. Where they do not, the origins of 1, 2, 4, ... segments are chained.
+    """
+    key = [*SESSION, "segment"]
+    origins = runs.select(*SESSION, (F.col("segment") - 1).alias("segment"), F.col("orgs").alias("chain"))
+    known = lambda chain: F.when(F.size(F.array_distinct(chain)) == 1, F.element_at(chain, 1))
+    rows = (
+        runs.select(*key).join(origins, key, "left")
+        # the first marking of the last segment is the result
+        .select(*key, F.coalesce("chain", F.array(F.lit(0))).alias("chain"))
+        .withColumn("pick", known(F.col("chain")))
+    )
+    step = 1
+    while True:
+        rows = cut_lineage(rows)
+        if rows.where("pick is null").isEmpty():
+            break
+        later = rows.select(*SESSION, (F.col("segment") - step).alias("segment"),
+                            F.col("chain").alias("later_chain"), F.col("pick").alias("later_pick"))
+        followed = F.transform("later_chain", lambda k: F.get("chain", k))
+        rows = (
+            rows.join(later, key, "left")
+            .withColumn("chain", F.when(F.col("later_pick").isNotNull(), F.array(F.get("chain", F.col("later_pick"))))
+                        .when(F.col("later_chain").isNotNull(), followed).otherwise(F.col("chain")))
+            .withColumn("pick", F.coalesce("pick", known(F.col("chain"))))
+            .select(*key, "chain", "pick")
+        )
+        step *= 2
+    return runs.join(rows, key).select(*key, F.get("misses", F.col("pick")).alias("miss"))
 
 
 def _finish(folded: DataFrame) -> DataFrame:
