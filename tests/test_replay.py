@@ -118,8 +118,8 @@ def test_scan_refuses_a_choice_of_transitions(spark):
 
 def test_equal_markings_are_dropped_and_the_first_stays(spark):
     buffer = "array({0}, {1}, {0})".format(
-        "named_struct('tok', array(1,1,0), 'org', 0, 'miss', array())",
-        "named_struct('tok', array(0,0,1), 'org', 1, 'miss', array(3L))")
+        "named_struct('tok', array(1,1,0), 'org', 0, 'lost', 0, 'miss', '')",
+        "named_struct('tok', array(0,0,1), 'org', 1, 'lost', 1, 'miss', '3,')")
     row = spark.range(1).select(F.expr(buffer).cast(f"array<{replay_fold.MARKING}>").alias("b")).select(
         replay_fold._trim(F.col("b")).alias("b")).first()
     assert [list(m.tok) for m in row.b] == [[1, 1, 0]] and row.b[0].org == 0
@@ -127,7 +127,7 @@ def test_equal_markings_are_dropped_and_the_first_stays(spark):
 
 def test_least_divergent_markings_stay(spark):
     buffer = "array({}, {}, {})".format(*[
-        f"named_struct('tok', array({k}), 'org', {k}, 'miss', array({miss}))" for k, miss in enumerate(["1L,2L", "1L", "1L,2L,3L"])])
+        f"named_struct('tok', array({k}), 'org', {k}, 'lost', {lost}, 'miss', '')" for k, lost in enumerate([2, 1, 3])])
     row = spark.range(1).select(F.expr(buffer).cast(f"array<{replay_fold.MARKING}>").alias("b")).select(
         replay_fold._trim(F.col("b")).alias("b")).first()
     assert [m.org for m in row.b] == [1]

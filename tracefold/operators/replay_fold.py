@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tracefold.cluster import cut_lineage
+from tracefold.cluster import cut_lineage, task_slots
 from tracefold.operators.models import Nets, transition_arcs
 from tracefold.operators.sessions import SEGMENT_EVENTS, Piece, Sessions, union_all, with_session_values
 from tracefold.schemas import STATUS_OK, STATUS_PATH_EXPLOSION, STATUS_UNKNOWN_EVENT
@@ -25,10 +25,11 @@ from tracefold.schemas import STATUS_OK, STATUS_PATH_EXPLOSION, STATUS_UNKNOWN_E
 PATH_LIMIT = 100
 SESSION = ["model_id", "case_id"]
 
-# A marking: tokens per place, the marking of the segment start it came from, and the
-# tokens missing since then, each coded as event position * places + place number.
-MARKING = "struct<tok:array<int>,org:int,miss:array<bigint>>"
-STATE = f"struct<buf:array<{MARKING}>,pos:bigint,exploded:boolean,low:array<int>>"
+# A marking: tokens per place, the marking of the segment start it came from, how many
+# tokens went missing since then, and which: event * places + place number, each followed by
+# a comma. As text they are cheap to copy, which happens at every step.
+MARKING = "struct<tok:array<int>,org:int,lost:int,miss:string>"
+STATE = f"struct<buf:array<{MARKING}>,pos:int,exploded:boolean,low:array<int>>"
 NEVER_TESTED = 2**31 - 1
 OPTIONS = "array<array<struct<ins:array<int>,io:array<struct<c:int,o:int>>>>>"
 
@@ -95,9 +96,15 @@ def _fire(marking: Column, transition: Column, pos: Column) -> Column:
     tokens = marking["tok"]
     width = F.size(tokens)
     absent = F.filter(transition["ins"], lambda p: tokens[p] == 0)
-    missed = F.transform(absent, lambda p: pos * width + p)
+    missed = F.array_join(F.transform(absent, lambda p: F.concat((pos * width + p).cast("string"), F.lit(","))), "")
     moved = F.zip_with(tokens, transition["io"], lambda n, e: F.greatest(n, e["c"]) - e["c"] + e["o"])
-    return F.struct(moved.alias("tok"), marking["org"].alias("org"), F.concat(marking["miss"], missed).alias("miss"))
+    return F.struct(moved.alias("tok"), marking["org"].alias("org"), (marking["lost"] + F.size(absent)).alias("lost"),
+                    F.concat(marking["miss"], missed).alias("miss"))
+
+
+def missing_codes(text: Column) -> Column:
+    """The numbers behind ``miss``."""
+    return F.filter(F.split(text, ","), lambda code: code != "").cast("array<bigint>")
 
 
 def _missing_ratio(marking: Column, transition: Column) -> Column:
@@ -125,8 +132,8 @@ def _advance(buffer: Column, choices: Column, pos: Column) -> Column:
 
 
 def _least_divergent(buffer: Column) -> Column:
-    return bind(F.array_min(F.transform(buffer, lambda m: F.size(m["miss"]))),
-                lambda fewest: F.filter(buffer, lambda m: F.size(m["miss"]) == fewest))
+    return bind(F.array_min(F.transform(buffer, lambda m: m["lost"])),
+                lambda fewest: F.filter(buffer, lambda m: m["lost"] == fewest))
 
 
 def _first_of_equals(buffer: Column) -> Column:
@@ -149,7 +156,7 @@ def _step(state: Column, label: Column, watch: bool) -> Column:
         return F.struct(buffer.alias("buf"), (state["pos"] + 1).alias("pos"),
                         (F.size(buffer) > PATH_LIMIT).alias("exploded"), low.alias("low"))
     advanced = _advance(state["buf"], F.get("options", label), state["pos"])
-    moved = bind(bind(advanced, _trim), settle).cast(STATE)
+    moved = bind(bind(advanced, _trim), settle)
     return F.when(state["exploded"], state).otherwise(moved)
 
 
@@ -160,15 +167,15 @@ def _lowest_tested(state: Column, tested: Column) -> Column:
         F.array_contains(tested, place), F.least(low, fewest(place))).otherwise(low))
 
 
-def fold_segment(rows: DataFrame, start: Column, watch: bool = False) -> DataFrame:
+def fold_segment(rows: DataFrame, watch: bool = False) -> DataFrame:
     """Fold ``labels`` from the markings in ``toks``; adds ``state`` at the segment's end.
 
     ``watch`` also fills ``low``, what the outcome depends on: without it ``low`` stays empty.
     """
     opening = F.transform("toks", lambda tok, k: F.struct(
-        tok.alias("tok"), k.alias("org"), F.array().cast("array<bigint>").alias("miss")))
+        tok.alias("tok"), k.alias("org"), F.lit(0).alias("lost"), F.lit("").alias("miss")))
     low = F.transform("init", lambda n: F.lit(NEVER_TESTED)) if watch else F.array().cast("array<int>")
-    zero = F.struct(opening.alias("buf"), start.cast("bigint").alias("pos"), F.lit(False).alias("exploded"), low.alias("low"))
+    zero = F.struct(opening.alias("buf"), F.lit(0).alias("pos"), F.lit(False).alias("exploded"), low.alias("low"))
     return rows.withColumn("state", F.aggregate("labels", zero.cast(STATE), lambda s, label: _step(s, label, watch)))
 
 
@@ -202,17 +209,19 @@ def replay_fold(sessions: Sessions, nets: Nets, expected: DataFrame, hint=F.broa
     labels, models = event_options(nets, expected)
     labels, models = hint(labels), hint(models)
     segments = label_segments(sessions, labels, size)
+    short = segments.where(F.col("n") <= size)
+    folded = _fold_variants(short, models) if share_variants else _fold_first(short.join(models, "model_id"))
     if sessions.longest <= size:
-        first = segments.drop("segment")
-        folded = _fold_variants(first, models) if share_variants else _fold_first(first.join(models, "model_id"))
         return _finish(folded)
-    return _finish(_fold_long(segments, models, size))
+    columns = [*SESSION, "n", "unknown", "names", "final", "tok", "miss", "exploded"]
+    longer = _fold_long(segments.where(F.col("n") > size), models, size)
+    return _finish(folded.select(columns).unionByName(longer.select(columns)))
 
 
 def _fold_first(rows: DataFrame) -> DataFrame:
-    folded = fold_segment(rows.withColumn("toks", F.array("init")), F.lit(0))
+    folded = fold_segment(rows.withColumn("toks", F.array("init")))
     return folded.withColumns({
-        "tok": F.col("state.buf")[0]["tok"], "miss": F.col("state.buf")[0]["miss"], "exploded": F.col("state.exploded")})
+        "tok": F.col("state.buf")[0]["tok"], "miss": missing_codes(F.col("state.buf")[0]["miss"]), "exploded": F.col("state.exploded")})
 
 
 def _fold_variants(rows: DataFrame, models: DataFrame) -> DataFrame:
@@ -234,7 +243,7 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int) -> DataFrame:
     # an unknown event cuts a session off: later segments do not count
     within = F.col("unknown").isNull() | (F.col("segment") <= F.expr(f"greatest(unknown.pos - 1, 0L) div {size}"))
     segments = cut_lineage(segments.where(within))
-    runs = _run(segments.join(models.select("model_id", F.array("init").alias("toks")), "model_id"), models, size)
+    runs = _run(segments.join(models.select("model_id", F.array("init").alias("toks")), "model_id"), models)
     while True:
         linked = cut_lineage(_link(runs))
         open_sessions = linked.groupBy(*SESSION).agg(
@@ -244,7 +253,7 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int) -> DataFrame:
         if open_sessions.where("misfit <= coalesce(boom, misfit)").isEmpty():
             break
         again = linked.where("not fits").select(*SESSION, "segment", F.col("next_toks").alias("toks"))
-        rerun = _run(segments.join(again, [*SESSION, "segment"]), models, size)
+        rerun = _run(segments.join(again, [*SESSION, "segment"]), models)
         runs = runs.join(again.select(*SESSION, "segment"), [*SESSION, "segment"], "left_anti").unionByName(rerun)
         runs = cut_lineage(runs)
     shifted = F.zip_with(F.col("toks_out")[0], F.col("shift"), lambda n, d: n + d)
@@ -254,64 +263,80 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int) -> DataFrame:
         .join(segments.where("segment = 0").select(*SESSION, "n", "unknown"), SESSION)
     )
     missing = (
-        _pick_winners(runs).groupBy(*SESSION)
+        _pick_winners(runs, size).groupBy(*SESSION)
         .agg(F.flatten(F.sort_array(F.collect_list(F.struct("segment", "miss")))["miss"]).alias("miss"))
     )
     return ends.join(missing, SESSION).join(models.select("model_id", "names", "final"), "model_id")
 
 
-def _run(starts: DataFrame, models: DataFrame, size: int) -> DataFrame:
-    """Fold segments from the markings in ``toks``."""
-    folded = fold_segment(starts.join(models, "model_id"), F.col("segment") * size, watch=True)
-    return cut_lineage(folded.select(
+def _run(starts: DataFrame, models: DataFrame) -> DataFrame:
+    """Fold segments from the markings in ``toks``.
+
+    The segments are few bytes and much work, so they are spread over all task slots.
+    """
+    spread = starts.repartition(task_slots(starts.sparkSession), *SESSION, "segment")
+    folded = fold_segment(spread.join(models, "model_id"), watch=True)
+    of_first = F.transform(missing_codes(F.col("state.buf")[0]["miss"]), lambda m: m % F.size("init"))
+    made_up = F.transform("init", lambda _, place: F.size(F.filter("lost", lambda p: p == place)))
+    return cut_lineage(folded.withColumn("lost", of_first).select(
         *SESSION, "segment", "toks", F.col("state.buf.tok").alias("toks_out"), F.col("state.buf.org").alias("orgs"),
-        F.col("state.buf.miss").alias("misses"), F.col("state.low").alias("low"), F.col("state.exploded").alias("exploded")))
+        F.col("state.buf.miss").alias("misses"), F.col("state.low").alias("low"), made_up.alias("made_up"),
+        F.col("state.exploded").alias("exploded")))
 
 
 def _link(runs: DataFrame) -> DataFrame:
     """Compare the start each segment ran from with the end of the segment before it.
 
-    Adds ``shift``, the tokens per place by which the true start differs if all segments
-    before it are right; ``fits``, whether the run holds for that start; and ``next_toks``,
-    the start to run from otherwise. A run holds if all markings are shifted alike, places
-    found empty are not shifted, and places found filled stay filled.
+    Adds ``shift``, the tokens per place by which the true start differs from that of the
+    run; ``fits``, whether the run holds for the true start; and ``next_toks``, the start to
+    run from otherwise. A run holds if all markings are shifted alike, places found empty
+    are not shifted, and places found filled stay filled.
+
+    A shift d at the start of a segment is carried to its end as max(d - made up, -spare):
+    tokens that were made up use up a surplus, and no shortage exceeds what was spare. For
+    runs that hold that is d itself; for others it is a good guess at what to run from.
     """
     key = [*SESSION, "segment"]
     ends = runs.select(*SESSION, (F.col("segment") + 1).alias("segment"), F.col("toks_out").alias("before"))
     minus = lambda a, b: F.zip_with(a, b, lambda x, y: x - y)
-    alike = (F.size("before") == F.size("toks")) & (F.size(F.array_distinct("gaps")) == 1)
+    same_size = F.size("before") == F.size("toks")
     linked = (
         runs.join(ends, key, "left")
         .withColumn("before", F.coalesce("before", "toks"))
-        .withColumn("gaps", F.when(F.size("before") == F.size("toks"), F.zip_with("before", "toks", minus)))
-        .withColumn("alike", F.coalesce(alike, F.lit(False)))
-        .withColumn("gap", F.when(F.col("alike"), F.col("gaps")[0]).otherwise(F.transform("low", lambda l: F.lit(0))))
+        .withColumn("gaps", F.when(same_size, F.zip_with("before", "toks", minus)))
+        .withColumn("alike", F.coalesce(F.size(F.array_distinct("gaps")) == 1, F.lit(False)))
+        .withColumn("gap", F.when(F.col("alike"), F.col("gaps")[0]).otherwise(minus(F.col("before")[0], F.col("toks")[0])))
     )
-    # sums over the segments of a session, a row of numbers per segment and place
-    so_far = Window.partitionBy(*SESSION, "place").orderBy("segment").rowsBetween(Window.unboundedPreceding, 0)
+    # running sums and maxima over the segments of a session: a row of numbers per segment and place
+    in_order = Window.partitionBy(*SESSION, "place").orderBy("segment")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    spare = F.when(F.col("low") == NEVER_TESTED, F.col("low")).otherwise(F.greatest(F.lit(0), F.col("low") - 1))
+    total = F.sum("gap").over(so_far) - F.coalesce(F.sum("made_up").over(before), F.lit(0))
+    floor = F.coalesce(F.max(F.col("made_up") - F.col("spare") - F.col("total")).over(before), F.lit(0))
     holds = (
         (F.col("low") == NEVER_TESTED)
         | ((F.col("low") == 0) & (F.col("shift") == 0))
         | ((F.col("low") > 0) & (F.col("shift") + F.col("low") > 0))
     )
     shifts = (
-        linked.select(*key, F.posexplode(F.arrays_zip("gap", "low")).alias("place", "z"))
-        .select(*key, "place", F.col("z.gap").alias("gap"), F.col("z.low").alias("low"))
-        .withColumn("shift", F.sum("gap").over(so_far).cast("int"))
+        linked.select(*key, F.posexplode(F.arrays_zip("gap", "low", "made_up")).alias("place", "z"))
+        .select(*key, "place", "z.*")
+        .withColumns({"spare": spare.cast("bigint"), "total": total})
+        .withColumn("shift", (F.col("total") + F.greatest(F.lit(0), floor)).cast("int"))
         .groupBy(*key).agg(F.bool_and(holds).alias("holds"),
                            F.sort_array(F.collect_list(F.struct("place", "shift")))["shift"].alias("shift"))
     )
-    earlier = minus(F.col("shift"), F.col("gap"))
     return (
         linked.join(shifts, key)
-        .withColumn("earlier", earlier)
+        .withColumn("carried", minus(F.col("shift"), F.col("gap")))
         .withColumn("next_toks", F.transform("before", lambda tok: F.zip_with(
-            tok, "earlier", lambda n, d: F.greatest(F.lit(0), n + d))))
+            tok, "carried", lambda n, d: F.greatest(F.lit(0), n + d))))
         .select(*key, "toks_out", "exploded", "shift", "next_toks", (F.col("alike") & F.col("holds")).alias("fits"))
     )
 
 
-def _pick_winners(runs: DataFrame) -> DataFrame:
+def _pick_winners(runs: DataFrame, size: int) -> DataFrame:
     """Per segment the missing tokens of the marking that ends up as the session's result.
 
     A segment knows which of its last markings wins once the markings after it all stem
@@ -319,7 +344,7 @@ def _pick_winners(runs: DataFrame) -> DataFrame:
     """
     key = [*SESSION, "segment"]
     origins = runs.select(*SESSION, (F.col("segment") - 1).alias("segment"), F.col("orgs").alias("chain"))
-    known = lambda chain: F.when(F.size(F.array_distinct(chain)) == 1, F.element_at(chain, 1))
+    known = lambda chain: F.when(F.size(F.array_distinct(chain)) == 1, F.coalesce(F.element_at(chain, 1), F.lit(0)))
     rows = (
         runs.select(*key).join(origins, key, "left")
         # the first marking of the last segment is the result
@@ -342,7 +367,10 @@ def _pick_winners(runs: DataFrame) -> DataFrame:
             .select(*key, "chain", "pick")
         )
         step *= 2
-    return runs.join(rows, key).select(*key, F.get("misses", F.col("pick")).alias("miss"))
+    # codes count events from the start of the segment
+    base = F.col("segment") * size * F.size("low")
+    codes = F.transform(missing_codes(F.get("misses", F.col("pick"))), lambda code: code + base)
+    return runs.join(rows, key).select(*key, codes.alias("miss"))
 
 
 def _finish(folded: DataFrame) -> DataFrame:
