@@ -7,7 +7,7 @@ from fixtures import NETS
 from tracefold.cluster import shared_dir, shared_path
 from tracefold.local import local_table, nets_from_rows
 from tracefold.operators.sessions import order_events
-from tracefold.plans.check import Run, check_logs, generate_report
+from tracefold.plans.check import Run, check_counts, check_logs, generate_report
 from tracefold.plans import report as R
 from tracefold.sources.delimited import join_line, read_delimited, split_line
 
@@ -110,7 +110,7 @@ def test_counters(spark):
     counters.register("deviating", R.outcome() == "deviating")
     counters.register("failed", F.col("status") != "ok")
     logs = {"good": ["go left", "turn back", "stop"], "bad": ["go left", "stop"], "odd": ["fly"]}
-    results = check_logs(order_events(log_table(spark, logs)), nets_from_rows(spark, NETS), [Run("walk", expected_final=("p5",))])
+    results = check_counts(order_events(log_table(spark, logs)), nets_from_rows(spark, NETS), [Run("walk", expected_final=("p5",))])
     for _ in range(2):  # a new watch starts from zero
         counters.watch(results).collect()
         assert (counters.value("deviating"), counters.value("failed")) == (1, 1)
@@ -121,3 +121,16 @@ def test_counters(spark):
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir()
     assert shared_path(spark, "x") != shared_path(spark, "x")
+
+
+@pytest.mark.parametrize("model,method", [("walk", "scan"), ("walk", "fold"), ("desk", "fold")])
+@pytest.mark.parametrize("hot_rows", [None, 3])
+def test_counts_agree_with_lists(spark, model, method, hot_rows):
+    logs = {"a": ["go left", "stop", "stop", "go left", "stop"], "b": ["go to work", "sit at desk"], "c": ["go left", "fly"],
+            "d": ["go to work"] * 7, "e": ["stop"]}
+    nets, run = nets_from_rows(spark, NETS), [Run(model, expected_final=("p5", "p5"))]
+    sessions = order_events(log_table(spark, logs), hot_rows=hot_rows)
+    listed = {r.case_id: (r.status, r.error_detail, len(r.missing_tokens), len(r.unconsumed_tokens), r.session_length)
+              for r in check_logs(sessions, nets, run, method=method).collect()}
+    counted = {r.case_id: tuple(r)[2:] for r in check_counts(sessions, nets, run, method=method).collect()}
+    assert counted == listed

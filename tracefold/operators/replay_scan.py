@@ -70,19 +70,21 @@ def _closing_effects(nets: Nets, expected: DataFrame) -> DataFrame:
     )
 
 
-def replay_scan(sessions: Sessions, nets: Nets, expected: DataFrame, hint=F.broadcast) -> DataFrame:
-    """Replay sessions that carry ``model_id`` and length ``n``; one result row per session."""
+def replay_scan(sessions: Sessions, nets: Nets, expected: DataFrame, hint=F.broadcast, counts: bool = False) -> DataFrame:
+    """Replay sessions that carry ``model_id`` and length ``n``; one result row per session.
+
+    ``counts`` only counts tokens, which needs no lists however long a session is.
+    """
     effects = hint(event_effects(nets, expected))
-    return union_all(_replay_piece(piece, effects) for piece in sessions.pieces)
+    finish = _count_results if counts else _collect_results
+    return union_all(finish(_replay_piece(piece, effects)) for piece in sessions.pieces)
 
 
-def _replay_piece(piece: Piece, effects: DataFrame) -> DataFrame:
+def _replay_piece(piece: Piece, effects: DataFrame) -> Piece:
     rows = piece.rows.join(effects, ["model_id", "event"], "left")
     unknown = F.min(F.when(F.col("effects").isNull(), F.struct("pos", "event")))
     known = with_session_values(piece.with_rows(rows), unknown=unknown)
-    steps = _token_steps(known)
-    fired = _fire(steps)
-    return _collect_results(fired)
+    return _fire(_token_steps(known))
 
 
 def _token_steps(piece: Piece) -> Piece:
@@ -133,30 +135,52 @@ def _tokens_at_chunk_start(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         (F.col("net_before") + F.greatest(F.col("init"), F.coalesce(deepest, F.col("init")))).alias("held"))
 
 
+def _session_columns(piece: Piece) -> list[str]:
+    return list(dict.fromkeys(["model_id", *piece.keys]))
+
+
+def _outcome_columns() -> list[Column]:
+    failed = F.col("unknown").isNotNull()
+    return [
+        F.col("model_id"), F.col("case_id"),
+        F.when(failed, STATUS_UNKNOWN_EVENT).otherwise(STATUS_OK).alias("status"),
+        F.col("unknown.event").alias("error_detail"),
+    ]
+
+
+def _per_place(piece: Piece, **extra: Column) -> DataFrame:
+    """One row per session and place with the tokens left at the end."""
+    left = F.max("init") + F.sum(F.col("o") - F.col("c") + F.col("made_up"))
+    return piece.rows.groupBy(*_session_columns(piece), "place_id").agg(
+        F.first("n").alias("n"), F.first("unknown").alias("unknown"), left.alias("left"),
+        *[value.alias(name) for name, value in extra.items()])
+
+
+def _count_results(piece: Piece) -> DataFrame:
+    per_session = _per_place(piece, made_up=F.sum("made_up")).groupBy(*_session_columns(piece)).agg(
+        F.first("n").alias("n"), F.first("unknown").alias("unknown"),
+        F.coalesce(F.sum("made_up"), F.lit(0)).alias("missing"), F.coalesce(F.sum("left"), F.lit(0)).alias("left"))
+    return per_session.select(
+        *_outcome_columns(), F.col("missing").alias("missing_count"), F.col("left").alias("unconsumed_count"),
+        F.col("n").alias("session_length"))
+
+
 def _collect_results(piece: Piece) -> DataFrame:
-    session = [*piece.keys] if "model_id" in piece.keys else ["model_id", *piece.keys]
     missing = F.when(F.col("made_up") > 0, F.struct("at", "ord", "place_id"))
-    per_place = piece.rows.groupBy(*session, "place_id").agg(
-        F.first("n").alias("n"), F.first("unknown").alias("unknown"),
-        (F.max("init") + F.sum(F.col("o") - F.col("c") + F.col("made_up"))).alias("held"),
-        F.collect_list(missing).alias("missing"))
-    left = F.when(F.col("held") > 0, F.struct("place_id", "held"))
-    per_session = per_place.groupBy(*session).agg(
+    left = F.when(F.col("left") > 0, F.struct("place_id", "left"))
+    per_session = _per_place(piece, missing=F.collect_list(missing)).groupBy(*_session_columns(piece)).agg(
         F.first("n").alias("n"), F.first("unknown").alias("unknown"),
         F.array_sort(F.flatten(F.collect_list("missing"))).alias("missing"),
-        F.array_sort(F.collect_list(left)).alias("held"))
-    failed = F.col("unknown").isNotNull()
+        F.array_sort(F.collect_list(left)).alias("left"))
     return per_session.select(
-        "model_id", "case_id",
-        F.when(failed, STATUS_UNKNOWN_EVENT).otherwise(STATUS_OK).alias("status"),
-        F.col("unknown.event").alias("error_detail"),
+        *_outcome_columns(),
         F.col("missing.place_id").alias("missing_tokens"),
         F.col("missing.at").alias("missing_indices"),
-        repeat_tokens(F.col("held")).alias("unconsumed_tokens"),
+        repeat_tokens(F.col("left")).alias("unconsumed_tokens"),
         F.col("n").alias("session_length"),
     )
 
 
-def repeat_tokens(held: Column) -> Column:
+def repeat_tokens(counted: Column) -> Column:
     """Counted places, in order, as one entry per token."""
-    return F.flatten(F.transform(held, lambda p: F.array_repeat(p["place_id"], p["held"].cast("int"))))
+    return F.flatten(F.transform(counted, lambda p: F.array_repeat(p["place_id"], p["left"].cast("int"))))

@@ -16,7 +16,7 @@ from tracefold.operators.replay_scan import replay_scan
 from tracefold.operators.sessions import (
     SEGMENT_EVENTS, Sessions, trim_sessions, union_all, with_session_values,
 )
-from tracefold.schemas import RESULT_COLUMNS
+from tracefold.schemas import COUNT_COLUMNS, RESULT_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -76,8 +76,21 @@ def check_logs(sessions: Sessions, nets: Nets, runs: Sequence[Run], *, method: s
     return replay_assigned(assigned, nets, runs, facts, method, segment, share_variants)
 
 
+def check_counts(sessions: Sessions, nets: Nets, runs: Sequence[Run], **options) -> DataFrame:
+    """As ``check_logs``, with the number of missing and unconsumed tokens instead of their lists."""
+    facts = check_nets(nets, [run.model_id for run in runs])
+    return replay_assigned(assign_runs(sessions, runs), nets, runs, facts, counts=True, **options)
+
+
+def _counted(results: DataFrame) -> DataFrame:
+    size = lambda name: F.size(name).cast("bigint")
+    return results.select(
+        *COUNT_COLUMNS[:4], size("missing_tokens").alias("missing_count"),
+        size("unconsumed_tokens").alias("unconsumed_count"), "session_length")
+
+
 def replay_assigned(assigned: Sessions, nets: Nets, runs: Sequence[Run], facts: dict[str, ModelFacts], method: str = "auto",
-                    segment: int = SEGMENT_EVENTS, share_variants: bool = False) -> DataFrame:
+                    segment: int = SEGMENT_EVENTS, share_variants: bool = False, counts: bool = False) -> DataFrame:
     plain = [m for m, f in facts.items() if f.most_per_name == 1 and method != "fold"]
     if method == "scan" and len(plain) < len(facts):
         raise ValueError("event names with several transitions need the fold")
@@ -85,12 +98,13 @@ def replay_assigned(assigned: Sessions, nets: Nets, runs: Sequence[Run], facts:
     results = []
     if plain:
         chosen, picked = _pick(assigned, plain, facts), [r for r in runs if r.model_id in plain]
-        results.append(replay_scan(chosen, _only(nets, plain), _expected(nets, picked), broadcast_hint(facts, plain)))
+        results.append(replay_scan(chosen, _only(nets, plain), _expected(nets, picked), broadcast_hint(facts, plain), counts))
     if rest:
         chosen, picked = _pick(assigned, rest, facts), [r for r in runs if r.model_id in rest]
-        results.append(replay_fold(chosen, _only(nets, rest), _expected(nets, picked), broadcast_hint(facts, rest),
-                                   segment, share_variants))
-    return union_all(results).select(RESULT_COLUMNS)
+        folded = replay_fold(chosen, _only(nets, rest), _expected(nets, picked), broadcast_hint(facts, rest),
+                             segment, share_variants)
+        results.append(_counted(folded) if counts else folded)
+    return union_all(results).select(COUNT_COLUMNS if counts else RESULT_COLUMNS)
 
 
 def _pick(assigned: Sessions, models: list[str], facts: dict[str, ModelFacts]) -> Sessions:

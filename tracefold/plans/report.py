@@ -84,11 +84,11 @@ class RunCounters:
 
 
 def outcome() -> Column:
-    """``conformant``, ``deviating`` or the failure a session's check ended with."""
-    clean = (F.size("missing_tokens") == 0) & (F.size("unconsumed_tokens") == 0)
+    """``conformant``, ``deviating`` or the failure of a counted check result."""
+    clean = (F.col("missing_count") == 0) & (F.col("unconsumed_count") == 0)
     return F.when(F.col("status") != STATUS_OK, F.col("status")).when(clean, "conformant").otherwise("deviating")
 
 
-def count_outcomes(results: DataFrame) -> DataFrame:
+def count_outcomes(counted: DataFrame) -> DataFrame:
     """Sessions per model and outcome."""
-    return results.groupBy("model_id", outcome().alias("outcome")).agg(F.count(F.lit(1)).alias("sessions"))
+    return counted.groupBy("model_id", outcome().alias("outcome")).agg(F.count(F.lit(1)).alias("sessions"))

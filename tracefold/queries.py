@@ -314,7 +314,7 @@ def generate_report(spark, sf_dir):
 
 def run_counters(spark, sf_dir):
     log = day_log(spark, sf_dir)
-    results = C.check_logs(S.order_events(log), demo_nets(spark), [shop("shop_noerror")])
+    results = C.check_counts(S.order_events(log), demo_nets(spark), [shop("shop_noerror")])
     outcomes = R.count_outcomes(results).select(F.col("outcome").alias("counter"), F.col("sessions").alias("value"))
     rejects = log.agg(F.count(F.when(~S.is_complete_record(), 1)).alias("value")).select(F.lit("rejected_rows").alias("counter"), "value")
     return outcomes.unionByName(rejects)

@@ -31,6 +31,10 @@ RESULT_COLUMNS = [
     "missing_indices", "unconsumed_tokens", "session_length",
 ]
 
+COUNT_COLUMNS = [
+    "model_id", "case_id", "status", "error_detail", "missing_count", "unconsumed_count", "session_length",
+]
+
 REPORT_COLUMNS = [
     "case_id", "area", "report_date", "model_file", "missing_tokens",
     "unconsumed_tokens", "missing_count", "unconsumed_count", "session_length",
