@@ -97,7 +97,7 @@ def _token_steps(piece: Piece) -> Piece:
     )
     rows = (
         piece.rows.where(F.col("unknown").isNull() | (F.col("pos") == 0))
-        .select("model_id", *[k for k in piece.task_keys if k != "model_id"], "n", "unknown",
+        .select(*dict.fromkeys(["model_id", *piece.task_keys]), "n", "unknown",
                 F.explode_outer(F.when(F.col("unknown").isNull(), all_effects)).alias("step"))
         .select("*", "step.at", "step.effect.*").drop("step")
     )
@@ -135,8 +135,12 @@ def _tokens_at_chunk_start(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         (F.col("net_before") + F.greatest(F.col("init"), F.coalesce(deepest, F.col("init")))).alias("held"))
 
 
-def _session_columns(piece: Piece) -> list[str]:
-    return list(dict.fromkeys(["model_id", *piece.keys]))
+# carried along with a session; grouping by the keys alone keeps the order of the windows
+CARRIED = ("model_id", "n", "unknown")
+
+
+def _carried(piece: Piece) -> list[Column]:
+    return [F.first(c).alias(c) for c in CARRIED if c not in piece.keys]
 
 
 def _outcome_columns() -> list[Column]:
@@ -151,15 +155,13 @@ def _outcome_columns() -> list[Column]:
 def _per_place(piece: Piece, **extra: Column) -> DataFrame:
     """One row per session and place with the tokens left at the end."""
     left = F.max("init") + F.sum(F.col("o") - F.col("c") + F.col("made_up"))
-    return piece.rows.groupBy(*_session_columns(piece), "place_id").agg(
-        F.first("n").alias("n"), F.first("unknown").alias("unknown"), left.alias("left"),
-        *[value.alias(name) for name, value in extra.items()])
+    return piece.rows.groupBy(*piece.keys, "place_id").agg(
+        *_carried(piece), left.alias("left"), *[value.alias(name) for name, value in extra.items()])
 
 
 def _count_results(piece: Piece) -> DataFrame:
-    per_session = _per_place(piece, made_up=F.sum("made_up")).groupBy(*_session_columns(piece)).agg(
-        F.first("n").alias("n"), F.first("unknown").alias("unknown"),
-        F.coalesce(F.sum("made_up"), F.lit(0)).alias("missing"), F.coalesce(F.sum("left"), F.lit(0)).alias("left"))
+    per_session = _per_place(piece, made_up=F.sum("made_up")).groupBy(*piece.keys).agg(
+        *_carried(piece), F.coalesce(F.sum("made_up"), F.lit(0)).alias("missing"), F.coalesce(F.sum("left"), F.lit(0)).alias("left"))
     return per_session.select(
         *_outcome_columns(), F.col("missing").alias("missing_count"), F.col("left").alias("unconsumed_count"),
         F.col("n").alias("session_length"))
@@ -168,8 +170,8 @@ def _count_results(piece: Piece) -> DataFrame:
 def _collect_results(piece: Piece) -> DataFrame:
     missing = F.when(F.col("made_up") > 0, F.struct("at", "ord", "place_id"))
     left = F.when(F.col("left") > 0, F.struct("place_id", "left"))
-    per_session = _per_place(piece, missing=F.collect_list(missing)).groupBy(*_session_columns(piece)).agg(
-        F.first("n").alias("n"), F.first("unknown").alias("unknown"),
+    per_session = _per_place(piece, missing=F.collect_list(missing)).groupBy(*piece.keys).agg(
+        *_carried(piece),
         F.array_sort(F.flatten(F.collect_list("missing"))).alias("missing"),
         F.array_sort(F.collect_list(left)).alias("left"))
     return per_session.select(

@@ -134,8 +134,9 @@ def _order_across_tasks(log: DataFrame, sizes: CaseSizes) -> Piece:
     """Order the hot cases by range, so that one case fills many consecutive chunks.
 
     A range partitioner cannot cut through equal keys, so copies of a record are first
-    told apart: counted within the task that read them, then numbered. The chunk number
-    is a partition number, hence the checkpoint: every later use must see the same chunks.
+    told apart: counted within the task that read them, then numbered. Sorted rows are
+    numbered within their partition, which is the chunk. The checkpoint is needed because
+    every later use must see the same chunks.
     """
     chunks = max(2, -(-sizes.total // sizes.limit))
     numbered = (
@@ -143,22 +144,20 @@ def _order_across_tasks(log: DataFrame, sizes: CaseSizes) -> Piece:
         .groupBy("case_id", "ts", "event", "origin").agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     )
+    # the id counts rows in its lower 33 bits and partitions above them
     rows = cut_lineage(
         numbered.repartitionByRange(chunks, "case_id", "ts", "event", "origin", "copy")
-        .select("case_id", F.spark_partition_id().alias("chunk"), "ts", "event")
-    )
-    in_chunk = Window.partitionBy("case_id", "chunk").orderBy("ts", "event")
+        .sortWithinPartitions("case_id", "ts", "event")
+        .select("case_id", "ts", "event", F.monotonically_increasing_id().alias("id"))
+    ).select("case_id", "ts", "event", F.shiftright("id", 33).cast("int").alias("chunk"),
+             F.col("id").bitwiseAND(2**33 - 1).alias("nth"))
     before = Window.partitionBy("case_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per hot case and chunk: the sizes of the chunks before it
+    # one row per hot case and chunk: from the row number in the chunk to the position in the session
     offsets = (
-        rows.groupBy("case_id", "chunk").agg(F.count(F.lit(1)).alias("size"))
-        .select("case_id", "chunk", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    )
-    ordered = (
-        rows.withColumn("nth", F.row_number().over(in_chunk))
-        .join(F.broadcast(offsets), ["case_id", "chunk"])
-        .withColumn("pos", F.col("offset") + F.col("nth") - 1)
+        rows.groupBy("case_id", "chunk").agg(F.count(F.lit(1)).alias("size"), F.min("nth").alias("first"))
+        .select("case_id", "chunk", (F.coalesce(F.sum("size").over(before), F.lit(0)) - F.col("first")).alias("offset"))
     )
+    ordered = rows.join(F.broadcast(offsets), ["case_id", "chunk"]).withColumn("pos", F.col("nth") + F.col("offset"))
     return Piece(ordered.select("case_id", "chunk", "pos", "ts", "event"), split=True)
 
 

@@ -52,15 +52,23 @@ def assign_runs(sessions: Sessions, runs: Sequence[Run]) -> Sessions:
     trimmed = [run.first_events is not None for run in runs]
     if len(set(trimmed)) > 1:
         raise ValueError("trim the sessions of all runs or of none")
-    names = lambda events: F.array(*[F.lit(e) for e in events or ()]).cast("array<string>")
-    offers = F.array(*[
-        F.struct(F.lit(r.model_id).alias("model_id"), names(r.first_events).alias("first_events"),
-                 names(r.last_events).alias("last_events")) for r in runs])
-    keys = ("case_id",) if len(runs) == 1 else ("case_id", "model_id")
-    sessions = sessions.map(lambda p: replace(p, rows=p.rows.select("*", F.inline(offers)), keys=keys))
-    if trimmed[0]:
-        sessions = trim_sessions(sessions, "first_events", "last_events")
-        return sessions.map(lambda p: p.with_rows(p.rows.drop("first_events", "last_events")))
+    if len(runs) == 1:
+        run = runs[0]
+        # worked out from the row rather than a constant, which would turn joins on it into cross joins
+        model = F.when(F.col("case_id").isNotNull(), F.lit(run.model_id))
+        sessions = sessions.map(lambda p: p.with_rows(p.rows.withColumn("model_id", model)))
+        if trimmed[0]:
+            return trim_sessions(sessions, run.first_events, run.last_events or ())
+    else:
+        names = lambda events: F.array(*[F.lit(e) for e in events or ()]).cast("array<string>")
+        offers = F.array(*[
+            F.struct(F.lit(r.model_id).alias("model_id"), names(r.first_events).alias("first_events"),
+                     names(r.last_events).alias("last_events")) for r in runs])
+        sessions = sessions.map(lambda p: replace(
+            p, rows=p.rows.select("*", F.inline(offers)), keys=("case_id", "model_id")))
+        if trimmed[0]:
+            sessions = trim_sessions(sessions, "first_events", "last_events")
+            return sessions.map(lambda p: p.with_rows(p.rows.drop("first_events", "last_events")))
     return sessions.map(lambda p: with_session_values(p, n=F.max(F.col("pos") + 1)))
 
 
