@@ -55,7 +55,7 @@ def assign_runs(sessions: Sessions, runs: Sequence[Run]) -> Sessions:
     if len(runs) == 1:
         run = runs[0]
         # worked out from the row rather than a constant, which would turn joins on it into cross joins
-        model = F.when(F.col("case_id").isNotNull(), F.lit(run.model_id))
+        model = F.when(F.col("pos") >= 0, F.lit(run.model_id))
         sessions = sessions.map(lambda p: p.with_rows(p.rows.withColumn("model_id", model)))
         if trimmed[0]:
             return trim_sessions(sessions, run.first_events, run.last_events or ())
