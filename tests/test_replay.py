@@ -137,3 +137,23 @@ def test_unknown_events(spark):
     log = local_table(spark, [("x", 0, "go left"), ("x", 1, "fly"), ("y", 0, "swim")], SCHEMA)
     rows = unknown_events(log, nets_from_rows(spark, NETS), "walk").collect()
     assert sorted((r.case_id, r.event) for r in rows) == [("x", "fly"), ("y", "swim")]
+
+
+def test_long_logs_with_short_sessions(spark):
+    logs = {"x": ["stop"] * 30 + ["go left", "stop"], "y": ["go left", "turn back", "stop"] + ["fly"] * 20}
+    run = [Run("walk", "", ("go left",), ("stop",), ("p5",))]
+    found = outcomes(check_logs(sessions_of(spark, logs), nets_from_rows(spark, NETS), run, method="fold", segment=4))
+    assert found == {"x": replay(NETS["walk"], ["go left", "stop"], ["p5"]),
+                     "y": replay(NETS["walk"], ["go left", "turn back", "stop"], ["p5"])}
+
+
+def test_segments_of_one_long_session(spark):
+    """Stocks that grow, run dry and tie over many segments."""
+    net = [("t1", "in", ["p1"], ["p1", "p3", "p5"]), ("t2", "out", ["p3"], []), ("t3", "out", ["p4"], ["p5"]),
+           ("t4", "move", ["p3"], ["p4"]), ("t5", "move", ["p5"], ["p4"])]
+    rng = random.Random(3)
+    logs = {f"c{k}": rng.choices(["in", "out", "move"], weights=[w, 3, 2], k=240) for k, w in enumerate((1, 3, 6))}
+    wanted = {case: replay(net, log, ["p3", "p9"]) for case, log in logs.items()}
+    run = [Run("m", expected_final=("p3", "p9"))]
+    for segment in (10, 60):
+        assert outcomes(check_logs(sessions_of(spark, logs, hot_rows=50), nets_from_rows(spark, {"m": net}), run, segment=segment)) == wanted

@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracefold.cluster import cut_lineage
 from tracefold.local import local_table
 from tracefold.operators.context import surrounding_events
 from tracefold.operators.models import ModelFacts, Nets, broadcast_hint, check_nets
@@ -128,8 +129,12 @@ def unknown_events(log: DataFrame, nets: Nets, model_id: str) -> DataFrame:
 
 
 def generate_report(sessions: Sessions, nets: Nets, runs: Sequence[Run], **options) -> DataFrame:
-    """Check results with the events around each missing token."""
+    """Check results with the events around each missing token.
+
+    The results, a row per session, are written to the shared folder: they are needed both
+    to find the events and to be completed with them, and replaying twice costs more.
+    """
     facts = check_nets(nets, [run.model_id for run in runs])
     assigned = assign_runs(sessions, runs)
-    results = replay_assigned(assigned, nets, runs, facts, **options)
+    results = cut_lineage(replay_assigned(assigned, nets, runs, facts, **options))
     return surrounding_events(results, assigned)
