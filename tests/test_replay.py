@@ -157,3 +157,8 @@ def test_segments_of_one_long_session(spark):
     run = [Run("m", expected_final=("p3", "p9"))]
     for segment in (10, 60):
         assert outcomes(check_logs(sessions_of(spark, logs, hot_rows=50), nets_from_rows(spark, {"m": net}), run, segment=segment)) == wanted
+
+
+def test_runs_must_differ_in_their_model(spark):
+    with pytest.raises(ValueError, match="one run"):
+        check_logs(sessions_of(spark, {"x": ["stop"]}), nets_from_rows(spark, NETS), [Run("walk"), Run("walk", "again")])

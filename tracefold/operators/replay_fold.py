@@ -31,7 +31,7 @@ SESSION = ["model_id", "case_id"]
 MARKING = "struct<tok:array<int>,org:int,lost:int,miss:string>"
 STATE = f"struct<buf:array<{MARKING}>,pos:int,exploded:boolean,low:array<int>>"
 NEVER_TESTED = 2**31 - 1
-OPTIONS = "array<array<struct<ins:array<int>,io:array<struct<c:int,o:int>>>>>"
+OPTIONS = "array<array<struct<ins:array<int>,outs:array<int>>>>"
 
 
 def bind(value: Column, body) -> Column:
@@ -43,8 +43,8 @@ def event_options(nets: Nets, expected: DataFrame) -> tuple[DataFrame, DataFrame
     """Models as numbers: (model_id, event, label) and one row of arrays per model.
 
     The model row holds the place names in order, the initial token counts, and per
-    label its transitions in file order: input places in arc order and, for every
-    place, what is consumed and produced.
+    label its transitions in file order: input places in arc order and output places. Its
+    size is that of the model's arcs.
     """
     arcs = transition_arcs(nets)
     wanted = expected.select("model_id", F.explode("expected_final").alias("place_id"))
@@ -57,8 +57,8 @@ def event_options(nets: Nets, expected: DataFrame) -> tuple[DataFrame, DataFrame
         .select("model_id", F.col("p.place_id").alias("names"), F.col("p.init").alias("init"))
     )
     arc = F.when(F.col("place_id").isNotNull(), F.struct("arc_ord", "side", "place_id"))
-    number = lambda a: (F.array_position("names", a["place_id"]) - 1).cast("int")
-    on_side = lambda side: F.filter("arcs", lambda a: a["side"] == side)["place_id"]
+    on_side = lambda side: F.transform(
+        F.filter("arcs", lambda a: a["side"] == side), lambda a: (F.array_position("names", a["place_id"]) - 1).cast("int"))
     transitions = (
         nets.transitions.join(arcs, ["model_id", "transition_id"], "left")
         .groupBy("model_id", "name", "trans_ord", "transition_id")
@@ -66,21 +66,18 @@ def event_options(nets: Nets, expected: DataFrame) -> tuple[DataFrame, DataFrame
         .join(places.select("model_id", "names"), "model_id")
         .select(
             "model_id", "name", "trans_ord",
-            F.transform(F.filter("arcs", lambda a: a["side"] == "in"), number).alias("ins"),
-            F.transform("names", lambda p: F.struct(
-                F.array_contains(on_side("in"), p).cast("int").alias("c"),
-                F.array_contains(on_side("out"), p).cast("int").alias("o"))).alias("io"))
+            on_side("in").alias("ins"), on_side("out").alias("outs"))
     )
     labels = (
         transitions.groupBy("model_id", "name")
-        .agg(F.sort_array(F.collect_list(F.struct("trans_ord", "ins", "io"))).alias("ts"))
+        .agg(F.sort_array(F.collect_list(F.struct("trans_ord", "ins", "outs"))).alias("ts"))
         .groupBy("model_id").agg(F.sort_array(F.collect_list(F.struct("name", "ts"))).alias("labels"))
     )
     models = (
         places.join(labels, "model_id").join(expected, "model_id")
         .select(
             "model_id", "names", "init",
-            F.transform("labels", lambda l: F.transform(l["ts"], lambda t: F.struct(t["ins"], t["io"]))).cast(OPTIONS).alias("options"),
+            F.transform("labels", lambda l: F.transform(l["ts"], lambda t: F.struct(t["ins"], t["outs"]))).cast(OPTIONS).alias("options"),
             F.transform("labels", lambda l: F.array_distinct(F.flatten(l["ts"]["ins"]))).alias("tests"),
             F.transform("expected_final", lambda p: (F.array_position("names", p) - 1).cast("int")).alias("final"))
     )
@@ -97,7 +94,9 @@ def _fire(marking: Column, transition: Column, pos: Column) -> Column:
     width = F.size(tokens)
     absent = F.filter(transition["ins"], lambda p: tokens[p] == 0)
     missed = F.array_join(F.transform(absent, lambda p: F.concat((pos * width + p).cast("string"), F.lit(","))), "")
-    moved = F.zip_with(tokens, transition["io"], lambda n, e: F.greatest(n, e["c"]) - e["c"] + e["o"])
+    taken = lambda place: F.array_contains(transition["ins"], place).cast("int")
+    given = lambda place: F.array_contains(transition["outs"], place).cast("int")
+    moved = F.transform(tokens, lambda n, p: F.greatest(n - taken(p), F.lit(0)) + given(p))
     return F.struct(moved.alias("tok"), marking["org"].alias("org"), (marking["lost"] + F.size(absent)).alias("lost"),
                     F.concat(marking["miss"], missed).alias("miss"))
 

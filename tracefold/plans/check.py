@@ -50,6 +50,8 @@ def assign_runs(sessions: Sessions, runs: Sequence[Run]) -> Sessions:
     Several runs share one pass over the log: rows are repeated per run after the events
     were ordered.
     """
+    if len({run.model_id for run in runs}) < len(runs):
+        raise ValueError("a model can have one run at a time")
     trimmed = [run.first_events is not None for run in runs]
     if len(set(trimmed)) > 1:
         raise ValueError("trim the sessions of all runs or of none")
