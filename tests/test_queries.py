@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tracefold import oracles, queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = queries.all_queries(), oracles.all_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
 
