@@ -2,6 +2,63 @@
 
 from __future__ import annotations
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+QUALITY = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+wins AS (SELECT r, i, array_to_string(w[i:i+4], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS n FROM wins) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT i + o) AS n FROM dup, range(0, 5) t(o) GROUP BY r),
+lines AS (SELECT r, source, line, len(regexp_extract_all(line, '{WORD}')) AS words,
+                 regexp_replace(trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), '[0-9]+', '0', 'g') AS norm
+          FROM (SELECT r, source, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{WORD}')),
+dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY r),
+often AS (SELECT source, norm FROM lines GROUP BY ALL HAVING count(DISTINCT r) > 50),
+gone AS (SELECT r, sum(words) AS n FROM lines SEMI JOIN often ON lines.source IS NOT DISTINCT FROM often.source AND lines.norm = often.norm GROUP BY r),
+b AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dups.n, 0)::BIGINT AS n_dup_lines,
+             coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS n_removed
+      FROM d LEFT JOIN rep USING (r) LEFT JOIN dups USING (r) LEFT JOIN gone USING (r)),
+c AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b)
+SELECT *, NOT base_failed AND n_words - n_removed >= 10 AND n_words - n_removed >= 0.5 * n_words AS kept FROM c
+"""
+
+DECONTAMINATION = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s+n-1], ' ') AS k
+       FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+             FROM (SELECT item_id, w, least(10, len(w)) AS n FROM i WHERE len(w) > 0))),
+dw AS (SELECT doc_id, n, s, array_to_string(w[s:s+n-1], ' ') AS k
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+m AS (SELECT doc_id, s, dw.n, item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.k = iw.k),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM m) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM m) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
+
+LINE_DEDUP = r"""
+WITH lines AS (SELECT doc_id, p, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+               FROM (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS p
+                     FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+often AS (SELECT k, max(doc_id) AS keeper FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT doc_id, p, line, keeper IS NOT NULL AND keeper <> doc_id AS gone FROM lines LEFT JOIN often USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_quality_rules": QUALITY,
+        "op5_decontamination": DECONTAMINATION,
+        "op7_line_dedup": LINE_DEDUP,
+    }
