@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracefold.llm import decontamination, language_id, line_dedup, quality, token_counts
+from tracefold.llm import decontamination, language_id, line_dedup, quality, simhash, token_counts
 from tracefold.llm.common import table
 
 
@@ -37,11 +37,16 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_language_id, op2_token_counts, op4_quality_rules, op5_decontamination, op7_line_dedup]
+    listed = [op1_language_id, op2_token_counts, op4_quality_rules, op5_decontamination, op6_simhash_dedup, op7_line_dedup]
     return {query.__name__: query for query in listed}
