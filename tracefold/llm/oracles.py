@@ -4,6 +4,35 @@ from __future__ import annotations
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+def _share(name: str, nodes: str, parent: str, own: str) -> str:
+    """Capped shares of ``given`` among the children of ``nodes`` (parent, own, weight, cap, given)."""
+    by = f"PARTITION BY {parent}" if parent else ""
+    keys = f"{parent}, {own}" if parent else own
+    return f"""
+{name}_a AS (SELECT *, coalesce(sum(cap) OVER ({by} ORDER BY cap / weight, {own} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bef,
+             sum(weight) OVER ({by} ORDER BY cap / weight, {own} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ws FROM ({nodes})),
+{name}_b AS (SELECT *, cap::HUGEINT * ws + bef * weight <= given::HUGEINT * weight AS is_full FROM {name}_a),
+{name}_c AS (SELECT *, coalesce(sum(cap) FILTER (is_full) OVER ({by}), 0) AS used, sum(weight) FILTER (NOT is_full) OVER ({by}) AS op FROM {name}_b),
+{name} AS (SELECT {keys}, (CASE WHEN is_full THEN cap ELSE (given - used)::HUGEINT * weight // op END)::BIGINT AS tokens FROM {name}_c)"""
+
+
+MIXING = f"""
+WITH d AS (SELECT doc_id, CASE TRY_CAST(regexp_extract(source, '[0-9]+$') AS INT) % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'books' WHEN 2 THEN 'code' ELSE 'other' END AS domain,
+                  lang, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS held FROM documents),
+leaf AS (SELECT domain, lang, source, sum(held)::BIGINT AS held FROM d GROUP BY ALL HAVING sum(held) > 0),
+{_share("l0", """SELECT domain, (sum(held) * 4)::BIGINT AS cap, CASE domain WHEN 'web' THEN 5 WHEN 'books' THEN 3 WHEN 'code' THEN 2 ELSE 1 END AS weight,
+        (SELECT sum(held) FROM leaf)::BIGINT AS given FROM leaf GROUP BY domain""", "", "domain")},
+{_share("l1", """SELECT domain, lang, (sum(held) * 4)::BIGINT AS cap, CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS weight,
+        any_value(tokens) AS given FROM leaf JOIN l0 USING (domain) GROUP BY domain, lang""", "domain", "lang")},
+{_share("l2", """SELECT domain, lang, source, held * 4 AS cap, 1 AS weight, tokens AS given FROM leaf JOIN l1 USING (domain, lang)""", "domain, lang", "source")},
+ends AS (SELECT domain, lang, source, tokens // held AS epochs, tokens % held AS rest FROM leaf JOIN l2 USING (domain, lang, source)),
+placed AS (SELECT *, md5('17:' || epochs || ':' || doc_id) AS place FROM d JOIN ends USING (domain, lang, source) WHERE held > 0),
+run AS (SELECT *, sum(held) OVER (PARTITION BY domain, lang, source ORDER BY place) AS upto FROM placed),
+took AS (SELECT *, least(held, greatest(0, rest - (upto - held)))::BIGINT AS last FROM run),
+rep AS (SELECT *, unnest(range(0, epochs + CASE WHEN last > 0 THEN 1 ELSE 0 END)) AS epoch FROM took)
+SELECT doc_id, domain, lang, source, epoch, held AS n_tokens, CASE WHEN epoch < epochs THEN held ELSE last END AS take_tokens FROM rep
+"""
+
 QUALITY = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
                   regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
@@ -58,6 +87,7 @@ FROM marked GROUP BY doc_id
 
 def all_sql() -> dict[str, str]:
     return {
+        "op3_mixing": MIXING,
         "op4_quality_rules": QUALITY,
         "op5_decontamination": DECONTAMINATION,
         "op7_line_dedup": LINE_DEDUP,

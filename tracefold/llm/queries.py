@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracefold.llm import decontamination, language_id, line_dedup, quality, simhash, token_counts
+from tracefold.llm import decontamination, language_id, line_dedup, mixing, quality, simhash, token_counts
 from tracefold.llm.common import table
 
 
@@ -24,6 +24,23 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+#: Whole weights by level and value; 1 for values not named.
+MIX_WEIGHTS = {"domain": {"web": 5, "books": 3, "code": 2}, "lang": {"en": 4, "de": 2, "fr": 2}, "source": {}}
+
+
+def mix_groups() -> dict[str, Column]:
+    """Domain (by the number of the source), language, source."""
+    number = F.regexp_extract(F.col("source"), "[0-9]+$", 0).try_cast("int") % 3
+    domain = F.when(number == 0, "web").when(number == 1, "books").when(number == 2, "code").otherwise("other")
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = mix_groups()
+    found = mixing.mix(table(spark, sf_dir, "documents").withColumn("domain", groups["domain"]), groups, MIX_WEIGHTS)
+    return found.select("doc.doc_id", "doc.domain", "doc.lang", "doc.source", "epoch", "n_tokens", "take_tokens")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.rate_documents(table(spark, sf_dir, "documents"))
     return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed")
@@ -48,5 +65,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_language_id, op2_token_counts, op4_quality_rules, op5_decontamination, op6_simhash_dedup, op7_line_dedup]
+    listed = [
+        op1_language_id, op2_token_counts, op3_mixing, op4_quality_rules, op5_decontamination, op6_simhash_dedup, op7_line_dedup,
+    ]
     return {query.__name__: query for query in listed}
