@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracefold.llm import decontamination, language_id, line_dedup, mixing, quality, simhash, token_counts
+from tracefold.cluster import shared_path
+from tracefold.llm import decontamination, language_id, line_dedup, mixing, quality, simhash, token_counts, token_files
 from tracefold.llm.common import table
 
 
@@ -64,8 +65,21 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Write documents as token files, read these back, and digest each document."""
+    spark, path = docs.sparkSession, shared_path(docs.sparkSession, "token-files")
+    token_files.write_files(token_files.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json")), path)
+    found = token_files.read_files(spark, path)
+    return found.select("doc_id", "start", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_language_id, op2_token_counts, op3_mixing, op4_quality_rules, op5_decontamination, op6_simhash_dedup, op7_line_dedup,
+        op9_token_files,
     ]
     return {query.__name__: query for query in listed}
