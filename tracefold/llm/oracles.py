@@ -84,6 +84,13 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+WARC = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to FROM f
+"""
+
 
 def all_sql() -> dict[str, str]:
     return {
@@ -91,4 +98,5 @@ def all_sql() -> dict[str, str]:
         "op4_quality_rules": QUALITY,
         "op5_decontamination": DECONTAMINATION,
         "op7_line_dedup": LINE_DEDUP,
+        "op8_warc": WARC,
     }

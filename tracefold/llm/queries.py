@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracefold.cluster import shared_path
-from tracefold.llm import decontamination, language_id, line_dedup, mixing, quality, simhash, token_counts, token_files
-from tracefold.llm.common import table
+from tracefold.llm import decontamination, language_id, line_dedup, mixing, quality, simhash, token_counts, token_files, warc
+from tracefold.llm.common import table, written
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,18 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arc_path, warc_path = shared_path(spark, "arc"), shared_path(spark, "warc")
+    warc.write_arc(table(spark, sf_dir, "pages"), arc_path)
+    warc.convert(spark, arc_path, warc_path)
+    records = written(warc.read_warc(spark, warc_path, with_payload=False), "warc-records")
+    first = records.filter("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("number").alias("refers_to"))
+    revisits = records.filter("record_type = 'revisit'").join(first, "refers_to_id")
+    found = records.filter("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("long")).unionByName(revisits)
+    return found.select(F.col("number").alias("page_id"), "payload_bytes", F.substring_index("payload_digest", ":", -1).alias("payload_digest"),
+                        "record_type", "refers_to")
+
+
 def token_digests(docs: DataFrame) -> DataFrame:
     """Write documents as token files, read these back, and digest each document."""
     spark, path = docs.sparkSession, shared_path(docs.sparkSession, "token-files")
@@ -79,7 +91,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
-        op1_language_id, op2_token_counts, op3_mixing, op4_quality_rules, op5_decontamination, op6_simhash_dedup, op7_line_dedup,
+        op1_language_id, op2_token_counts, op3_mixing, op4_quality_rules, op5_decontamination, op6_simhash_dedup, op7_line_dedup, op8_warc,
         op9_token_files,
     ]
     return {query.__name__: query for query in listed}
