@@ -91,6 +91,17 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AN
        CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to FROM f
 """
 
+SUBSTRING_DEDUP = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+wins AS (SELECT doc_id, s, md5(array_to_string(w[s:s+19], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d)),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM wins) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, s + o AS p FROM later, range(0, 20) t(o)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 
 def all_sql() -> dict[str, str]:
     return {
@@ -99,4 +110,5 @@ def all_sql() -> dict[str, str]:
         "op5_decontamination": DECONTAMINATION,
         "op7_line_dedup": LINE_DEDUP,
         "op8_warc": WARC,
+        "op10_substring_dedup": SUBSTRING_DEDUP,
     }

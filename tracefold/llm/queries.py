@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracefold.cluster import shared_path
-from tracefold.llm import decontamination, language_id, line_dedup, mixing, quality, simhash, token_counts, token_files, warc
+from tracefold.llm import decontamination, language_id, line_dedup, mixing, quality, simhash, substring_dedup, token_counts, token_files, warc
 from tracefold.llm.common import table, written
 
 
@@ -89,9 +89,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_language_id, op2_token_counts, op3_mixing, op4_quality_rules, op5_decontamination, op6_simhash_dedup, op7_line_dedup, op8_warc,
-        op9_token_files,
+        op9_token_files, op10_substring_dedup,
     ]
     return {query.__name__: query for query in listed}
