@@ -19,7 +19,6 @@ rounded down. An empty table or a budget of 0 selects nothing.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 from tracefold.llm.common import WORD, written
 
 DIGITS = 3  # of 16 values: histograms have 4096 bins
+SALTS = 64  # parts into which the documents of a leaf are dealt for joins with it
 
 
 def _big(c: str | Column) -> Column:
@@ -84,18 +84,24 @@ def _running(bins: DataFrame, levels: Sequence[str], order: str) -> DataFrame:
             .withColumn("rest", F.col("rest") - F.col("upto") + F.col("held")).drop("upto"))
 
 
+def with_leaf(rows: DataFrame, leaves: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """Rows with what their leaf has. A leaf's rows are dealt by a salt, and it has a row for each salt."""
+    salted = leaves.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, [*levels, "salt"]).drop("salt")
+
+
 def cuts(rows: DataFrame, leaves: DataFrame, levels: Sequence[str], order: Column) -> DataFrame:
     """For each leaf with a prefix the place in the order where it ends, and what is taken of the unit there."""
     wanted = leaves.filter("rest > 0").select(*levels, "epochs", "rest")
-    placed = rows.join(wanted.drop("rest"), list(levels)).withColumn("place", order).filter("held > 0")
+    placed = with_leaf(rows, wanted.drop("rest"), levels).withColumn("place", order).filter("held > 0")
     found = wanted.drop("epochs")
     for k in range(2):
         digits = F.substring("place", 1 + k * DIGITS, DIGITS)
-        here = placed if k == 0 else placed.join(found.select(*levels, "lead"), list(levels)).filter(F.col("place").startswith(F.col("lead")))
+        here = placed if k == 0 else with_leaf(placed, found.select(*levels, "lead"), levels).filter(F.col("place").startswith(F.col("lead")))
         bins = here.groupBy(*levels, digits.alias("bin")).agg(F.sum("held").alias("held")).join(found, list(levels))
         lead = F.col("bin") if k == 0 else F.concat("lead", "bin")
         found = _running(bins, levels, "bin").select(*levels, lead.alias("lead"), "rest")
-    here = placed.join(found, list(levels)).filter(F.col("place").startswith(F.col("lead")))
+    here = with_leaf(placed, found, levels).filter(F.col("place").startswith(F.col("lead")))
     units = here.groupBy(*levels, "place", "rest").agg(F.sum("held").alias("held"))
     return _running(units, levels, "place").select(*levels, F.col("place").alias("cut"), F.col("rest").alias("cut_rest"), F.col("held").alias("cut_held"))
 
@@ -119,8 +125,7 @@ def mix(docs: DataFrame, groups: Mapping[str, Column], weights: Mapping[str, Map
     leaves = written(leaves, "leaves")
     place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epochs").cast("string"), F.col("id")))
     ends = written(leaves.join(cuts(counted, leaves, levels, place), levels, "left"), "leaf-cuts")
-    same = reduce(lambda a, b: a & b, (F.col(f"r.{level}") == F.col(f"e.{level}") for level in levels))
-    chosen = rows.filter("held > 0").alias("r").join(ends.alias("e"), same).withColumn("place", place)
+    chosen = with_leaf(rows.filter("held > 0"), ends, levels).withColumn("place", place)
     last = (F.when(F.col("place") < F.col("cut"), F.col("held"))
             .when(F.col("place") == F.col("cut"), F.expr("cast(cast(cut_rest as decimal(38,0)) * cast(held as decimal(38,0)) div cast(cut_held as decimal(38,0)) as long)"))
             .otherwise(F.lit(0)))
