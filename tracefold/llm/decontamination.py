@@ -121,30 +121,34 @@ def shingle_counts(docs: DataFrame, index, window: int, shingle: int) -> dict[by
 
 def find_contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                        item_text: str = "text", *, window: int = 10, shingle: int = 3, block_bytes: int = 16 << 20,
-                       keep: tuple[str, ...] = ()) -> DataFrame:
+                       with_row: bool = False) -> DataFrame:
     """For each row its key, n_words, spans of hit words and item_ids found (sorted as text).
 
-    ``keep`` names further columns of ``docs`` to pass on, the text among them if wanted.
+    ``with_row`` adds the row itself as ``doc``.
     """
     spark = docs.sparkSession
     items = items.select(F.col(item_key).cast("string").alias("item"), F.col(item_text).alias("text"))
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     blocks = 1 + size // block_bytes
-    kept = [F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)]
+    others = [F.struct(*(F.col(c) for c in docs.columns if c != text), F.lit(None).alias("_")).alias("others")] if with_row else []
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.lit(None).cast(SPANS).alias("spans"),
-                       F.lit(None).cast("array<string>").alias("items"), F.lit(0).cast("long").alias("n_words"), *kept)
+                       F.lit(None).cast("array<string>").alias("items"), F.lit(0).cast("long").alias("n_words"), *others)
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else items
         index = spark.sparkContext.broadcast([tuple(r) for r in part.distinct().collect()])
         counts = spark.sparkContext.broadcast(shingle_counts(rows, index, window, shingle))
-        rows = rows.mapInArrow(_matcher(index, counts, window, shingle), rows.schema)
-        if block + 1 < blocks:
+        last = block + 1 == blocks
+        out = [c for c in rows.columns if c != "text" or with_row or not last]
+        rows = rows.mapInArrow(_matcher(index, counts, window, shingle, out), rows.select(*out).schema)
+        if not last:
             rows = written(rows, "decontamination")
-    return rows.select(F.col("key").alias(key), "n_words", "spans", F.col("items").alias("item_ids"),
-                       *(F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep)))
+    found = [F.col("key").alias(key), "n_words", "spans", F.col("items").alias("item_ids")]
+    if with_row:
+        found.append(F.struct(*(F.col("text") if c == text else F.col(f"others.{c}") for c in docs.columns)).alias("doc"))
+    return rows.select(*found)
 
 
-def _matcher(index, counts, window: int, shingle: int):
+def _matcher(index, counts, window: int, shingle: int, out: list[str]):
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,6 +170,6 @@ def _matcher(index, counts, window: int, shingle: int):
                 spans.append([{"start": a, "end": b} for a, b in merged])
                 items.append(sorted({*(old_items or ()), *listed}))
             new = {"spans": pa.array(spans, kind), "items": pa.array(items, pa.list_(pa.string())), "n_words": pa.array(n_words, pa.int64())}
-            yield pa.RecordBatch.from_arrays([new.get(c, batch[c]) for c in batch.schema.names], batch.schema.names)
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else batch[c] for c in out], out)
 
     return match
