@@ -11,7 +11,7 @@ next. Runs are bucketed by key and sorted within buckets, so joins and merges mo
 
 Keys are compared by 128 bits of hash. Every row is a document. Defined cases: a null text is one
 empty line and comes back as an empty text; rows with the same id share keeping; rows without an id
-come last and keep a line only if nothing else holds it often enough.
+keep a line only if no row with an id holds it.
 """
 
 from __future__ import annotations
