@@ -28,3 +28,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def byte_length(text: Column) -> Column:
     """UTF-8 bytes of a text; null counts as empty."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def join_dealt(rows: DataFrame, one_per_key: DataFrame, keys: list[str], by: Column, parts: int = 64) -> DataFrame:
+    """Inner join with a table that has a row for each key. The rows of a common key are dealt to ``parts`` places by ``by``."""
+    everywhere = one_per_key.withColumn("dealt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return rows.withColumn("dealt", F.pmod(by, F.lit(parts)).cast("int")).join(everywhere, [*keys, "dealt"]).drop("dealt")

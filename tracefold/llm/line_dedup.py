@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracefold.cluster import shared_path
-from tracefold.llm.common import shuffle_partitions
+from tracefold.llm.common import join_dealt, shuffle_partitions
 
 BLANK = b" \t\n\v\f\r"
 KEY = ["hi", "lo"]
@@ -124,7 +124,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", *, min
     for k in range(batches):
         store.add(lines.filter(F.col("batch") == k))
     often = store.merged().filter(F.col("n") >= min_documents).select(*KEY, "keeper")
-    gone = (lines.join(often, KEY).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    gone = (join_dealt(lines, often, KEY, F.col("version")).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .groupBy(F.col("doc_id").alias("id"), F.col("version").alias("of")).agg(F.collect_set(F.struct(*KEY)).alias("gone")))
     joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("version") == F.col("of")), "left").select("doc_id", "text", "gone")
 

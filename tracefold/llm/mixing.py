@@ -23,10 +23,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracefold.llm.common import WORD, written
+from tracefold.llm.common import WORD, join_dealt, written
 
 DIGITS = 3  # of 16 values: histograms have 4096 bins
-SALTS = 64  # parts into which the documents of a leaf are dealt for joins with it
 
 
 def _big(c: str | Column) -> Column:
@@ -85,9 +84,8 @@ def _running(bins: DataFrame, levels: Sequence[str], order: str) -> DataFrame:
 
 
 def with_leaf(rows: DataFrame, leaves: DataFrame, levels: Sequence[str]) -> DataFrame:
-    """Rows with what their leaf has. A leaf's rows are dealt by a salt, and it has a row for each salt."""
-    salted = leaves.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, [*levels, "salt"]).drop("salt")
+    """Rows with what their leaf has."""
+    return join_dealt(rows, leaves, list(levels), F.xxhash64("id"))
 
 
 def cuts(rows: DataFrame, leaves: DataFrame, levels: Sequence[str], order: Column) -> DataFrame:
