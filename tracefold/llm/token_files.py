@@ -18,7 +18,9 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ BLOCK_IDS = 1 << 16
 class CachedEncoder:
     """Ids of texts as little-endian unsigned 32-bit numbers; distinct parts are encoded once while they are held."""
 
-    def __init__(self, tokenizer_file: str, held: int = 500_000):
+    def __init__(self, tokenizer_file: str, held: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -47,16 +49,23 @@ class CachedEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         parts = [PART.findall(t) if t else [] for t in texts]
-        new = list(set().union(*parts).difference(self.known))
+        every = set().union(*parts)
+        new = every.difference(self.known)
         if len(self.known) + len(new) > self.held:
-            self.known = {}
-            new = list(set().union(*parts))
+            self.known, new = {}, every
+        new = list(new)
         for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[part] = np.array(found.ids, "<u4").tobytes()
+            self.known[part] = array("I", found.ids).tobytes()
         get = self.known.__getitem__
         return [b"".join(map(get, p)) for p in parts]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer_file: str) -> CachedEncoder:
+    """The encoder of a worker process, kept from task to task."""
+    return CachedEncoder(tokenizer_file)
+
+
 def encode_documents(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text: str = "text", end_id: int = 0,
                      vocabulary: int = 1 << 16) -> DataFrame:
     """part, doc_id and ids for each row, parts and rows by rising id; ids have 2 bytes each if ``vocabulary`` allows, else 4."""
@@ -64,7 +73,7 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, key: str = "doc_id",
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = CachedEncoder(tokenizer_file), np.array([end_id], "<u4").tobytes()
+        encoder, end = encoder_of(tokenizer_file), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             texts, step = batch["text"], 500
             for k in range(0, batch.num_rows, step):

@@ -252,6 +252,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, *, min_revisit:
               .select("digest", F.col("first.id").alias("first_id"), F.struct(F.col("first.id").alias("id"), F.col("first.uri").alias("uri"), F.col("first.date").alias("date")).alias("to")))
     revisits = (index.join(firsts, "digest").filter(F.col("id") != F.col("first_id"))
                 .groupBy("path").agg(F.collect_list(F.struct("place", "to")).alias("revisits")))
+    # written, so that its size is known before the files are moved for it
+    revisits = written(revisits, "revisits")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
