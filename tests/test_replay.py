@@ -159,6 +159,32 @@ def test_segments_of_one_long_session(spark):
         assert outcomes(check_logs(sessions_of(spark, logs, hot_rows=50), nets_from_rows(spark, {"m": net}), run, segment=segment)) == wanted
 
 
-def test_runs_must_differ_in_their_model(spark):
-    with pytest.raises(ValueError, match="one run"):
+@pytest.mark.parametrize("segments", [12, 48])
+def test_rounds_do_not_grow_with_the_session(spark, caplog, segments):
+    """A net that changes between two markings with every event, and segments of odd length."""
+    net = [("t1", "a", ["p1"], ["p2"]), ("t2", "a", ["p2"], ["p1"])]
+    logs = {"x": ["a"] * (3 * segments), "y": ["a"] * (3 * segments - 2)}
+    with caplog.at_level("INFO", logger=replay_fold.__name__):
+        found = outcomes(check_logs(sessions_of(spark, logs), nets_from_rows(spark, {"m": net}), [Run("m", expected_final=("p2",))], segment=3))
+    assert found == {case: replay(net, log, ["p2"]) for case, log in logs.items()}
+    (rounds,) = [int(m.split()[-2]) for m in caplog.messages if "settled" in m]
+    assert rounds <= 3
+
+
+def test_runs_must_differ_in_their_names(spark):
+    with pytest.raises(ValueError, match="run ids"):
         check_logs(sessions_of(spark, {"x": ["stop"]}), nets_from_rows(spark, NETS), [Run("walk"), Run("walk", "again")])
+
+
+@pytest.mark.parametrize("together", [False, True])
+def test_one_bound_trims_one_side(spark, together):
+    """All combinations of bounds on one model, alone and side by side; an empty bound keeps nothing."""
+    log, nets = ["turn back", "go left", "stop", "go right", "stop", "turn back"], nets_from_rows(spark, NETS)
+    bounds = {"none": (None, None), "first": (("go left",), None), "last": (None, ("stop",)), "both": (("go left",), ("stop",)), "empty": ((), None)}
+    cut = {"none": log, "first": log[1:], "last": log[:5], "both": log[1:5]}
+    runs = [Run("walk", name, first, last, ("p5",), run_id=name) for name, (first, last) in bounds.items()]
+    sessions = sessions_of(spark, {"x": log})
+    found = check_logs(sessions, nets, runs).collect() if together else [r for run in runs for r in check_logs(sessions, nets, [run]).collect()]
+    got = {r.model_id: (r.status, r.error_detail, r.missing_tokens, r.missing_indices, r.unconsumed_tokens) for r in found}
+    assert got == {name: replay(NETS["walk"], part, ["p5"]) for name, part in cut.items()}
+    assert {r.model_id: r.session_length for r in found} == {name: len(part) for name, part in cut.items()}

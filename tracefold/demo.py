@@ -27,6 +27,8 @@ NETS = {
         ("t6", "purchase", ("p1",), ("p1",)),
         ("t7", "error", ("p1",), ("p1",)),
     ),
+    "switch": tuple(row for k, name in enumerate(("signup", "view", "click", "purchase", "error")) for row in (
+        (f"t{2 * k + 1}", name, ("p1",), ("p2",)), (f"t{2 * k + 2}", name, ("p2",), ("p1",)))),
     "chat": (
         ("t1", "system", ("p1",), ("p1",)),
         ("t2", "user", ("p1",), ("p3",)),

@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Models up to this many arcs and transitions are broadcast; larger ones are joined by shuffle.
-BROADCAST_MODEL_ROWS = 100_000
+# Tables with a row per event name are broadcast up to this size; larger ones are joined by name and deal.
+BROADCAST_MODEL_BYTES = 16 << 20
+ROW_BYTES = 64
+DEALS = 64
 
 
 @dataclass(frozen=True)
@@ -184,7 +186,7 @@ def union_nets(*nets: Nets) -> Nets:
 def event_transition_lookup(log: DataFrame, nets: Nets, model_id: str) -> DataFrame:
     """Each event of a log with every transition of its name in the model."""
     lookup = transition_lookup(nets).where(F.col("model_id") == model_id).withColumnRenamed("name", "event")
-    return log.join(broadcast_hint(check_nets(nets, [model_id]))(lookup), "event")
+    return event_join(check_nets(nets, [model_id]))(log, lookup, ["event"])
 
 
 def missing_ratios(markings: DataFrame, nets: Nets) -> DataFrame:
@@ -203,6 +205,7 @@ def missing_ratios(markings: DataFrame, nets: Nets) -> DataFrame:
     )
     absent = F.size(F.filter("ins", lambda place: ~F.array_contains("tokens", place)))
     ratio = F.when(F.size("ins") == 0, F.lit(0.0)).otherwise(absent.cast("double") / F.size("ins"))
+    # one row per transition; left to Spark, which sees the size of the tables or splits a common name
     return (
         markings.join(needs, ["model_id", "event"])
         .select("model_id", "marking_id", "event", "transition_id", "trans_ord", ratio.alias("ratio"))
@@ -221,8 +224,7 @@ def least_missing_transitions(markings: DataFrame, nets: Nets) -> DataFrame:
 class ModelFacts:
     """What replay has to know about one model before it is planned."""
 
-    transitions: int
-    arcs: int
+    size: int
     most_per_name: int
 
 
@@ -246,7 +248,7 @@ def check_nets(nets: Nets, model_ids: list[str]) -> dict[str, ModelFacts]:
         uses.groupBy("model_id", "kind", "key").agg(F.sum("declared").alias("declared"), F.count(F.lit(1)).alias("uses"))
         .groupBy("model_id").agg(
             F.sum(F.when(is_id, F.col("declared"))).alias("transitions"),
-            F.sum(F.when(is_id, F.col("uses") - F.col("declared"))).alias("arcs"),
+            F.sum(F.col("uses") * (F.coalesce(F.octet_length("key"), F.lit(0)) + ROW_BYTES)).alias("size"),
             F.max(F.when(is_name, F.col("declared"))).alias("most_per_name"),
             F.max(F.when(is_id, F.col("declared"))).alias("most_per_id"),
             F.count(F.when(is_id & (F.col("declared") == 0), 1)).alias("dangling"),
@@ -265,11 +267,24 @@ def check_nets(nets: Nets, model_ids: list[str]) -> dict[str, ModelFacts]:
             raise ValueError(f"model {model} has a transition without a name")
         if fact.dangling:
             raise ValueError(f"model {model} has an arc to a transition it does not declare")
-        checked[model] = ModelFacts(fact.transitions, fact.arcs, fact.most_per_name)
+        checked[model] = ModelFacts(fact.size, fact.most_per_name)
     return checked
 
 
-def broadcast_hint(facts: dict[str, ModelFacts], models: Iterable[str] | None = None) -> Callable[[DataFrame], DataFrame]:
-    """A broadcast for tables of these models if they are small; Spark's own choice of join beyond that."""
-    size = sum(facts[m].arcs + facts[m].transitions for m in models or facts)
-    return F.broadcast if size <= BROADCAST_MODEL_ROWS else lambda df: df
+def event_join(facts: dict[str, ModelFacts], models: Iterable[str] | None = None) -> Callable[..., DataFrame]:
+    """How log rows are joined with a table of one row, or a few, per event name of these models.
+
+    The table is broadcast if its measured size allows. If not, rows of a name are dealt to many
+    tasks by case and position, and the table has a copy for each deal: a log has few names, so a
+    plain shuffle would gather it in as few tasks.
+    """
+    size = sum(facts[m].size for m in models or facts)
+
+    def join(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+        if size <= BROADCAST_MODEL_BYTES:
+            return rows.join(F.broadcast(table), keys, how)
+        place = [c for c in ("case_id", "pos", "ts", "marking_id") if c in rows.columns]
+        dealt = rows.withColumn("deal", F.pmod(F.xxhash64(*place), F.lit(DEALS)).cast("int"))
+        copies = table.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+        return dealt.join(copies, [*keys, "deal"], how).drop("deal")
+    return join

@@ -7,12 +7,16 @@ over the events of a segment, with places and event names as small integers.
 A longer session is folded in many segments at once. Every segment first runs from a
 guess; its result then holds for all starts from which each test for a token would
 come out the same. Where the segment before it ends in such a start the guess was as
-good as the truth, and the other segments run again from what is now known. Results
-are exact: the rounds end only when every segment fits the one before it.
+good as the truth, and the other segments run again from what is now known. All runs of a
+segment are kept, and runs that continue each other are chained by doubling, so a net that
+moves between a few markings settles in as many rounds, however long its sessions are.
+Results are exact: the rounds end only when every segment fits the one before it.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,6 +26,7 @@ from tracefold.operators.models import Nets, transition_arcs
 from tracefold.operators.sessions import SEGMENT_EVENTS, Piece, Sessions, union_all, with_session_values
 from tracefold.schemas import STATUS_OK, STATUS_PATH_EXPLOSION, STATUS_UNKNOWN_EVENT
 
+LOG = logging.getLogger(__name__)
 PATH_LIMIT = 100
 SESSION = ["model_id", "case_id"]
 
@@ -181,10 +186,10 @@ def fold_segment(rows: DataFrame, watch: bool = False) -> DataFrame:
 # --- whole sessions ---------------------------------------------------------------
 
 
-def label_segments(sessions: Sessions, labels: DataFrame, size: int) -> DataFrame:
+def label_segments(sessions: Sessions, labels: DataFrame, size: int, join) -> DataFrame:
     """Sessions as arrays of event labels, ``size`` events per row, up to the first unknown event."""
     def one(piece: Piece) -> DataFrame:
-        rows = piece.rows.join(labels, ["model_id", "event"], "left")
+        rows = join(piece.rows, labels, ["model_id", "event"], "left")
         unknown = F.min(F.when(F.col("label").isNull(), F.struct("pos", "event")))
         rows = with_session_values(piece.with_rows(rows), unknown=unknown).rows
         known = F.col("unknown").isNull() | (F.col("pos") < F.col("unknown.pos"))
@@ -198,7 +203,7 @@ def label_segments(sessions: Sessions, labels: DataFrame, size: int) -> DataFram
     return union_all(one(piece) for piece in sessions.pieces)
 
 
-def replay_fold(sessions: Sessions, nets: Nets, expected: DataFrame, hint=F.broadcast,
+def replay_fold(sessions: Sessions, nets: Nets, expected: DataFrame, join,
                 size: int = SEGMENT_EVENTS, share_variants: bool = False) -> DataFrame:
     """Replay sessions that carry ``model_id`` and length ``n``; one result row per session.
 
@@ -206,14 +211,15 @@ def replay_fold(sessions: Sessions, nets: Nets, expected: DataFrame, hint=F.broa
     off when sessions are short and repeat.
     """
     labels, models = event_options(nets, expected)
-    labels, models = hint(labels), hint(models)
-    segments = label_segments(sessions, labels, size)
+    # one row per run, of which every task needs all
+    models = F.broadcast(models)
+    segments = label_segments(sessions, labels, size, join)
     short = segments.where(F.col("n") <= size)
     folded = _fold_variants(short, models) if share_variants else _fold_first(short.join(models, "model_id"))
     if sessions.longest <= size:
         return _finish(folded)
     columns = [*SESSION, "n", "unknown", "names", "final", "tok", "miss", "exploded"]
-    longer = _fold_long(segments.where(F.col("n") > size), models, size)
+    longer = _fold_long(segments.where(F.col("n") > size), models, size, sessions.longest)
     return _finish(folded.select(columns).unionByName(longer.select(columns)))
 
 
@@ -233,28 +239,49 @@ def _fold_variants(rows: DataFrame, models: DataFrame) -> DataFrame:
     return rows.join(results, ["model_id", "labels"]).join(models.select("model_id", "names", "final"), "model_id")
 
 
-def _fold_long(segments: DataFrame, models: DataFrame, size: int) -> DataFrame:
+def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int) -> DataFrame:
     """Fold sessions of several segments, all segments at once, until they fit together.
 
     The first segment of a session runs from the truth, so each round settles at least the
-    next one, and all of them as soon as their starts no longer matter.
+    next one, and all those that earlier runs cover or whose starts no longer matter. A segment
+    that does not fit runs again from the best guess at its start and from the end that the
+    segment before it came to. Settled sessions leave the loop.
     """
     # an unknown event cuts a session off: later segments do not count
     within = F.col("unknown").isNull() | (F.col("segment") <= F.expr(f"greatest(unknown.pos - 1, 0L) div {size}"))
     segments = cut_lineage(segments.where(within))
-    runs = _run(segments.join(models.select("model_id", F.array("init").alias("toks")), "model_id"), models)
+    key, steps = [*SESSION, "segment"], max(1, (-(-longest // size) - 1).bit_length())
+    starts = segments.join(models.select("model_id", F.array("init").alias("toks")), "model_id")
+    memo = _run(starts, models).withColumn("round", F.lit(0))
+    settled, rounds = [], 0
     while True:
+        rounds += 1
+        runs = cut_lineage(_chain(memo, steps)) if rounds > 1 else memo.drop("round")
         linked = cut_lineage(_link(runs))
-        open_sessions = linked.groupBy(*SESSION).agg(
-            F.min(F.when(~F.col("fits"), F.col("segment"))).alias("misfit"),
-            F.min(F.when(F.col("exploded"), F.col("segment"))).alias("boom"))
         # what follows a settled explosion is of no account
-        if open_sessions.where("misfit <= coalesce(boom, misfit)").isEmpty():
+        is_open = (
+            linked.groupBy(*SESSION).agg(F.min(F.when(~F.col("fits"), F.col("segment"))).alias("misfit"),
+                                         F.min(F.when(F.col("exploded"), F.col("segment"))).alias("boom"))
+            .where("misfit <= coalesce(boom, misfit)").select(*SESSION)
+        )
+        is_open = cut_lineage(is_open)
+        if is_open.isEmpty():
+            settled.append((runs, linked))
             break
-        again = linked.where("not fits").select(*SESSION, "segment", F.col("next_toks").alias("toks"))
-        rerun = _run(segments.join(again, [*SESSION, "segment"]), models)
-        runs = runs.join(again.select(*SESSION, "segment"), [*SESSION, "segment"], "left_anti").unionByName(rerun)
-        runs = cut_lineage(runs)
+        settled.append((runs.join(is_open, SESSION, "left_anti"), linked.join(is_open, SESSION, "left_anti")))
+        memo = memo.join(is_open, SESSION, "left_semi")
+        # from the best guess, and from where the segment before ended, which may be on the way of another start
+        misfits = linked.where("not fits").join(is_open, SESSION, "left_semi")
+        guesses = F.array(F.struct(F.lit(2 * rounds).alias("asked"), F.col("next_toks").alias("toks")),
+                          F.struct(F.lit(2 * rounds - 1).alias("asked"), F.col("before").alias("toks")))
+        again = cut_lineage(misfits.select(*key, F.inline(guesses)).groupBy(*key, "toks").agg(F.max("asked").alias("asked")))
+        # a start that was run before counts as the latest again
+        known = memo.join(again, [*key, "toks"], "left").withColumn("round", F.coalesce("asked", "round")).drop("asked")
+        fresh = again.join(memo.select(*key, "toks"), [*key, "toks"], "left_anti")
+        rerun = _run(segments.join(fresh, key), models)
+        memo = cut_lineage(known.unionByName(rerun.join(fresh, [*key, "toks"]).withColumnRenamed("asked", "round")))
+    LOG.info("long sessions settled in %d rounds", rounds)
+    runs, linked = (union_all(frames) for frames in zip(*settled))
     shifted = F.zip_with(F.col("toks_out")[0], F.col("shift"), lambda n, d: n + d)
     ends = (
         linked.groupBy(*SESSION)
@@ -268,12 +295,45 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int) -> DataFrame:
     return ends.join(missing, SESSION).join(models.select("model_id", "names", "final"), "model_id")
 
 
+def _chain(memo: DataFrame, steps: int) -> DataFrame:
+    """One run for each segment: where runs continue each other from the start of the session on, those; else the latest.
+
+    ``memo`` holds one run for each segment and start. A run is followed by the next segment's run
+    from where it ends. What is reached from the first segment doubles with each of the steps.
+    """
+    key = [*SESSION, "segment", "round"]
+    start = F.xxhash64("toks")
+    follow = memo.select(*SESSION, (F.col("segment") - 1).alias("segment"), F.col("round").alias("to_round"),
+                         F.col("toks").alias("toks_out"), start.alias("mark"))
+    jumps = (
+        memo.select(*key, "toks_out", F.xxhash64("toks_out").alias("mark"))
+        .join(follow, [*SESSION, "segment", "mark", "toks_out"])
+        .select(*key, (F.col("segment") + 1).alias("to_segment"), "to_round")
+    )
+    reached = memo.where("segment = 0 and round = 0").select(*key)
+    landing = [*SESSION, F.col("to_segment").alias("segment"), F.col("to_round").alias("round")]
+    for _ in range(steps):
+        # each step uses these several times
+        jumps, reached = cut_lineage(jumps), cut_lineage(reached)
+        reached = reached.unionByName(reached.join(jumps, key).select(*landing))
+        further = jumps.select(*SESSION, F.col("segment").alias("from_segment"), F.col("round").alias("from_round"),
+                               F.col("to_segment").alias("segment"), F.col("to_round").alias("round"))
+        jumps = further.join(jumps, key).select(
+            *SESSION, F.col("from_segment").alias("segment"), F.col("from_round").alias("round"), "to_segment", "to_round")
+    best = Window.partitionBy(*SESSION, "segment").orderBy(F.desc_nulls_last("chained"), F.desc("round"))
+    return (
+        memo.join(reached.distinct().withColumn("chained", F.lit(1)), key, "left")
+        .withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank", "chained", "round")
+    )
+
+
 def _run(starts: DataFrame, models: DataFrame) -> DataFrame:
     """Fold segments from the markings in ``toks``.
 
-    The segments are few bytes and much work, so they are spread over all task slots.
+    The segments are few bytes and much work, so they are spread over all task slots. ``low``
+    and the markings show from which other starts the run would have gone the same way.
     """
-    spread = starts.repartition(task_slots(starts.sparkSession), *SESSION, "segment")
+    spread = starts.repartition(task_slots(starts.sparkSession), *SESSION, "segment", "toks")
     folded = fold_segment(spread.join(models, "model_id"), watch=True)
     of_first = F.transform(missing_codes(F.col("state.buf")[0]["miss"]), lambda m: m % F.size("init"))
     made_up = F.transform("init", lambda _, place: F.size(F.filter("lost", lambda p: p == place)))
@@ -331,7 +391,7 @@ def _link(runs: DataFrame) -> DataFrame:
         .withColumn("carried", minus(F.col("shift"), F.col("gap")))
         .withColumn("next_toks", F.transform("before", lambda tok: F.zip_with(
             tok, "carried", lambda n, d: F.greatest(F.lit(0), n + d))))
-        .select(*key, "toks_out", "exploded", "shift", "next_toks", (F.col("alike") & F.col("holds")).alias("fits"))
+        .select(*key, "toks_out", "exploded", "shift", "before", "next_toks", (F.col("alike") & F.col("holds")).alias("fits"))
     )
 
 

@@ -70,18 +70,19 @@ def _closing_effects(nets: Nets, expected: DataFrame) -> DataFrame:
     )
 
 
-def replay_scan(sessions: Sessions, nets: Nets, expected: DataFrame, hint=F.broadcast, counts: bool = False) -> DataFrame:
+def replay_scan(sessions: Sessions, nets: Nets, expected: DataFrame, join, counts: bool = False) -> DataFrame:
     """Replay sessions that carry ``model_id`` and length ``n``; one result row per session.
 
-    ``counts`` only counts tokens, which needs no lists however long a session is.
+    ``join`` joins log rows with a table per event name. ``counts`` only counts tokens, which needs
+    no lists however long a session is.
     """
-    effects = hint(event_effects(nets, expected))
+    effects = event_effects(nets, expected)
     finish = _count_results if counts else _collect_results
-    return union_all(finish(_replay_piece(piece, effects)) for piece in sessions.pieces)
+    return union_all(finish(_replay_piece(piece, effects, join)) for piece in sessions.pieces)
 
 
-def _replay_piece(piece: Piece, effects: DataFrame) -> Piece:
-    rows = piece.rows.join(effects, ["model_id", "event"], "left")
+def _replay_piece(piece: Piece, effects: DataFrame, join) -> Piece:
+    rows = join(piece.rows, effects, ["model_id", "event"], "left")
     unknown = F.min(F.when(F.col("effects").isNull(), F.struct("pos", "event")))
     known = with_session_values(piece.with_rows(rows), unknown=unknown)
     return _fire(_token_steps(known))
@@ -112,7 +113,7 @@ def _fire(piece: Piece) -> Piece:
     before_here = in_place.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("debt", F.sum(F.col("c") - F.col("o")).over(up_to_here) + F.col("o"))
     if piece.split:
-        rows = rows.join(F.broadcast(_tokens_at_chunk_start(rows, piece.keys)), [*piece.task_keys, "place_id"], "left")
+        rows = rows.join(_tokens_at_chunk_start(rows, piece.keys), [*piece.task_keys, "place_id"], "left")
     else:
         rows = rows.withColumn("held", F.col("init"))
     created = lambda frame: F.greatest(F.lit(0), F.coalesce(F.max(F.col("debt") - F.col("held")).over(frame), F.lit(0)))

@@ -157,7 +157,7 @@ def _order_across_tasks(log: DataFrame, sizes: CaseSizes) -> Piece:
         rows.groupBy("case_id", "chunk").agg(F.count(F.lit(1)).alias("size"), F.min("nth").alias("first"))
         .select("case_id", "chunk", (F.coalesce(F.sum("size").over(before), F.lit(0)) - F.col("first")).alias("offset"))
     )
-    ordered = rows.join(F.broadcast(offsets), ["case_id", "chunk"]).withColumn("pos", F.col("nth") + F.col("offset"))
+    ordered = rows.join(offsets, ["case_id", "chunk"]).withColumn("pos", F.col("nth") + F.col("offset"))
     return Piece(ordered.select("case_id", "chunk", "pos", "ts", "event"), split=True)
 
 
@@ -166,15 +166,17 @@ def with_session_values(piece: Piece, **values: Column) -> Piece:
     if not piece.split:
         whole = Window.partitionBy(*piece.keys)
         return piece.with_rows(piece.rows.withColumns({k: v.over(whole) for k, v in values.items()}))
-    # one row per hot session, of which there are only a few per task slot
+    # one row per hot session and run: cases above a task's fair share are fewer than the task slots allow
     per_session = piece.rows.groupBy(*piece.keys).agg(*[v.alias(k) for k, v in values.items()])
     return piece.with_rows(piece.rows.join(F.broadcast(per_session), list(piece.keys)))
 
 
 def _is_any(events) -> Column:
-    """Event is one of ``events``: a list of names, or the name of an array column."""
+    """Event is one of ``events``: a list of names, or the name of an array column. None, or a null array, is any event."""
+    if events is None:
+        return F.lit(True)
     if isinstance(events, str):
-        return F.array_contains(F.col(events), F.col("event"))
+        return F.coalesce(F.array_contains(F.col(events), F.col("event")), F.lit(True))
     return F.col("event").isin(list(events)) if len(events) else F.lit(False)
 
 
@@ -221,10 +223,12 @@ def trim_end(sessions: Sessions, last_events) -> Sessions:
 def trim_sessions(sessions: Sessions, first_events, last_events) -> Sessions:
     """Cut each session to start at its first start event and end at its last end event.
 
-    Rows also get ``n``, the length of the trimmed session.
+    Rows also get ``n``, the length of the trimmed session. A bound of None leaves its side as it is;
+    an empty list keeps no session.
     """
     kept = F.col("pos").between(F.col("start"), F.col("end"))
-    bounded = with_bounds(sessions, first_events, last_events)
+    bounded = sessions.map(lambda piece: with_session_values(
+        piece, start=F.min(F.when(_is_any(first_events), F.col("pos"))), end=F.max(F.when(_is_any(last_events), F.col("pos")))))
     bounded = bounded.map(lambda p: p.with_rows(p.rows.withColumn("n", F.col("end") - F.col("start") + 1)))
     return _narrow(bounded, kept, shift=True)
 

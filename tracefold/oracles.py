@@ -23,6 +23,9 @@ def names(values: Sequence[str]) -> str:
 USER_LOG = "SELECT CAST(user_id AS VARCHAR) AS case_id, ts, event_type AS event FROM events"
 DAY_LOG = ("SELECT CAST(user_id AS VARCHAR) || '@' || strftime(ts, '%Y-%m-%d') AS case_id, ts, event_type AS event "
            "FROM events")
+SHARD_LOG = "SELECT CAST(user_id % 20 AS VARCHAR) AS case_id, ts, event_type AS event FROM events"
+HOUR_LOG = ("SELECT CAST(user_id AS VARCHAR) || '@' || strftime(ts, '%Y-%m-%d %H') AS case_id, ts, event_type AS event "
+            "FROM events")
 CHAT_LOG = "SELECT CAST(conv_id AS VARCHAR) AS case_id, turn AS ts, role AS event FROM conversations"
 
 
@@ -52,6 +55,12 @@ def grouped(source: str) -> str:
 FROM {source} GROUP BY ALL"""
 
 
+# days from their first start event on
+FRONT_LOG = f"""SELECT case_id, ts, event FROM (
+  SELECT *, min(nr) FILTER (WHERE list_contains({names(FIRST_EVENTS)}, event)) OVER (PARTITION BY case_id) AS first_nr
+  FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY ts, event) AS nr FROM ({DAY_LOG}))) WHERE nr >= first_nr"""
+
+
 # --- replay ------------------------------------------------------------------------
 
 
@@ -164,13 +173,13 @@ report AS (
 """
 
 
-def with_context(log: str, model: str) -> str:
+def with_context(log: str, model: str, trim: bool = True) -> str:
     """CTEs up to ``reported``: results with the text around each missing token."""
     piece = "CASE WHEN i = 0 THEN '(>> ' || array_to_string(events[1:3], ' > ') || ')'" \
         " WHEN i = n - 1 THEN '(' || events[n - 2] || ' > ' || events[n - 1] || ' >> ' || events[n] || ')'" \
         " WHEN i = n THEN '(' || array_to_string(events[n - 2:n], ' > ') || ' >>)'" \
         " ELSE '(' || events[i] || ' >> ' || events[i + 1] || ' > ' || events[i + 2] || ')' END"
-    return replay(log, {model: ["p2"]}) + f""",
+    return replay(log, {model: ["p2"]}, trim) + f""",
 reported AS (
   SELECT result.*, CASE WHEN n = 1 THEN '(>> ' || events[1] || ')' WHEN n = 2 THEN '(' || events[1] || ' >> ' || events[2] || ')'
     ELSE array_to_string(list_transform(mi, lambda i: {piece}), ';') END AS surrounding_events
@@ -286,15 +295,23 @@ WHERE ratio = (SELECT min(ratio) FROM ratios o WHERE o.marking_id = r.marking_id
         "replay_ambiguous": check(CHAT_LOG, "chat", [], trim=False),
         "check_logs_ambiguous": check(DAY_LOG, "shop_amb", shop_final),
         "replay_path_explosion": check(USER_LOG, "explode", ["p1"], trim=False),
-        "conformance_multi_model": replay(
-            DAY_LOG, {"shop": shop_final, "shop_amb": shop_final, "shop_noerror": ["p2", "p3"]}) + "\n" + FLAT.format(model="model_id, "),
+        "conformance_multi_model": " UNION ALL ".join(f"SELECT * FROM ({q})" for q in (
+            replay(DAY_LOG, {"shop": shop_final, "shop_amb": shop_final, "shop_noerror": ["p2", "p3"]}) + "\n" + FLAT.format(model="model_id, "),
+            replay(DAY_LOG, {"shop": shop_final}, trim=False) + "\n" + FLAT.format(model="'shop_whole' AS model_id, "),
+            replay(FRONT_LOG, {"shop_amb": shop_final}, trim=False) + "\n" + FLAT.format(model="'shop_front' AS model_id, "))),
         "unknown_events": f"""SELECT case_id, strftime(ts, {MICROS}) AS ts, event FROM ({USER_LOG})
 WHERE event NOT IN ({", ".join(sorted({repr(t[1]) for t in NETS["shop_noerror"]}))})""",
         "conformance_report": report("shop", "shop") + "SELECT * FROM report",
         "report_lines": report("shop_noerror", "shop") + """SELECT concat_ws('|', case_id, area, report_date, model_file,
   missing_tokens, unconsumed_tokens, missing_count, unconsumed_count, session_length) AS line FROM report""",
         "save_report": report("shop_noerror", "strict") + "SELECT * FROM report",
-        "surrounding_events": with_context(USER_LOG, "shop_noerror") + "SELECT case_id, n AS session_length, surrounding_events FROM reported",
+        "surrounding_events": " UNION ALL ".join(
+            f"SELECT * FROM ({with_context(log, 'shop', trim=False)}SELECT case_id, n AS session_length, surrounding_events FROM reported)"
+            for log in (HOUR_LOG, USER_LOG)),
+        "sort_sessions_hot": f"WITH {ordered(SHARD_LOG)}\nSELECT case_id, CAST(pos AS BIGINT) AS pos, event FROM ordered",
+        "trim_sessions_hot": f"WITH {ordered(SHARD_LOG)},\n{TRIMMED}\nSELECT case_id, CAST(pos AS BIGINT) AS pos, event FROM trimmed",
+        "replay_scan_hot": check(SHARD_LOG, "shop", shop_final),
+        "check_logs_long": replay(SHARD_LOG, {"shop_amb": shop_final, "switch": shop_final}, trim=False) + "\n" + FLAT.format(model="model_id, "),
         "generate_report": with_context(DAY_LOG, "shop") + """SELECT case_id, status, error_detail, array_to_string(mt, ',') AS missing_tokens,
   array_to_string(mi, ',') AS missing_indices, array_to_string(tok, ',') AS unconsumed_tokens, n AS session_length,
   surrounding_events FROM reported""",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tracefold.cluster import cut_lineage
 from tracefold.local import local_table
 from tracefold.operators.context import surrounding_events
-from tracefold.operators.models import ModelFacts, Nets, broadcast_hint, check_nets
+from tracefold.operators.models import ModelFacts, Nets, check_nets, event_join
 from tracefold.operators.replay_fold import replay_fold
 from tracefold.operators.replay_scan import replay_scan
 from tracefold.operators.sessions import (
@@ -24,7 +24,8 @@ from tracefold.schemas import COUNT_COLUMNS, RESULT_COLUMNS
 class Run:
     """One model applied to a log: what starts, ends and completes a session.
 
-    ``first_events`` and ``last_events`` left at None mean that sessions are not trimmed.
+    ``first_events`` or ``last_events`` left at None mean that sessions are not trimmed on that side.
+    Several runs of one model need a ``run_id`` each, which then stands as ``model_id`` in the results.
     """
 
     model_id: str
@@ -32,10 +33,33 @@ class Run:
     first_events: tuple[str, ...] | None = None
     last_events: tuple[str, ...] | None = None
     expected_final: tuple[str, ...] = ("p2",)
+    run_id: str | None = None
+
+    @property
+    def key(self) -> str:
+        return self.run_id or self.model_id
+
+    @property
+    def trims(self) -> bool:
+        return self.first_events is not None or self.last_events is not None
+
+
+def nets_of_runs(nets: Nets, runs: Sequence[Run]) -> Nets:
+    """The models of the runs, a copy for each run, named by the run."""
+    if len({run.key for run in runs}) < len(runs):
+        raise ValueError("runs of one model need run ids that differ")
+    if all(run.key == run.model_id for run in runs):
+        return nets
+    names = F.array(*[F.struct(F.lit(r.model_id).alias("of"), F.lit(r.key).alias("run")) for r in runs])
+
+    def copies(table: DataFrame) -> DataFrame:
+        own = F.filter(names, lambda r: r["of"] == F.col("model_id"))
+        return table.withColumn("model_id", F.explode(F.transform(own, lambda r: r["run"])))
+    return Nets(copies(nets.places), copies(nets.transitions), copies(nets.arcs))
 
 
 def _expected(nets: Nets, runs: Sequence[Run]) -> DataFrame:
-    rows = [(run.model_id, list(run.expected_final)) for run in runs]
+    rows = [(run.key, list(run.expected_final)) for run in runs]
     return local_table(nets.places.sparkSession, rows, "model_id string, expected_final array<string>")
 
 
@@ -50,26 +74,22 @@ def assign_runs(sessions: Sessions, runs: Sequence[Run]) -> Sessions:
     Several runs share one pass over the log: rows are repeated per run after the events
     were ordered.
     """
-    if len({run.model_id for run in runs}) < len(runs):
-        raise ValueError("a model can have one run at a time")
-    trimmed = [run.first_events is not None for run in runs]
-    if len(set(trimmed)) > 1:
-        raise ValueError("trim the sessions of all runs or of none")
+    trims = any(run.trims for run in runs)
     if len(runs) == 1:
         run = runs[0]
         # worked out from the row rather than a constant, which would turn joins on it into cross joins
-        model = F.when(F.col("pos") >= 0, F.lit(run.model_id))
+        model = F.when(F.col("pos") >= 0, F.lit(run.key))
         sessions = sessions.map(lambda p: p.with_rows(p.rows.withColumn("model_id", model)))
-        if trimmed[0]:
-            return trim_sessions(sessions, run.first_events, run.last_events or ())
+        if trims:
+            return trim_sessions(sessions, run.first_events, run.last_events)
     else:
-        names = lambda events: F.array(*[F.lit(e) for e in events or ()]).cast("array<string>")
+        names = lambda events: (F.lit(None) if events is None else F.array(*[F.lit(e) for e in events])).cast("array<string>")
         offers = F.array(*[
-            F.struct(F.lit(r.model_id).alias("model_id"), names(r.first_events).alias("first_events"),
+            F.struct(F.lit(r.key).alias("model_id"), names(r.first_events).alias("first_events"),
                      names(r.last_events).alias("last_events")) for r in runs])
         sessions = sessions.map(lambda p: replace(
             p, rows=p.rows.select("*", F.inline(offers)), keys=("case_id", "model_id")))
-        if trimmed[0]:
+        if trims:
             sessions = trim_sessions(sessions, "first_events", "last_events")
             return sessions.map(lambda p: p.with_rows(p.rows.drop("first_events", "last_events")))
     return sessions.map(lambda p: with_session_values(p, n=F.max(F.col("pos") + 1)))
@@ -82,14 +102,16 @@ def check_logs(sessions: Sessions, nets: Nets, runs: Sequence[Run], *, method: s
     ``method`` is "scan" (windows; event names must be unique), "fold" (any model) or
     "auto", which scans wherever it can.
     """
-    facts = check_nets(nets, [run.model_id for run in runs])
+    nets = nets_of_runs(nets, runs)
+    facts = check_nets(nets, [run.key for run in runs])
     assigned = assign_runs(sessions, runs)
     return replay_assigned(assigned, nets, runs, facts, method, segment, share_variants)
 
 
 def check_counts(sessions: Sessions, nets: Nets, runs: Sequence[Run], **options) -> DataFrame:
     """As ``check_logs``, with the number of missing and unconsumed tokens instead of their lists."""
-    facts = check_nets(nets, [run.model_id for run in runs])
+    nets = nets_of_runs(nets, runs)
+    facts = check_nets(nets, [run.key for run in runs])
     return replay_assigned(assign_runs(sessions, runs), nets, runs, facts, counts=True, **options)
 
 
@@ -108,11 +130,11 @@ def replay_assigned(assigned: Sessions, nets: Nets, runs: Sequence[Run], facts:
     rest = [m for m in facts if m not in plain]
     results = []
     if plain:
-        chosen, picked = _pick(assigned, plain, facts), [r for r in runs if r.model_id in plain]
-        results.append(replay_scan(chosen, _only(nets, plain), _expected(nets, picked), broadcast_hint(facts, plain), counts))
+        chosen, picked = _pick(assigned, plain, facts), [r for r in runs if r.key in plain]
+        results.append(replay_scan(chosen, _only(nets, plain), _expected(nets, picked), event_join(facts, plain), counts))
     if rest:
-        chosen, picked = _pick(assigned, rest, facts), [r for r in runs if r.model_id in rest]
-        folded = replay_fold(chosen, _only(nets, rest), _expected(nets, picked), broadcast_hint(facts, rest),
+        chosen, picked = _pick(assigned, rest, facts), [r for r in runs if r.key in rest]
+        folded = replay_fold(chosen, _only(nets, rest), _expected(nets, picked), event_join(facts, rest),
                              segment, share_variants)
         results.append(_counted(folded) if counts else folded)
     return union_all(results).select(COUNT_COLUMNS if counts else RESULT_COLUMNS)
@@ -127,7 +149,7 @@ def _pick(assigned: Sessions, models: list[str], facts: dict[str, ModelFacts]) -
 def unknown_events(log: DataFrame, nets: Nets, model_id: str) -> DataFrame:
     """Events of a log that no transition of the model is named after."""
     names = nets.transitions.where(F.col("model_id") == model_id).select(F.col("name").alias("event"))
-    return log.join(broadcast_hint(check_nets(nets, [model_id]))(names), "event", "left_anti")
+    return event_join(check_nets(nets, [model_id]))(log, names, ["event"], "left_anti")
 
 
 def generate_report(sessions: Sessions, nets: Nets, runs: Sequence[Run], **options) -> DataFrame:
@@ -136,7 +158,8 @@ def generate_report(sessions: Sessions, nets: Nets, runs: Sequence[Run], **optio
     The results, a row per session, are written to the shared folder: they are needed both
     to find the events and to be completed with them, and replaying twice costs more.
     """
-    facts = check_nets(nets, [run.model_id for run in runs])
+    nets = nets_of_runs(nets, runs)
+    facts = check_nets(nets, [run.key for run in runs])
     assigned = assign_runs(sessions, runs)
     results = cut_lineage(replay_assigned(assigned, nets, runs, facts, **options))
     return surrounding_events(results, assigned)

@@ -11,7 +11,7 @@ from tracefold.functions.text import error_text, list_text, previous_midnight
 from tracefold.local import local_table
 from tracefold.operators.models import Nets
 from tracefold.operators.sessions import order_events
-from tracefold.plans.check import Run, check_logs
+from tracefold.plans.check import Run, check_logs, nets_of_runs
 from tracefold.schemas import REPORT_COLUMNS, STATUS_OK
 from tracefold.sources.delimited import join_line, save_lines
 
@@ -21,7 +21,8 @@ def format_results(results: DataFrame, nets: Nets, runs: Sequence[Run], as_of: C
     length as its count of missing tokens."""
     as_of = F.current_date() if as_of is None else as_of
     spark = results.sparkSession
-    areas = local_table(spark, [(r.model_id, r.area) for r in runs], "model_id string, area string")
+    areas = local_table(spark, [(r.key, r.area) for r in runs], "model_id string, area string")
+    nets = nets_of_runs(nets, runs)
     files = nets.places.select("model_id", "model_file").groupBy("model_id").agg(F.min("model_file").alias("model_file"))
     # one row per run
     labels = F.broadcast(areas.join(files, "model_id", "left"))

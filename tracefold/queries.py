@@ -38,6 +38,17 @@ def day_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.extract_event_log(table(spark, sf_dir, "events"), day, "ts", "event_type")
 
 
+def shard_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A twentieth of all events as one case: long sessions."""
+    return S.extract_event_log(table(spark, sf_dir, "events"), F.col("user_id") % 20, "ts", "event_type")
+
+
+def hour_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of a user within an hour as a case: many of one or two events."""
+    hour = F.concat_ws("@", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH"))
+    return S.extract_event_log(table(spark, sf_dir, "events"), hour, "ts", "event_type")
+
+
 def chat_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A conversation as a case, its turns in order."""
     return S.extract_event_log(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role")
@@ -272,10 +283,30 @@ def replay_path_explosion(spark, sf_dir):
 
 
 def conformance_multi_model(spark, sf_dir):
-    runs = [shop("shop", "plain"), shop("shop_amb", "choice"), shop("shop_noerror", "strict", ("p2", "p3"))]
+    runs = [shop("shop", "plain"), shop("shop_amb", "choice"), shop("shop_noerror", "strict", ("p2", "p3")),
+            C.Run("shop", "whole", run_id="shop_whole"), C.Run("shop_amb", "front", FIRST_EVENTS, run_id="shop_front")]
     return flat(C.check_logs(S.order_events(day_log(spark, sf_dir)), demo_nets(spark), runs))
 
 
+def sort_sessions_hot(spark, sf_dir):
+    return S.order_events(shard_log(spark, sf_dir), hot_rows=200).rows("pos", "event")
+
+
+def trim_sessions_hot(spark, sf_dir):
+    return S.trim_sessions(S.order_events(shard_log(spark, sf_dir), hot_rows=200), FIRST_EVENTS, LAST_EVENTS).rows("pos", "event")
+
+
+def replay_scan_hot(spark, sf_dir):
+    sessions = S.order_events(shard_log(spark, sf_dir), hot_rows=200)
+    return flat(C.check_logs(sessions, demo_nets(spark), [shop()], method="scan")).drop("model_id")
+
+
+def check_logs_long(spark, sf_dir):
+    """Sessions of several segments, on a model with a choice and on one that changes with every event."""
+    runs = [C.Run("shop_amb"), C.Run("switch", expected_final=("p2",))]
+    return flat(C.check_logs(S.order_events(shard_log(spark, sf_dir)), demo_nets(spark), runs, segment=101))
+
+
 def unknown_events(spark, sf_dir):
     return C.unknown_events(user_log(spark, sf_dir), demo_nets(spark), "shop_noerror").select(
         "case_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "event")
@@ -304,8 +335,10 @@ def save_report(spark, sf_dir):
 
 
 def surrounding_events(spark, sf_dir):
-    report = C.generate_report(S.order_events(user_log(spark, sf_dir)), demo_nets(spark), [shop("shop_noerror")])
-    return flat(report).select("case_id", "session_length", "surrounding_events")
+    """Over whole hours and whole user histories, so that every form of the text occurs."""
+    reports = [
+        C.generate_report(S.order_events(log(spark, sf_dir)), demo_nets(spark), [C.Run("shop")]) for log in (hour_log, user_log)]
+    return flat(S.union_all(reports)).select("case_id", "session_length", "surrounding_events")
 
 
 def generate_report(spark, sf_dir):
@@ -329,6 +362,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         event_transition_lookup, transition_missing_ratio, least_missing_transitions, replay_deterministic,
         final_marking, check_logs, replay_ambiguous, check_logs_ambiguous, replay_path_explosion,
         conformance_multi_model, unknown_events, conformance_report, report_lines, save_report,
-        surrounding_events, generate_report, run_counters,
+        surrounding_events, generate_report, run_counters, sort_sessions_hot, trim_sessions_hot, replay_scan_hot, check_logs_long,
     ]
     return {query.__name__: query for query in listed}
