@@ -1,3 +1,5 @@
+import pytest
+
 from fixtures import NETS
 from tracefold.local import nets_from_rows
 from tracefold.sources.pnml import read_models
@@ -60,3 +62,15 @@ def test_a_net_without_transitions_has_places_only(spark, tmp_path):
     read = read_models(spark, str(tmp_path))
     assert rows(read.places) == [("bare", "bare.pnml", 0, "p1", "alone", 0)]
     assert read.transitions.count() == 0 and read.arcs.count() == 0
+
+
+def test_names_are_kept_as_written(spark, tmp_path):
+    write(tmp_path / "blank.pnml", place("p1", " at ease ") + transition("t1", " view "))
+    read = read_models(spark, str(tmp_path))
+    assert read.places.first().name == " at ease " and read.transitions.first().name == " view "
+
+
+def test_a_place_without_a_name_is_refused(spark, tmp_path):
+    write(tmp_path / "bare.pnml", '<place id="p1"/>')
+    with pytest.raises(Exception, match="no name"):
+        read_models(spark, str(tmp_path)).places.collect()

@@ -188,3 +188,13 @@ def test_one_bound_trims_one_side(spark, together):
     got = {r.model_id: (r.status, r.error_detail, r.missing_tokens, r.missing_indices, r.unconsumed_tokens) for r in found}
     assert got == {name: replay(NETS["walk"], part, ["p5"]) for name, part in cut.items()}
     assert {r.model_id: r.session_length for r in found} == {name: len(part) for name, part in cut.items()}
+
+
+def test_large_models_do_not_gather_the_log_by_event(spark, monkeypatch):
+    from tracefold.operators import models
+
+    nets, logs = nets_from_rows(spark, NETS), {"a": ["go left", "stop"], "b": ["go to work", "fly"]}
+    runs = [Run("walk", expected_final=("p5",)), Run("desk", expected_final=())]
+    wanted = sorted(map(str, check_logs(sessions_of(spark, logs), nets, runs).collect()))
+    monkeypatch.setattr(models, "BROADCAST_MODEL_BYTES", 0)
+    assert sorted(map(str, check_logs(sessions_of(spark, logs), nets, runs).collect())) == wanted

@@ -8,7 +8,7 @@ a single task.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -224,8 +224,10 @@ def least_missing_transitions(markings: DataFrame, nets: Nets) -> DataFrame:
 class ModelFacts:
     """What replay has to know about one model before it is planned."""
 
-    size: int
+    transitions: int
+    arcs: int
     most_per_name: int
+    size: int = field(default=0, compare=False)  # bytes, about
 
 
 def check_nets(nets: Nets, model_ids: list[str]) -> dict[str, ModelFacts]:
@@ -248,6 +250,7 @@ def check_nets(nets: Nets, model_ids: list[str]) -> dict[str, ModelFacts]:
         uses.groupBy("model_id", "kind", "key").agg(F.sum("declared").alias("declared"), F.count(F.lit(1)).alias("uses"))
         .groupBy("model_id").agg(
             F.sum(F.when(is_id, F.col("declared"))).alias("transitions"),
+            F.sum(F.when(is_id, F.col("uses") - F.col("declared"))).alias("arcs"),
             F.sum(F.col("uses") * (F.coalesce(F.octet_length("key"), F.lit(0)) + ROW_BYTES)).alias("size"),
             F.max(F.when(is_name, F.col("declared"))).alias("most_per_name"),
             F.max(F.when(is_id, F.col("declared"))).alias("most_per_id"),
@@ -267,7 +270,7 @@ def check_nets(nets: Nets, model_ids: list[str]) -> dict[str, ModelFacts]:
             raise ValueError(f"model {model} has a transition without a name")
         if fact.dangling:
             raise ValueError(f"model {model} has an arc to a transition it does not declare")
-        checked[model] = ModelFacts(fact.size, fact.most_per_name)
+        checked[model] = ModelFacts(fact.transitions, fact.arcs, fact.most_per_name, fact.size)
     return checked
 
 

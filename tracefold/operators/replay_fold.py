@@ -256,7 +256,8 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int)
     settled, rounds = [], 0
     while True:
         rounds += 1
-        runs = cut_lineage(_chain(memo, steps)) if rounds > 1 else memo.drop("round")
+        # chaining takes some jobs and pays off when starts repeat, so it is tried in rounds 2, 4, 8, ...
+        runs = cut_lineage(_chain(memo, steps if rounds & (rounds - 1) == 0 else 0)) if rounds > 1 else memo.drop("round")
         linked = cut_lineage(_link(runs))
         # what follows a settled explosion is of no account
         is_open = (
@@ -272,9 +273,10 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int)
         memo = memo.join(is_open, SESSION, "left_semi")
         # from the best guess, and from where the segment before ended, which may be on the way of another start
         misfits = linked.where("not fits").join(is_open, SESSION, "left_semi")
-        guesses = F.array(F.struct(F.lit(2 * rounds).alias("asked"), F.col("next_toks").alias("toks")),
-                          F.struct(F.lit(2 * rounds - 1).alias("asked"), F.col("before").alias("toks")))
-        again = cut_lineage(misfits.select(*key, F.inline(guesses)).groupBy(*key, "toks").agg(F.max("asked").alias("asked")))
+        guesses = [F.struct(F.lit(2 * rounds).alias("asked"), F.col("next_toks").alias("toks"))]
+        if rounds & (rounds + 1) == 0:  # chained next
+            guesses.append(F.struct(F.lit(2 * rounds - 1).alias("asked"), F.col("before").alias("toks")))
+        again = cut_lineage(misfits.select(*key, F.inline(F.array(*guesses))).groupBy(*key, "toks").agg(F.max("asked").alias("asked")))
         # a start that was run before counts as the latest again
         known = memo.join(again, [*key, "toks"], "left").withColumn("round", F.coalesce("asked", "round")).drop("asked")
         fresh = again.join(memo.select(*key, "toks"), [*key, "toks"], "left_anti")
@@ -302,6 +304,9 @@ def _chain(memo: DataFrame, steps: int) -> DataFrame:
     from where it ends. What is reached from the first segment doubles with each of the steps.
     """
     key = [*SESSION, "segment", "round"]
+    latest = Window.partitionBy(*SESSION, "segment").orderBy(F.desc("round"))
+    if not steps:
+        return memo.withColumn("rank", F.row_number().over(latest)).where("rank = 1").drop("rank", "round")
     start = F.xxhash64("toks")
     follow = memo.select(*SESSION, (F.col("segment") - 1).alias("segment"), F.col("round").alias("to_round"),
                          F.col("toks").alias("toks_out"), start.alias("mark"))

@@ -267,6 +267,16 @@ more AS (
 tops2 AS (SELECT model_id, max(arc_ord) + 1 AS base FROM more GROUP BY model_id),
 all_arcs AS (SELECT * FROM more UNION ALL SELECT model_id, base, 't100', 'p100' FROM tops2)
 SELECT * FROM {sides('all_arcs')}""",
+        "model_scan": """WITH pairs AS (SELECT CAST(c_nationkey AS VARCHAR) AS model_id, o_orderstatus AS s, o_orderpriority AS t, count(*) AS n
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
+SELECT model_id, 'place' AS kind, CAST(row_number() OVER (PARTITION BY model_id ORDER BY s) - 1 AS INTEGER) AS ord, 'p' || s AS id,
+  ' status ' || s || ' ' AS name, CASE WHEN s IN ('O', 'F') THEN '1' ELSE '0' END AS more FROM (SELECT DISTINCT model_id, s FROM pairs)
+UNION ALL
+SELECT model_id, 'transition', CAST(row_number() OVER (PARTITION BY model_id ORDER BY t) - 1 AS INTEGER), 't' || t[1], t, ''
+FROM (SELECT DISTINCT model_id, t FROM pairs)
+UNION ALL
+SELECT model_id, 'arc', CAST(row_number() OVER (PARTITION BY model_id ORDER BY s, t) - 1 AS INTEGER),
+  CASE WHEN n % 2 = 0 THEN 'p' || s ELSE 't' || t[1] END, '', CASE WHEN n % 2 = 0 THEN 't' || t[1] ELSE 'p' || s END FROM pairs""",
         "model_initial_marking": f"WITH {ORDER_NETS}\nSELECT model_id, place_id, init_tokens FROM places WHERE init_tokens > 0",
         "model_delete_transition": f"""WITH {ORDER_NETS},
 kept AS (SELECT * FROM transitions WHERE name <> 'N')

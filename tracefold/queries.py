@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tracefold.operators import sessions as S
 from tracefold.plans import check as C
 from tracefold.plans import report as R
 from tracefold.sources.delimited import join_line, read_delimited, split_line
+from tracefold.sources.pnml import read_models
 
 AS_OF = "2024-02-01"
 RAW_FIELDS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -191,6 +193,41 @@ def model_initial_marking(spark, sf_dir):
     return M.initial_marking(order_nets(spark, sf_dir))
 
 
+def _nation_files(spark, sf_dir, path: str) -> None:
+    """A model file per nation: a place per order status, a transition per priority, an arc for each pair of them."""
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    # a nation has a few statuses and priorities, whatever its orders
+    pairs = (
+        orders.select(F.col("c_nationkey").alias("model"), F.col("o_orderstatus").alias("s"), F.col("o_orderpriority").alias("t"))
+        .groupBy("model", "s", "t").agg(F.count("*").alias("n")).withColumn("nr", F.substring("t", 1, 1))
+    )
+    marking = F.when(F.col("s") == "O", "<initialMarking/>").when(F.col("s") == "F", "<initialMarking><text>0</text></initialMarking>").otherwise("")
+    parts = [
+        pairs.select("model", F.lit("0").alias("at"), F.lit("<?xml version='1.0'?><pnml><net id='first'>").alias("line")),
+        pairs.select("model", F.concat(F.lit("1"), "s"), F.format_string("  <place id='p%s'><name><text> status %s </text></name>%s</place>", "s", "s", marking)),
+        pairs.select("model", F.concat(F.lit("2"), "t"), F.format_string("  <transition id='t%s'><name><text>%s</text></name></transition>", "nr", "t")),
+        pairs.select("model", F.concat(F.lit("3"), "s", "t"), F.when(F.col("n") % 2 == 0, F.format_string("  <arc id='a' source='p%s' target='t%s'/>", "s", "nr"))
+                     .otherwise(F.format_string("  <arc id='a' source='t%s' target='p%s'/>", "nr", "s"))),
+        pairs.select("model", F.lit("4"), F.lit("</net><net id='second'><place id='p9'><name><text>not read</text></name></place></net></pnml>")),
+    ]
+    lines = reduce(DataFrame.union, parts).distinct()
+    lines.repartition("model").sortWithinPartitions("model", "at").select("model", "line").write.partitionBy("model").text(path)
+
+
+def model_scan(spark, sf_dir):
+    """Places, transitions and arcs of model files written from the orders."""
+    path = shared_path(spark, "models")
+    _nation_files(spark, sf_dir, path)
+    nets = read_models(spark, path, F.regexp_extract("file_path", "model=([0-9]+)", 1))
+    none = F.lit("")
+    return (
+        nets.places.select("model_id", F.lit("place").alias("kind"), F.col("place_ord").alias("ord"), F.col("place_id").alias("id"), "name",
+                           F.col("init_tokens").cast("string").alias("more"))
+        .union(nets.transitions.select("model_id", F.lit("transition"), "trans_ord", "transition_id", "name", none))
+        .union(nets.arcs.select("model_id", F.lit("arc"), "arc_ord", "source", none, "target"))
+    )
+
+
 def _net_rows(nets: M.Nets) -> DataFrame:
     arcs = M.transition_arcs(nets)
     return nets.transitions.join(arcs, ["model_id", "transition_id"], "left").select(
@@ -363,5 +400,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         final_marking, check_logs, replay_ambiguous, check_logs_ambiguous, replay_path_explosion,
         conformance_multi_model, unknown_events, conformance_report, report_lines, save_report,
         surrounding_events, generate_report, run_counters, sort_sessions_hot, trim_sessions_hot, replay_scan_hot, check_logs_long,
+        model_scan,
     ]
     return {query.__name__: query for query in listed}
