@@ -159,18 +159,6 @@ def test_segments_of_one_long_session(spark):
         assert outcomes(check_logs(sessions_of(spark, logs, hot_rows=50), nets_from_rows(spark, {"m": net}), run, segment=segment)) == wanted
 
 
-@pytest.mark.parametrize("segments", [12, 48])
-def test_rounds_do_not_grow_with_the_session(spark, caplog, segments):
-    """A net that changes between two markings with every event, and segments of odd length."""
-    net = [("t1", "a", ["p1"], ["p2"]), ("t2", "a", ["p2"], ["p1"])]
-    logs = {"x": ["a"] * (3 * segments), "y": ["a"] * (3 * segments - 2)}
-    with caplog.at_level("INFO", logger=replay_fold.__name__):
-        found = outcomes(check_logs(sessions_of(spark, logs), nets_from_rows(spark, {"m": net}), [Run("m", expected_final=("p2",))], segment=3))
-    assert found == {case: replay(net, log, ["p2"]) for case, log in logs.items()}
-    (rounds,) = [int(m.split()[-2]) for m in caplog.messages if "settled" in m]
-    assert rounds <= 3
-
-
 def test_runs_must_differ_in_their_names(spark):
     with pytest.raises(ValueError, match="run ids"):
         check_logs(sessions_of(spark, {"x": ["stop"]}), nets_from_rows(spark, NETS), [Run("walk"), Run("walk", "again")])
