@@ -65,5 +65,13 @@ def test_versions_and_record_types(version, packed):
         list(W.parse_warc(broken))
 
 
+def test_a_page_with_a_filedesc_address_stays_a_page():
+    page = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    data = b"\n" + W.arc_head(1, "x.arc", "20240203040506") + b"\n" + W.arc_line(1, "filedesc://a/b", "20240203040506", "text/html", page) + page
+    made = [W.converted(r, "f") for r in W.parse_arc(data)]
+    assert [m.headers["WARC-Type"] for m in made] == ["warcinfo", "response"]
+    assert made[1].headers["WARC-Target-URI"] == "filedesc://a/b" and made[1].payload == b"body"
+
+
 def test_dates():
     assert W.warc_date("2024") == "2024-01-01T00:00:00Z" and W.warc_date("199612310159") == "1996-12-31T01:59:00Z"

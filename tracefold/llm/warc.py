@@ -92,6 +92,7 @@ class ArcRecord:
     version: int
     fields: dict[str, str]
     content: bytes
+    leads: bool = False  # the version block
 
 
 def opened(data: bytes) -> io.BufferedIOBase:
@@ -118,7 +119,7 @@ def parse_arc(data: bytes) -> Iterator[ArcRecord]:
         place += len(content)
         if not version:
             version = int(content.split(None, 1)[0])
-            yield ArcRecord(start, version, dict(zip(names, values)), content)
+            yield ArcRecord(start, version, dict(zip(names, values)), content, True)
             names = (content.decode().splitlines()[1:2] or [ARC_FIELDS[version]])[0].split()
         else:
             yield ArcRecord(start, version, dict(zip(names, values)), content)
@@ -160,7 +161,7 @@ def converted(record: ArcRecord, file: str) -> WarcRecord:
     url, ip = record.fields["URL"], record.fields.get("IP-address", "")
     headers = {"WARC-Type": "resource", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file}#{record.place}')}>",
                "WARC-Date": warc_date(record.fields["Archive-date"])}
-    if url.startswith("filedesc:"):
+    if record.leads and url.startswith("filedesc:"):
         block = f"software: tracefold\r\nformat: WARC File Format 1.0\r\ndescription: from ARC version {record.version}, {url}\r\n".encode()
         return WarcRecord(headers | {"WARC-Type": "warcinfo", "Content-Type": "application/warc-fields", "WARC-Block-Digest": sha256(block)}, block)
     headers["WARC-Target-URI"] = url
