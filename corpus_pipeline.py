@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracefold.llm import decontamination, language_id, mixing, queries, shingle_sets
+from tracefold.llm import decontamination, language_id, mixing, queries, simhash
 from tracefold.llm.common import table, written
 
 
@@ -16,8 +16,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of documents that share 0.8 or more of their five-word shingles: that with the smallest doc_id."""
-    return shingle_sets.drop_near_duplicates(docs)
+    """One document of each component of fingerprints (four-word shingles) linked at 4 or fewer differing bits: that with the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs, shingle=4, budget=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
