@@ -67,6 +67,22 @@ def test_cached_encoder_is_the_tokenizer():
         assert [np.frombuffer(f, "<u4").tolist() for f in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_frequent_parts_are_encoded_once():
+    encoder = T.CachedEncoder(BYTES, held=8)
+    for k in range(100):
+        encoder.encode([f"the rare{k}"])
+        assert len(encoder.young) + len(encoder.old) <= 10
+    assert encoder.encoded == 101
+
+
+def test_plain_special_strings():
+    tokenizer = Tokenizer.from_file(BYTES)
+    tokenizer.encode_special_tokens = True
+    texts = odd_texts()
+    found = T.CachedEncoder(BYTES, plain=True).encode(texts)
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_files(spark):
     rows = [*mixed_rows(), *((300 + k, t) for k, t in enumerate(odd_texts(60)))]
     path = shared_path(spark, "tokens")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +36,32 @@ def join_dealt(rows: DataFrame, one_per_key: DataFrame, keys: list[str], by: Col
     """Inner join with a table that has a row for each key. The rows of a common key are dealt to ``parts`` places by ``by``."""
     everywhere = one_per_key.withColumn("dealt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return rows.withColumn("dealt", F.pmod(by, F.lit(parts)).cast("int")).join(everywhere, [*keys, "dealt"]).drop("dealt")
+
+
+class PartCache:
+    """Ids of parts of texts, as bytes; of two generations, so that parts that keep coming are encoded once while rare ones leave.
+
+    Subclasses say how parts are encoded. At most ``held`` parts are kept, apart from those of the current call.
+    """
+
+    def __init__(self, held: int):
+        self.held, self.encoded = held, 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def encode_parts(self, parts: list[str]) -> Iterable[bytes]:
+        raise NotImplementedError
+
+    def join(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of each text, given as its parts."""
+        missing = set().union(*texts).difference(self.young)
+        again = missing & self.old.keys()
+        self.young.update((part, self.old[part]) for part in again)
+        new = list(missing - again)
+        self.encoded += len(new)
+        self.young.update(zip(new, self.encode_parts(new)))
+        get = self.young.__getitem__
+        found = [b"".join(map(get, parts)) for parts in texts]
+        if len(self.young) > self.held // 2:
+            self.young, self.old = {}, self.young
+        return found

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracefold.cluster import cut_lineage
-from tracefold.llm.common import shuffle_partitions
+from tracefold.llm.common import PartCache, shuffle_partitions
 from tracefold.llm.huffman import Code, code_lengths
 
 # \x1c-\x1f are white space for Python only
@@ -37,27 +37,23 @@ MAGIC, HEAD, BLOCK = b"THUF1", "<IQI", "<QII"
 BLOCK_IDS = 1 << 16
 
 
-class CachedEncoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers; distinct parts are encoded once while they are held."""
+class CachedEncoder(PartCache):
+    """Ids of texts as little-endian unsigned 32-bit numbers; ``plain``: special strings in a text are ordinary text."""
 
-    def __init__(self, tokenizer_file: str, held: int = 800_000):
+    def __init__(self, tokenizer_file: str, held: int = 1_200_000, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.held = Tokenizer.from_file(tokenizer_file), held
-        self.known: dict[str, bytes] = {}
+        super().__init__(held)
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.tokenizer.encode_special_tokens = plain
+
+    def encode_parts(self, parts: list[str]) -> Iterator[bytes]:
+        for found in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False):
+            yield array("I", found.ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [PART.findall(t) if t else [] for t in texts]
-        every = set().union(*parts)
-        new = every.difference(self.known)
-        if len(self.known) + len(new) > self.held:
-            self.known, new = {}, every
-        new = list(new)
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[part] = array("I", found.ids).tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        return self.join([PART.findall(t) if t else [] for t in texts])
 
 
 @lru_cache(maxsize=1)
