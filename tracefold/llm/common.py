@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,14 +58,38 @@ class PartCache:
 
     def join(self, texts: list[list[str]]) -> list[bytes]:
         """The ids of each text, given as its parts."""
-        missing = set().union(*texts).difference(self.young)
+        parts = list(chain.from_iterable(texts))
+        ids = list(map(self.young.get, parts))
+        gaps = [k for k, known in enumerate(ids) if known is None]
+        missing = {parts[k] for k in gaps}
         again = missing & self.old.keys()
         self.young.update((part, self.old[part]) for part in again)
         new = list(missing - again)
         self.encoded += len(new)
         self.young.update(zip(new, self.encode_parts(new)))
-        get = self.young.__getitem__
-        found = [b"".join(map(get, parts)) for parts in texts]
+        for k in gaps:
+            ids[k] = self.young[parts[k]]
         if len(self.young) > self.held // 2:
             self.young, self.old = {}, self.young
-        return found
+        ends = list(accumulate(map(len, texts), initial=0))
+        return [b"".join(ids[a:z]) for a, z in zip(ends, ends[1:])]
+
+
+def take_lists(values: np.ndarray, ends: np.ndarray, which: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists (``values`` cut at ``ends``) picked by number and joined: the picks up to each of ``upto`` are one list."""
+    starts = np.append(0, ends)[which]
+    sizes = ends[which] - starts if len(which) else np.zeros(0, np.int64)
+    total = np.append(0, np.cumsum(sizes))
+    at = np.arange(total[-1]) + np.repeat(starts - total[:-1], sizes)
+    return values[at], total[upto]
+
+
+def blocks_of(texts: pa.Array, block_bytes: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold about ``block_bytes`` of text, one row at least."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        limit = (upto[start - 1] if start else 0) + block_bytes
+        end = max(start + 1, int(np.searchsorted(upto, limit, "right")))
+        yield start, end
+        start = end

@@ -28,29 +28,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracefold.cluster import cut_lineage
-from tracefold.llm.common import PartCache, shuffle_partitions
+from tracefold.llm.common import PartCache, blocks_of, shuffle_partitions
 from tracefold.llm.huffman import Code, code_lengths
 
 # \x1c-\x1f are white space for Python only
 PART = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 MAGIC, HEAD, BLOCK = b"THUF1", "<IQI", "<QII"
 BLOCK_IDS = 1 << 16
+BLOCK_BYTES = 2 << 20
 
 
 class CachedEncoder(PartCache):
-    """Ids of texts as little-endian unsigned 32-bit numbers; ``plain``: special strings in a text are ordinary text."""
+    """Ids of texts as little-endian unsigned 32-bit numbers; ``plain``: special strings in a text are ordinary text.
 
-    def __init__(self, tokenizer_file: str, held: int = 1_200_000, plain: bool = False):
+    Many parts go through the tokenizer in one call, with a special token between them, which cuts a text before all
+    other rules.
+    """
+
+    def __init__(self, tokenizer_file: str, held: int = 800_000, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__(held)
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = plain
-
-    def encode_parts(self, parts: list[str]) -> Iterator[bytes]:
-        for found in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False):
-            yield array("I", found.ids).tobytes()
+        self.alone = self.tokenizer  # for parts that may hold the special string themselves
+        if plain:
+            self.alone = Tokenizer.from_file(tokenizer_file)
+            self.alone.encode_special_tokens = True
+        special = [(k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
+        self.cut_id, self.cut = special[0] if special else (None, None)
+
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        alone = [k for k, part in enumerate(parts) if self.cut is None or self.cut[0] in part]
+        apart = set(alone)
+        together = [k for k in range(len(parts)) if k not in apart]
+        found = [b""] * len(parts)
+        for k, encoding in zip(alone, self.alone.encode_batch_fast([parts[k] for k in alone], add_special_tokens=False)):
+            found[k] = array("I", encoding.ids).tobytes()
+        groups = [together[k:k + 128] for k in range(0, len(together), 128)]
+        texts = [self.cut.join([parts[k] for k in group]) for group in groups]
+        for group, encoding in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(encoding.ids, "<u4")
+            content, cuts = ids.tobytes(), (np.flatnonzero(ids == self.cut_id) * 4).tolist()
+            for k, a, z in zip(group, [0, *[c + 4 for c in cuts]], [*cuts, len(content)]):
+                found[k] = content[a:z]
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         return self.join([PART.findall(t) if t else [] for t in texts])
@@ -71,11 +93,10 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, key: str = "doc_id",
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = encoder_of(tokenizer_file), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts, step = batch["text"], 500
-            for k in range(0, batch.num_rows, step):
-                found = encoder.encode(texts.slice(k, step).to_pylist())
+            for a, z in blocks_of(batch["text"], BLOCK_BYTES):
+                found = encoder.encode(batch["text"].slice(a, z - a).to_pylist())
                 ids = [np.frombuffer(f + end, "<u4").astype(width).tobytes() for f in found]
-                yield pa.RecordBatch.from_arrays([*(batch[c].slice(k, step) for c in ("part", "doc_id")), pa.array(ids, pa.binary())], ["part", "doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([*(batch[c].slice(a, z - a) for c in ("part", "doc_id")), pa.array(ids, pa.binary())], ["part", "doc_id", "ids"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("version"))
     ordered = rows.repartitionByRange(shuffle_partitions(spark), "doc_id", "version").sortWithinPartitions("doc_id", "version")
