@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracefold.cluster import shared_path
-from tracefold.llm import decontamination, language_id, line_dedup, mixing, quality, simhash, substring_dedup, token_counts, token_files, warc
+from tracefold.llm import (
+    decontamination, language_id, line_dedup, mixing, pair_index_bpe, quality, simhash, substring_dedup, token_counts, token_files, warc,
+)
 from tracefold.llm.common import table, written
 
 
@@ -94,9 +96,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = public_tokenizers.path("word_bpe_49k.json")
+    encoded = pair_index_bpe.encode_texts(table(spark, sf_dir, "documents"), file)
+    ids, decoded = F.col("ids"), pair_index_bpe.decode_ids(F.col("ids"), file)
+    return encoded.select("doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(F.array_join(ids.cast("array<string>"), " "), 256).alias("ids_sha256"),
+                          F.sha2(decoded, 256).alias("decoded_sha256"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_language_id, op2_token_counts, op3_mixing, op4_quality_rules, op5_decontamination, op6_simhash_dedup, op7_line_dedup, op8_warc,
-        op9_token_files, op10_substring_dedup,
+        op9_token_files, op10_substring_dedup, op12_pair_index_bpe,
     ]
     return {query.__name__: query for query in listed}
