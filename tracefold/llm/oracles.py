@@ -103,6 +103,19 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+SEARCH = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+c AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS words FROM d WHERE len(w) > 0),
+q AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM p, c GROUP BY term, docs),
+s AS (SELECT i, item_id, r, doc_id, sum(times * weight * (1000000000 * tf // (1000 * tf + 8 * (25 + 75 * n * docs // words))))::BIGINT AS score
+      FROM q JOIN f USING (term) JOIN p USING (term), c GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op3_mixing": MIXING,
@@ -111,4 +124,5 @@ def all_sql() -> dict[str, str]:
         "op7_line_dedup": LINE_DEDUP,
         "op8_warc": WARC,
         "op10_substring_dedup": SUBSTRING_DEDUP,
+        "op13_lexical_search": SEARCH,
     }

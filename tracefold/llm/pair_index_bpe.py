@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, pairwise
+from string import ascii_letters
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,9 @@ class PairIndexEncoder:
         if not self.suffix or any(" " in p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str("a b . c")):
             raise ValueError("only vocabularies with word ends, whose pre-tokens hold no white space")
         self.normalize, self.split = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
+        # ASCII letters are one word, and so is a stop or comma behind them: true of the usual rules, asked of these
+        lower = ascii_letters.lower()
+        self.plain_words = [w for end in ".," for w, _ in self.split(self.normalize(ascii_letters + end))] == [lower, ".", lower, ","]
         vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in added}
         # the longest of several special strings that start at one place
@@ -193,6 +197,11 @@ class PairIndexEncoder:
         return take_lists(part_ids, part_ends, order, counts)
 
     def _pieces(self, part: str, words: dict[str, int]) -> list[int]:
+        if self.plain_words and part.isascii():
+            if part.isalpha():
+                return [words.setdefault(part.lower(), len(words))]
+            if part[-1] in ".," and part[:-1].isalpha():
+                return [words.setdefault(part[:-1].lower(), len(words)), words.setdefault(part[-1], len(words))]
         if self.special_cut is None or not self.special_cut.search(part):
             return [words.setdefault(w, len(words)) for w, _ in self.split(self.normalize(part))]
         found = []
@@ -220,7 +229,7 @@ def encoder_of(tokenizer_file: str) -> PairIndexEncoder:
     return PairIndexEncoder(tokenizer_file)
 
 
-def encode_texts(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text: str = "text", *, block_bytes: int = 16 << 20) -> DataFrame:
+def encode_texts(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text: str = "text", *, block_bytes: int = 4 << 20) -> DataFrame:
     """key and ids (array of int) for each row."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
@@ -236,7 +245,7 @@ def encode_texts(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text
     return rows.mapInArrow(encode, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
-def decode_ids(ids: Column, tokenizer_file: str, *, block_ids: int = 1 << 23) -> Column:
+def decode_ids(ids: Column, tokenizer_file: str, *, block_ids: int = 1 << 21) -> Column:
     """The text of a list of ids: its tokens, special ones too, with a space between them."""
 
     @F.arrow_udf("string")

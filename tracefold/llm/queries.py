@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tracefold.cluster import shared_path
 from tracefold.llm import (
-    decontamination, language_id, line_dedup, mixing, pair_index_bpe, quality, simhash, substring_dedup, token_counts, token_files, warc,
+    decontamination, language_id, lexical_search, line_dedup, mixing, pair_index_bpe, quality, simhash, substring_dedup, token_counts, token_files,
+    warc,
 )
 from tracefold.llm.common import table, written
 
@@ -104,9 +105,13 @@ def op12_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(decoded, 256).alias("decoded_sha256"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_language_id, op2_token_counts, op3_mixing, op4_quality_rules, op5_decontamination, op6_simhash_dedup, op7_line_dedup, op8_warc,
-        op9_token_files, op10_substring_dedup, op12_pair_index_bpe,
+        op9_token_files, op10_substring_dedup, op12_pair_index_bpe, op13_lexical_search,
     ]
     return {query.__name__: query for query in listed}
