@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tracefold.cluster import shared_path
 from tracefold.llm import (
-    decontamination, language_id, lexical_search, line_dedup, mixing, pair_index_bpe, quality, simhash, substring_dedup, token_counts, token_files,
+    alignment, decontamination, language_id, lexical_search, line_dedup, mixing, pair_index_bpe, quality, simhash, substring_dedup, token_counts, token_files,
     warc,
 )
 from tracefold.llm.common import table, written
@@ -97,6 +97,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    side = lambda group, name: F.array_join(group[name].cast("array<string>"), ",")
+    shown = lambda groups: F.array_join(F.transform(groups, lambda g: F.concat(side(g, "a"), F.lit("|"), side(g, "b"))), ";")
+    digest = lambda groups: F.when(F.size(groups) > 0, F.sha2(shown(groups), 256)).otherwise("")
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(table(spark, sf_dir, "documents"), *files, carry=digest).withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = public_tokenizers.path("word_bpe_49k.json")
     encoded = pair_index_bpe.encode_texts(table(spark, sf_dir, "documents"), file)
@@ -112,6 +120,6 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_language_id, op2_token_counts, op3_mixing, op4_quality_rules, op5_decontamination, op6_simhash_dedup, op7_line_dedup, op8_warc,
-        op9_token_files, op10_substring_dedup, op12_pair_index_bpe, op13_lexical_search,
+        op9_token_files, op10_substring_dedup, op11_alignment, op12_pair_index_bpe, op13_lexical_search,
     ]
     return {query.__name__: query for query in listed}
