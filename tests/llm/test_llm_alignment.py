@@ -87,6 +87,19 @@ def test_cases():
     assert any(w[1] for w in WANTED if w[0] and w[0] >= 300)
 
 
+@pytest.mark.parametrize("held", [4, 100_000])
+def test_encoder_is_both_libraries(held):
+    tokenizer, model = Tokenizer.from_file(FILES[0]), sentencepiece.SentencePieceProcessor(model_file=FILES[1])
+    tokenizer.encode_special_tokens = True
+    texts = [*odd_texts(400), "a\n\n b", "\n", " \n x", "a▁b c", "tab\there", "x \u3000 y"]
+    encoder = A.BothEncoder(*FILES, held)
+    for k in range(0, len(texts), 50):
+        some = [t for t in texts[k:k + 50]]
+        a, b = encoder.encode(some)
+        assert a.to_pylist() == [tokenizer.encode(" " + t, add_special_tokens=False).ids if t else [] for t in some]
+        assert b.to_pylist() == [model.encode(t) for t in some]
+
+
 def test_empty_tables(spark):
     assert A.align(documents(spark, ROWS).limit(0), *FILES).count() == 0
     assert A.align(documents(spark, [(1, None), (2, "")]), *FILES).select("n_links", "n_groups").collect() == [(0, 0), (0, 0)]
@@ -97,7 +110,7 @@ def test_links_of_sliced_batches(most):
     """Blocks cut from the middle of a batch keep documents apart."""
     sides = A.sides_of(*FILES)
     texts = ["some words here", "and there", "x" * 40, "é漢 mixed"]
-    ids = [side.encode(texts) for side in sides]
+    ids = A.encoder_of(*FILES).encode(texts)
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), *ids], ["row", "a", "b"]).slice(1)
     blocks = list(A.link_blocks(batch, sides, most))
     assert sum(p.num_rows for p, _ in blocks) == 3

@@ -19,8 +19,11 @@ their own. Special strings in texts are plain text.
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,34 +32,78 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracefold.llm.common import PartCache, blocks_of, written
-from tracefold.llm.token_counts import SPACE, frequent, pre_tokens
-from tracefold.llm.token_files import CachedEncoder
+from tracefold.llm.token_counts import PRE_TOKEN, SPACE, frequent
+from tracefold.llm.token_files import PART, CachedEncoder
 
 IDS = pa.list_(pa.int32())
 #: A pair of ids is one number: the A id times this, plus the B id. Vocabularies are smaller.
 PAIR = 1 << 31
+DOC = 1 << 40
 GROUPS = "array<struct<a:array<int>,b:array<int>>>"
 
 
-class PieceEncoder(PartCache):
-    """Piece ids of texts; distinct parts are encoded once while they are held."""
+class BothEncoder(PartCache):
+    """Ids of texts, a space put in front, by both tokenizers. Parts are cut where no token of either crosses."""
 
-    def __init__(self, model_file: str, held: int = 300_000):
+    # white space but spaces and line ends, where B has no cut, and B's mark, where A has none
+    ODD = re.compile(rf"[^\S \n\x1c-\x1f]|{SPACE}")
+
+    def __init__(self, a_file: str, b_file: str, held: int = 400_000):
         import sentencepiece
 
         super().__init__(held)
-        self.model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        self.line, self.mark = len(self.model.encode("\n")), self.model.piece_to_id(SPACE)
-
-    def encode_parts(self, parts: list[str]) -> Iterator[bytes]:
-        """The processor puts a space mark before every text: one of ours is left out, or a line end put in front."""
-        shown = [p[1:] if p[0] == SPACE else "\n" + p for p in parts]
-        for part, ids in zip(parts, self.model.encode(shown, num_threads=1)):
-            kept = [self.mark] if part == SPACE else ids if part[0] == SPACE else ids[self.line:]
-            yield np.array(kept, "<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        return self.join([pre_tokens(t) if t else [] for t in texts])
+        self.bytes = CachedEncoder(a_file, 0, plain=True)
+        self.model = sentencepiece.SentencePieceProcessor(model_file=b_file)
+        self.line = self.model.encode("\n")[-1]
+
+    def encode_parts(self, parts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        pieces: list[bytes] = [b""] * len(parts)
+        with_lines = [k for k, p in enumerate(parts) if "\n" in p or SPACE in p]
+        for k, ids in zip(with_lines, self.encode_pieces([parts[k] for k in with_lines])):
+            pieces[k] = ids
+        apart = set(with_lines)
+        plain = [k for k in range(len(parts)) if k not in apart]
+        for k, ids in zip(plain, self.encode_lines([parts[k] for k in plain])):
+            pieces[k] = ids
+        return zip(self.bytes.encode_parts(parts), pieces)
+
+    def encode_pieces(self, parts: list[str]) -> list[bytes]:
+        """B's ids of parts that hold line ends or marks."""
+        cut = [PRE_TOKEN.findall(p.replace(" ", SPACE)) for p in parts]
+        lines = self.encode_lines([p for p in chain.from_iterable(cut) if p != "\n"])
+        line, of_line = array("I", [self.line]).tobytes(), iter(lines)
+        return [b"".join([line if p == "\n" else next(of_line) for p in pieces]) for pieces in cut]
+
+    def encode_lines(self, parts: list[str]) -> list[bytes]:
+        """B's ids of parts without line ends: many in one call, with line ends, which are tokens of their own, between them."""
+        found: list[bytes] = []
+        # the processor's own mark comes before the first line end
+        texts = ["\n" + "\n".join(parts[k:k + 128]) for k in range(0, len(parts), 128)]
+        for ids in self.model.encode(texts, num_threads=1):
+            ids = np.array(ids, "<u4")
+            content, ends = ids.tobytes(), (np.flatnonzero(ids == self.line) * 4).tolist()
+            found += [content[a + 4:z] for a, z in zip(ends, [*ends[1:], len(content)])]
+        return found
+
+    def encode(self, texts: list[str | None]) -> tuple[pa.ListArray, pa.ListArray]:
+        """The ids of both sides; null and empty texts have none."""
+        parts = [PART.findall(" " + t) if t and not self.ODD.search(t) else [] for t in texts]
+        values = self.lookup(list(chain.from_iterable(parts)))
+        upto = np.cumsum([0, *map(len, parts)])
+        odd = [k for k, t in enumerate(texts) if t and not parts[k]]
+        whole = list(self.encode_parts([" " + texts[k] for k in odd]))
+        sides = []
+        for side in (0, 1):
+            pieces = [v[side] for v in values]
+            ends = np.append(0, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))))[upto] // 4
+            content = b"".join(pieces)
+            if odd:
+                own = [content[a * 4:z * 4] for a, z in zip(ends.tolist(), ends[1:].tolist())]
+                for k, ids in zip(odd, whole):
+                    own[k] = ids[side]
+                content, ends = b"".join(own), np.cumsum([0, *map(len, own)]) // 4
+            sides.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(content, np.int32))))
+        return sides[0], sides[1]
 
 
 def byte_tokens(tokenizer_file: str) -> list[bytes | None]:
@@ -79,31 +126,30 @@ def piece_tokens(model) -> list[bytes]:
     return [bytes([int(p[3:-1], 16)]) if model.is_byte(k) else p.replace(SPACE, " ").encode() for k, p in texts]
 
 
-class Side:
-    """One of the two tokenizers: its encoder and the bytes of its ids."""
-
-    def __init__(self, encoder: PartCache, tokens: list[bytes | None], before: str):
-        self.encoder, self.before = encoder, before
-        self.tokens = pa.array(tokens, pa.binary())
-        self.sizes = pc.fill_null(pc.binary_length(self.tokens), 0).cast(pa.int64())
+class Tokens:
+    """The bytes and the written numbers of one tokenizer's ids."""
 
-    def encode(self, texts: list[str | None]) -> pa.ListArray:
-        found = self.encoder.encode([self.before + t if t else None for t in texts])
-        ends = np.cumsum([0, *map(len, found)]) // 4
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<u4").astype(np.int32)))
+    def __init__(self, tokens: list[bytes | None]):
+        self.bytes = pa.array(tokens, pa.binary())
+        self.sizes = pc.fill_null(pc.binary_length(self.bytes), 0).cast(pa.int64())
+        self.numbers = pa.array(map(str, range(len(tokens))), pa.string())
 
     def bytes_of(self, ids: pa.ListArray) -> pa.Array:
-        tokens = pa.ListArray.from_arrays(ids.offsets, self.tokens.take(ids.flatten()))
-        return pc.binary_join(tokens, b"")
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self.bytes.take(ids.flatten())), b"")
 
 
 @lru_cache(maxsize=1)
-def sides_of(a_file: str, b_file: str) -> tuple[Side, Side]:
-    """Both tokenizers of a worker process, kept from task to task."""
+def encoder_of(a_file: str, b_file: str) -> BothEncoder:
+    """The encoder of a worker process, kept from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    pieces = PieceEncoder(b_file)
-    return (Side(CachedEncoder(a_file, 300_000, plain=True), byte_tokens(a_file), " "),
-            Side(pieces, piece_tokens(pieces.model), ""))
+    return BothEncoder(a_file, b_file)
+
+
+@lru_cache(maxsize=1)
+def sides_of(a_file: str, b_file: str) -> tuple[Tokens, Tokens]:
+    import sentencepiece
+
+    return Tokens(byte_tokens(a_file)), Tokens(piece_tokens(sentencepiece.SentencePieceProcessor(model_file=b_file)))
 
 
 def tokenize(docs: DataFrame, a_file: str, b_file: str, key: str = "doc_id", text: str = "text", *, block_bytes: int = 2 << 20) -> DataFrame:
@@ -111,13 +157,13 @@ def tokenize(docs: DataFrame, a_file: str, b_file: str, key: str = "doc_id", tex
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = sides_of(a_file, b_file)
+        encoder, sides = encoder_of(a_file, b_file), sides_of(a_file, b_file)
         for batch in batches:
             for start, end in blocks_of(batch["text"], block_bytes):
                 part = batch.slice(start, end - start)
                 texts = part["text"].to_pylist()
                 wanted = pa.array([(" " + t).encode() if t else None for t in texts], pa.binary())
-                ids = [side.encode(texts) for side in sides]
+                ids = encoder.encode(texts)
                 same = [pc.equal(side.bytes_of(i), wanted) for side, i in zip(sides, ids)]
                 valid = pc.fill_null(pc.and_(*same), False)
                 none = pa.scalar([], IDS)
@@ -128,23 +174,25 @@ def tokenize(docs: DataFrame, a_file: str, b_file: str, key: str = "doc_id", tex
 
 
 def token_ends(ids: pa.ListArray, sizes: pa.Array, name: str) -> pa.Table:
-    """(doc, end, id): the lists flattened, with their parents and byte ends within each."""
+    """(at, id): the lists flattened; ``at`` is the key of a document and a byte end in it, DOC times the one plus the other."""
     flat = ids.flatten()
     total = pc.cumulative_sum(sizes.take(flat))
     # what was summed up before each list starts
     before = pa.concat_arrays([pa.array([0], pa.int64()), total])
     starts = before.take(pc.subtract(ids.offsets, ids.offsets[0])[:len(ids)])
     parents = pc.list_parent_indices(ids)
-    return pa.table({"doc": parents, "end": pc.subtract(total, starts.take(parents)), name: flat})
+    ends = pc.subtract(total, starts.take(parents))
+    return pa.table({"at": pc.add(pc.multiply(parents.cast(pa.int64()), DOC), ends), name: flat})
 
 
-def overlaps(a: pa.ListArray, b: pa.ListArray, sides: tuple[Side, Side]) -> pa.Table:
+def overlaps(a: pa.ListArray, b: pa.ListArray, sides: tuple[Tokens, Tokens]) -> pa.Table:
     """Every link (doc, a, b) in order, with ``a_ends`` and ``b_ends``: whether a token of that side ends with it."""
     left, right = token_ends(a, sides[0].sizes, "a"), token_ends(b, sides[1].sizes, "b")
-    both = left.join(right, ["doc", "end"], join_type="full outer", use_threads=False).sort_by([("doc", "ascending"), ("end", "ascending")])
+    both = left.join(right, "at", join_type="full outer", use_threads=False)
+    both = both.take(pc.array_sort_indices(both["at"].combine_chunks()))
     # a document's last end is one of both sides, so no id is filled in from the document after it
     filled = {c: pc.fill_null_backward(both[c].combine_chunks()) for c in "ab"}
-    return pa.table({"doc": both["doc"], **filled, **{f"{c}_ends": both[c].is_valid() for c in "ab"}})
+    return pa.table({"doc": pc.divide(both["at"], DOC), **filled, **{f"{c}_ends": both[c].is_valid() for c in "ab"}})
 
 
 def pairs_of(links: pa.Table) -> pa.Table:
@@ -154,7 +202,7 @@ def pairs_of(links: pa.Table) -> pa.Table:
     return counted.rename_columns({"count_all": "times"})
 
 
-def link_blocks(batch: pa.RecordBatch, sides: tuple[Side, Side], most: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, pa.Table]]:
+def link_blocks(batch: pa.RecordBatch, sides: tuple[Tokens, Tokens], most: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, pa.Table]]:
     """Rows of (a, b) in blocks of about ``most`` tokens, with their links."""
     upto = np.cumsum(pc.list_value_length(batch["a"]).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
@@ -192,23 +240,28 @@ def pair_counts(tokens: DataFrame, a_file: str, b_file: str, *, flush: int = 1 <
     return written(counts.join(most, of_a == F.col("a")).select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "pairs")
 
 
-def groups_of(part: pa.RecordBatch, links: pa.Table) -> pa.Array:
-    """For each row of ``part`` its groups, as lists of structs of the lists a and b."""
+def groups_of(part: pa.RecordBatch, links: pa.Table, sides: tuple[Tokens, Tokens] | None = None) -> pa.Array:
+    """For each row of ``part`` its groups: lists of structs of the lists a and b, or, with ``sides``, a text like ``a1,a2|b1;a3|b2``."""
     shared = pc.and_(links["a_ends"], links["b_ends"])
 
-    def cut(name: str) -> pa.ListArray:
-        """The ids of all rows, cut by the number of tokens up to each shared end."""
+    def cut(name: str, values: pa.Array) -> pa.ListArray:
+        """The values of all rows, cut by the number of tokens up to each shared end."""
         upto = pc.cumulative_sum(links[f"{name}_ends"].cast(pa.int32())).filter(shared)
-        return pa.ListArray.from_arrays(pa.array(np.append(0, upto.to_numpy()), pa.int32()), part[name].flatten())
+        return pa.ListArray.from_arrays(pa.array(np.append(0, upto.to_numpy()), pa.int32()), values)
 
-    pairs = pa.StructArray.from_arrays([cut("a"), cut("b")], ["a", "b"])
+    flat = {c: part[c].flatten() for c in "ab"}
     ends = np.cumsum(np.bincount(links["doc"].filter(shared).to_numpy(), minlength=part.num_rows))
-    return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pairs)
+    offsets = pa.array(np.append(0, ends), pa.int32())
+    if sides is None:
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([cut(c, flat[c]) for c in "ab"], ["a", "b"]))
+    texts = [pc.binary_join(cut(c, side.numbers.take(flat[c])), ",") for c, side in zip("ab", sides)]
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, pc.binary_join_element_wise(*texts, "|")), ";")
 
 
 def align(docs: DataFrame, a_file: str, b_file: str, key: str = "doc_id", text: str = "text", *, head_size: int = 1 << 19,
-          carry: Callable[[Column], Column] = lambda groups: groups) -> DataFrame:
-    """For each row its key, n_a, n_b, n_groups, n_links, n_best, count_sum and groups (a list of the lists a and b).
+          as_text: bool = False, carry: Callable[[Column], Column] = lambda groups: groups) -> DataFrame:
+    """For each row its key, n_a, n_b, n_groups, n_links, n_best, count_sum and groups (a list of the lists a and b,
+    or with ``as_text`` a text like ``a1,a2|b1;a3|b2``).
 
     ``n_best`` are the links whose pair is in as many documents as any pair of its A id, ``count_sum`` the documents of
     their pairs, summed over links. ``carry`` turns groups into what is to be kept of them, before rows are shuffled.
@@ -226,11 +279,11 @@ def align(docs: DataFrame, a_file: str, b_file: str, key: str = "doc_id", text:
         common = pa.table({"pair": known, "n": counts, "best": best.astype(np.int64)})
         for batch in batches:
             for part, links in link_blocks(batch, sides):
-                yield from _document_rows(part, links, common)
+                yield from _document_rows(part, links, common, sides if as_text else None)
 
     kind = tokens.schema["key"].dataType.simpleString()
     numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    made = tokens.mapInArrow(sums, f"row long, key {kind}, pair long, times long, {', '.join(f'{c} long' for c in numbers)}, groups {GROUPS}")
+    made = tokens.mapInArrow(sums, f"row long, key {kind}, pair long, times long, {', '.join(f'{c} long' for c in numbers)}, groups {'string' if as_text else GROUPS}")
     is_document = F.col("groups").isNotNull()
     made = made.withColumn("groups", F.when(is_document, carry(F.col("groups"))))
     more = {"n_best": F.when(F.col("best"), F.col("times")).otherwise(0), "count_sum": F.coalesce(F.col("times") * F.col("n"), F.lit(0))}
@@ -241,7 +294,7 @@ def align(docs: DataFrame, a_file: str, b_file: str, key: str = "doc_id", text:
     return summed.select(F.col("own.key").alias(key), *numbers, F.col("own.groups").alias("groups"))
 
 
-def _document_rows(part: pa.RecordBatch, links: pa.Table, common: pa.Table) -> Iterator[pa.RecordBatch]:
+def _document_rows(part: pa.RecordBatch, links: pa.Table, common: pa.Table, shown) -> Iterator[pa.RecordBatch]:
     n = part.num_rows
     counted = pairs_of(links).join(common, "pair", join_type="left outer", use_threads=False)
     found = counted.filter(counted["n"].is_valid())
@@ -253,12 +306,13 @@ def _document_rows(part: pa.RecordBatch, links: pa.Table, common: pa.Table) -> I
         return out
 
     lengths = [pc.list_value_length(part[c]).cast(pa.int64()) for c in "ab"]
-    groups = groups_of(part, links)
+    groups = groups_of(part, links, shown)
+    n_groups = np.bincount(links["doc"].filter(pc.and_(links["a_ends"], links["b_ends"])).to_numpy(), minlength=n)
     n_links = np.bincount(links["doc"].to_numpy(), minlength=n)
     documents = [
         part["row"], part["key"],
         # no pair is like this one, and no other row has it
-        pc.subtract(-1, part["row"]), pa.array(np.zeros(n, np.int64)), *lengths, pc.list_value_length(groups).cast(pa.int64()),
+        pc.subtract(-1, part["row"]), pa.array(np.zeros(n, np.int64)), *lengths, pa.array(n_groups, pa.int64()),
         pa.array(n_links, pa.int64()), pa.array(total(found["best"].to_numpy() * times)), pa.array(total(found["n"].to_numpy() * times)), groups,
     ]
     names = ["row", "key", "pair", "times", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]

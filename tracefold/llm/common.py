@@ -43,24 +43,23 @@ def join_dealt(rows: DataFrame, one_per_key: DataFrame, keys: list[str], by: Col
 
 
 class PartCache:
-    """Ids of parts of texts, as bytes; of two generations, so that parts that keep coming are encoded once while rare ones leave.
+    """What parts of texts are encoded as; of two generations, so that parts that keep coming are encoded once while rare ones leave.
 
     Subclasses say how parts are encoded. At most ``held`` parts are kept, apart from those of the current call.
     """
 
     def __init__(self, held: int):
         self.held, self.encoded = held, 0
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young: dict = {}
+        self.old: dict = {}
 
-    def encode_parts(self, parts: list[str]) -> Iterable[bytes]:
+    def encode_parts(self, parts: list[str]) -> Iterable:
         raise NotImplementedError
 
-    def join(self, texts: list[list[str]]) -> list[bytes]:
-        """The ids of each text, given as its parts."""
-        parts = list(chain.from_iterable(texts))
-        ids = list(map(self.young.get, parts))
-        gaps = [k for k, known in enumerate(ids) if known is None]
+    def lookup(self, parts: list[str]) -> list:
+        """What each part is encoded as."""
+        found = list(map(self.young.get, parts))
+        gaps = [k for k, known in enumerate(found) if known is None]
         missing = {parts[k] for k in gaps}
         again = missing & self.old.keys()
         self.young.update((part, self.old[part]) for part in again)
@@ -68,11 +67,16 @@ class PartCache:
         self.encoded += len(new)
         self.young.update(zip(new, self.encode_parts(new)))
         for k in gaps:
-            ids[k] = self.young[parts[k]]
+            found[k] = self.young[parts[k]]
         if len(self.young) > self.held // 2:
             self.young, self.old = {}, self.young
+        return found
+
+    def join(self, texts: list[list[str]]) -> list[bytes]:
+        """The encoded bytes of each text, given as its parts."""
+        found = self.lookup(list(chain.from_iterable(texts)))
         ends = list(accumulate(map(len, texts), initial=0))
-        return [b"".join(ids[a:z]) for a, z in zip(ends, ends[1:])]
+        return [b"".join(found[a:z]) for a, z in zip(ends, ends[1:])]
 
 
 def take_lists(values: np.ndarray, ends: np.ndarray, which: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -98,11 +98,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    side = lambda group, name: F.array_join(group[name].cast("array<string>"), ",")
-    shown = lambda groups: F.array_join(F.transform(groups, lambda g: F.concat(side(g, "a"), F.lit("|"), side(g, "b"))), ";")
-    digest = lambda groups: F.when(F.size(groups) > 0, F.sha2(shown(groups), 256)).otherwise("")
+    digest = lambda groups: F.when(groups != "", F.sha2(groups, 256)).otherwise("")
     files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
-    return alignment.align(table(spark, sf_dir, "documents"), *files, carry=digest).withColumnRenamed("groups", "groups_sha256")
+    found = alignment.align(table(spark, sf_dir, "documents"), *files, as_text=True, carry=digest)
+    return found.withColumnRenamed("groups", "groups_sha256")
 
 
 def op12_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,11 +50,7 @@ class CachedEncoder(PartCache):
         from tokenizers import Tokenizer
 
         super().__init__(held)
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.alone = self.tokenizer  # for parts that may hold the special string themselves
-        if plain:
-            self.alone = Tokenizer.from_file(tokenizer_file)
-            self.alone.encode_special_tokens = True
+        self.tokenizer, self.plain = Tokenizer.from_file(tokenizer_file), plain
         special = [(k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
         self.cut_id, self.cut = special[0] if special else (None, None)
 
@@ -63,8 +59,11 @@ class CachedEncoder(PartCache):
         apart = set(alone)
         together = [k for k in range(len(parts)) if k not in apart]
         found = [b""] * len(parts)
-        for k, encoding in zip(alone, self.alone.encode_batch_fast([parts[k] for k in alone], add_special_tokens=False)):
+        # parts that may hold the special string themselves
+        self.tokenizer.encode_special_tokens = self.plain
+        for k, encoding in zip(alone, self.tokenizer.encode_batch_fast([parts[k] for k in alone], add_special_tokens=False)):
             found[k] = array("I", encoding.ids).tobytes()
+        self.tokenizer.encode_special_tokens = False
         groups = [together[k:k + 128] for k in range(0, len(together), 128)]
         texts = [self.cut.join([parts[k] for k in group]) for group in groups]
         for group, encoding in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
