@@ -4,7 +4,6 @@ import hashlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
-import pyarrow as pa
 import pytest
 import sentencepiece
 from cases import documents, mixed_rows
@@ -105,19 +104,18 @@ def test_empty_tables(spark):
     assert A.align(documents(spark, [(1, None), (2, "")]), *FILES).select("n_links", "n_groups").collect() == [(0, 0), (0, 0)]
 
 
-@pytest.mark.parametrize("most", [1, 7, 1 << 18])
-def test_links_of_sliced_batches(most):
-    """Blocks cut from the middle of a batch keep documents apart."""
-    sides = A.sides_of(*FILES)
-    texts = ["some words here", "and there", "x" * 40, "é漢 mixed"]
-    ids = A.encoder_of(*FILES).encode(texts)
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), *ids], ["row", "a", "b"]).slice(1)
-    blocks = list(A.link_blocks(batch, sides, most))
-    assert sum(p.num_rows for p, _ in blocks) == 3
-    for part, links in blocks:
-        for k, (groups, a, b) in enumerate(zip(A.groups_of(part, links).to_pylist(), part["a"].to_pylist(), part["b"].to_pylist())):
-            assert sum((g["a"] for g in groups), []) == a and sum((g["b"] for g in groups), []) == b
-            assert links["doc"].to_pylist().count(k) == len(a) + len(b) - len(groups)
+@pytest.mark.parametrize("block_bytes", [1, 60, 1 << 20])
+def test_blocks_keep_documents_apart(spark, block_bytes):
+    texts = ["some words here", None, "and there", "x" * 40, "a▁b", "é漢 mixed", ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string").selectExpr("row", "row as key", "text")
+    found = {r.row: r for r in A.align_texts(rows.coalesce(1), *FILES, block_bytes=block_bytes).collect()}
+    tokenizer, model = Tokenizer.from_file(FILES[0]), sentencepiece.SentencePieceProcessor(model_file=FILES[1])
+    for k, text in enumerate(texts):
+        r, has = found[k], bool(text) and "▁" not in text
+        assert sum((g.a for g in r.groups), []) == (tokenizer.encode(" " + text, add_special_tokens=False).ids if has else [])
+        assert sum((g.b for g in r.groups), []) == (model.encode(text) if has else [])
+        assert r.n_links == sum(r.times) == r.n_a + r.n_b - r.n_groups and r.n_groups == len(r.groups)
+        assert len(set(zip(r.pair_a, r.pair_b))) == len(r.times)
 
 
 def test_query(spark, tmp_path):

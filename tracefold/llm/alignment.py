@@ -7,8 +7,8 @@ documents); byte lengths are summed up within each document to token ends. A has
 neighbouring ends of either side lies exactly one pair of overlapping tokens, so the outer join of the same
 keys, put in order and filled from behind, lists every link.
 
-The documents that hold a pair of ids are counted per task with ``Table.group_by``; Spark adds these counts
-up. The most frequent pairs, at most ``head_size``, go to all tasks and are joined there; the others are
+Texts are encoded and aligned once; a document's distinct pairs are written. The documents that hold a pair
+are counted per task with ``Table.group_by``; Spark adds these counts up. The most frequent pairs, at most ``head_size``, go to all tasks and are joined there; the others are
 joined by a shuffle.
 
 Defined cases: a null or empty text, and one whose tokens of either side do not join to its bytes (a text with
@@ -35,7 +35,9 @@ from tracefold.llm.common import PartCache, blocks_of, written
 from tracefold.llm.token_counts import PRE_TOKEN, SPACE, frequent
 from tracefold.llm.token_files import PART, CachedEncoder
 
-IDS = pa.list_(pa.int32())
+NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
+# a document's distinct pairs: A ids, B ids, and the links of each
+LISTS = ["pair_a", "pair_b", "times"]
 #: A pair of ids is one number: the A id times this, plus the B id. Vocabularies are smaller.
 PAIR = 1 << 31
 DOC = 1 << 40
@@ -48,7 +50,7 @@ class BothEncoder(PartCache):
     # white space but spaces and line ends, where B has no cut, and B's mark, where A has none
     ODD = re.compile(rf"[^\S \n\x1c-\x1f]|{SPACE}")
 
-    def __init__(self, a_file: str, b_file: str, held: int = 400_000):
+    def __init__(self, a_file: str, b_file: str, held: int = 300_000):
         import sentencepiece
 
         super().__init__(held)
@@ -152,27 +154,6 @@ def sides_of(a_file: str, b_file: str) -> tuple[Tokens, Tokens]:
     return Tokens(byte_tokens(a_file)), Tokens(piece_tokens(sentencepiece.SentencePieceProcessor(model_file=b_file)))
 
 
-def tokenize(docs: DataFrame, a_file: str, b_file: str, key: str = "doc_id", text: str = "text", *, block_bytes: int = 2 << 20) -> DataFrame:
-    """row, key, a and b (ids) for each row, written to the shared folder."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, sides = encoder_of(a_file, b_file), sides_of(a_file, b_file)
-        for batch in batches:
-            for start, end in blocks_of(batch["text"], block_bytes):
-                part = batch.slice(start, end - start)
-                texts = part["text"].to_pylist()
-                wanted = pa.array([(" " + t).encode() if t else None for t in texts], pa.binary())
-                ids = encoder.encode(texts)
-                same = [pc.equal(side.bytes_of(i), wanted) for side, i in zip(sides, ids)]
-                valid = pc.fill_null(pc.and_(*same), False)
-                none = pa.scalar([], IDS)
-                yield pa.RecordBatch.from_arrays([part["row"], part["key"], *(pc.if_else(valid, i, none) for i in ids)], ["row", "key", "a", "b"])
-
-    kind = rows.schema["key"].dataType.simpleString()
-    return written(rows.mapInArrow(encode, f"row long, key {kind}, a array<int>, b array<int>"), "aligned-tokens")
-
-
 def token_ends(ids: pa.ListArray, sizes: pa.Array, name: str) -> pa.Table:
     """(at, id): the lists flattened; ``at`` is the key of a document and a byte end in it, DOC times the one plus the other."""
     flat = ids.flatten()
@@ -202,30 +183,79 @@ def pairs_of(links: pa.Table) -> pa.Table:
     return counted.rename_columns({"count_all": "times"})
 
 
-def link_blocks(batch: pa.RecordBatch, sides: tuple[Tokens, Tokens], most: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, pa.Table]]:
-    """Rows of (a, b) in blocks of about ``most`` tokens, with their links."""
-    upto = np.cumsum(pc.list_value_length(batch["a"]).to_numpy(zero_copy_only=False).astype(np.int64))
-    start = 0
-    while start < batch.num_rows:
-        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, "right")))
-        part = batch.slice(start, end - start)
-        yield part, overlaps(part["a"], part["b"], sides)
-        start = end
+def groups_of(a: pa.ListArray, b: pa.ListArray, links: pa.Table, rows: int, sides: tuple[Tokens, Tokens] | None = None) -> pa.Array:
+    """For each of ``rows`` rows its groups: lists of structs of the lists a and b, or, with ``sides``, a text like ``a1,a2|b1;a3|b2``."""
+    shared = pc.and_(links["a_ends"], links["b_ends"])
+
+    def cut(name: str, values: pa.Array) -> pa.ListArray:
+        """The values of all rows, cut by the number of tokens up to each shared end."""
+        upto = pc.cumulative_sum(links[f"{name}_ends"].cast(pa.int32())).filter(shared)
+        return pa.ListArray.from_arrays(pa.array(np.append(0, upto.to_numpy()), pa.int32()), values)
+
+    flat = {"a": a.flatten(), "b": b.flatten()}
+    ends = np.cumsum(np.bincount(links["doc"].filter(shared).to_numpy(), minlength=rows))
+    offsets = pa.array(np.append(0, ends), pa.int32())
+    if sides is None:
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([cut(c, flat[c]) for c in "ab"], ["a", "b"]))
+    texts = [pc.binary_join(cut(c, side.numbers.take(flat[c])), ",") for c, side in zip("ab", sides)]
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, pc.binary_join_element_wise(*texts, "|")), ";")
+
+
+def align_texts(rows: DataFrame, a_file: str, b_file: str, as_text: bool = False, *, block_bytes: int = 1 << 20) -> DataFrame:
+    """For each (row, key, text) its NUMBERS, its groups, and its distinct pairs as lists of A ids, B ids and times."""
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, sides = encoder_of(a_file, b_file), sides_of(a_file, b_file)
+        for batch in batches:
+            for start, end in blocks_of(batch["text"], block_bytes):
+                part = batch.slice(start, end - start)
+                texts = part["text"].to_pylist()
+                wanted = pa.array([(" " + t).encode() if t else None for t in texts], pa.binary())
+                ids = encoder.encode(texts)
+                same = [pc.equal(side.bytes_of(i), wanted) for side, i in zip(sides, ids)]
+                valid = pc.fill_null(pc.and_(*same), False)
+                if not pc.all(valid).as_py():
+                    ids = [pc.if_else(valid, i, pa.scalar([], i.type)) for i in ids]
+                yield aligned(part, *ids, sides)
+
+    def aligned(part: pa.RecordBatch, a: pa.ListArray, b: pa.ListArray, sides: tuple[Tokens, Tokens]) -> pa.RecordBatch:
+        n = part.num_rows
+        links = overlaps(a, b, sides)
+        per_row = lambda docs: pa.array(np.bincount(docs.to_numpy(), minlength=n), pa.int64())
+        pairs = pairs_of(links)
+        pairs = pairs.take(pc.array_sort_indices(pairs["doc"].combine_chunks()))
+        offsets = pa.array(np.append(0, np.cumsum(np.bincount(pairs["doc"].to_numpy(), minlength=n))), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, x.combine_chunks().cast(pa.int32()))
+                 for x in (pc.divide(pairs["pair"], PAIR), pc.bit_wise_and(pairs["pair"], PAIR - 1), pairs["times"])]
+        numbers = [*(pc.list_value_length(x).cast(pa.int64()) for x in (a, b)),
+                   per_row(links["doc"].filter(pc.and_(links["a_ends"], links["b_ends"]))), per_row(links["doc"])]
+        groups = groups_of(a, b, links, n, sides if as_text else None)
+        return pa.RecordBatch.from_arrays([part["row"], part["key"], *numbers, groups, *lists], ["row", "key", *NUMBERS, "groups", *LISTS])
+
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(align, f"row long, key {kind}, {', '.join(f'{c} long' for c in NUMBERS)}, groups {'string' if as_text else GROUPS}, "
+                                  f"{', '.join(f'{c} array<int>' for c in LISTS)}")
+
 
+def flat_pairs(batch: pa.RecordBatch) -> pa.Array:
+    a, b = (batch[c].flatten().cast(pa.int64()) for c in LISTS[:2])
+    return pc.add(pc.multiply(a, PAIR), b)
 
-def pair_counts(tokens: DataFrame, a_file: str, b_file: str, *, flush: int = 1 << 20) -> DataFrame:
+
+def pair_counts(aligned: DataFrame, *, flush: int = 1 << 20) -> DataFrame:
     """pair, n (documents that hold it linked) and best (whether n is the highest of its A id)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides, held = sides_of(a_file, b_file), []
+        held: list[pa.Table] = []
 
         def merged() -> pa.Table:
             return pa.concat_tables(held).group_by("pair", use_threads=False).aggregate([("n", "sum")]).rename_columns(["pair", "n"])
 
         for batch in batches:
-            for _, links in link_blocks(batch, sides):
-                documents = pairs_of(links).group_by("pair", use_threads=False).aggregate([([], "count_all")]).rename_columns(["pair", "n"])
-                held.append(documents)
+            for start in range(0, batch.num_rows, 500):
+                # a document lists a pair once
+                pairs = pa.table({"pair": flat_pairs(batch.slice(start, 500))})
+                held.append(pairs.group_by("pair", use_threads=False).aggregate([([], "count_all")]).rename_columns(["pair", "n"]))
                 if sum(t.num_rows for t in held) > flush:
                     held = [merged()]
                     if held[0].num_rows > flush // 2:
@@ -233,29 +263,46 @@ def pair_counts(tokens: DataFrame, a_file: str, b_file: str, *, flush: int = 1 <
         if held:
             yield from merged().to_batches()
 
-    counts = written(tokens.select("a", "b").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
+    counts = written(aligned.select(*LISTS[:2]).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
     of_a = F.expr(f"pair div {PAIR}")
     # a row for each id of A's vocabulary
     most = F.broadcast(counts.groupBy(of_a.alias("a")).agg(F.max("n").alias("most")))
     return written(counts.join(most, of_a == F.col("a")).select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "pairs")
 
 
-def groups_of(part: pa.RecordBatch, links: pa.Table, sides: tuple[Tokens, Tokens] | None = None) -> pa.Array:
-    """For each row of ``part`` its groups: lists of structs of the lists a and b, or, with ``sides``, a text like ``a1,a2|b1;a3|b2``."""
-    shared = pc.and_(links["a_ends"], links["b_ends"])
-
-    def cut(name: str, values: pa.Array) -> pa.ListArray:
-        """The values of all rows, cut by the number of tokens up to each shared end."""
-        upto = pc.cumulative_sum(links[f"{name}_ends"].cast(pa.int32())).filter(shared)
-        return pa.ListArray.from_arrays(pa.array(np.append(0, upto.to_numpy()), pa.int32()), values)
+def link_sums(aligned: DataFrame, pairs: DataFrame, *, head_size: int = 1 << 19) -> DataFrame:
+    """row, n_best and count_sum: links whose pair is in as many documents as any of its A id, and the documents of all links."""
+    # head_size rows of 17 bytes
+    top = frequent(pairs, head_size).toArrow()
+    head = aligned.sparkSession.sparkContext.broadcast(tuple(top[c].to_numpy() for c in ("pair", "n", "best")))
 
-    flat = {c: part[c].flatten() for c in "ab"}
-    ends = np.cumsum(np.bincount(links["doc"].filter(shared).to_numpy(), minlength=part.num_rows))
-    offsets = pa.array(np.append(0, ends), pa.int32())
-    if sides is None:
-        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([cut(c, flat[c]) for c in "ab"], ["a", "b"]))
-    texts = [pc.binary_join(cut(c, side.numbers.take(flat[c])), ",") for c, side in zip("ab", sides)]
-    return pc.binary_join(pa.ListArray.from_arrays(offsets, pc.binary_join_element_wise(*texts, "|")), ";")
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each document with what the head gives, and one for each other pair of it."""
+        pair, n, best = head.value
+        common = pa.table({"pair": pair, "n": n, "best": best.astype(np.int64)})
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                yield from row_sums(batch.slice(start, 500), common)
+
+    def row_sums(part: pa.RecordBatch, common: pa.Table) -> Iterator[pa.RecordBatch]:
+        own = pa.table({"doc": pc.list_parent_indices(part["times"]), "pair": flat_pairs(part), "times": part["times"].flatten().cast(pa.int64())})
+        joined = own.join(common, "pair", join_type="left outer", use_threads=False)
+        found, rest = joined.filter(joined["n"].is_valid()), joined.filter(joined["n"].is_null())
+        totals = np.zeros((2, part.num_rows), np.int64)
+        times = found["times"].to_numpy()
+        for total, value in zip(totals, ("best", "n")):
+            np.add.at(total, found["doc"].to_numpy(), found[value].to_numpy() * times)
+        names = ["row", "pair", "times", "n_best", "count_sum"]
+        # no pair is like a document's own, and no other row has it
+        yield pa.RecordBatch.from_arrays([part["row"], pc.subtract(-1, part["row"]), pa.array(np.zeros(part.num_rows, np.int64)), *map(pa.array, totals)], names)
+        zeros = pa.array(np.zeros(rest.num_rows, np.int64))
+        row = part["row"].take(rest["doc"].combine_chunks())
+        yield pa.RecordBatch.from_arrays([row, rest["pair"].combine_chunks(), rest["times"].combine_chunks(), zeros, zeros], names)
+
+    made = aligned.select("row", *LISTS).mapInArrow(sums, "row long, pair long, times long, n_best long, count_sum long")
+    best = F.col("n_best") + F.when(F.col("best"), F.col("times")).otherwise(0)
+    total = F.col("count_sum") + F.coalesce(F.col("times") * F.col("n"), F.lit(0))
+    return made.join(pairs, "pair", "left").groupBy("row").agg(F.sum(best).alias("n_best"), F.sum(total).alias("count_sum"))
 
 
 def align(docs: DataFrame, a_file: str, b_file: str, key: str = "doc_id", text: str = "text", *, head_size: int = 1 << 19,
@@ -264,62 +311,10 @@ def align(docs: DataFrame, a_file: str, b_file: str, key: str = "doc_id", text:
     or with ``as_text`` a text like ``a1,a2|b1;a3|b2``).
 
     ``n_best`` are the links whose pair is in as many documents as any pair of its A id, ``count_sum`` the documents of
-    their pairs, summed over links. ``carry`` turns groups into what is to be kept of them, before rows are shuffled.
+    their pairs, summed over links. ``carry`` turns groups into what is to be kept of them, before rows are written.
     """
-    tokens = tokenize(docs, a_file, b_file, key, text)
-    pairs = pair_counts(tokens, a_file, b_file)
-    # head_size rows of 17 bytes
-    top = frequent(pairs, head_size).toArrow()
-    order = np.argsort(top["pair"].to_numpy())
-    head = docs.sparkSession.sparkContext.broadcast(tuple(top[c].to_numpy()[order] for c in ("pair", "n", "best")))
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document with what the head gives, and one for each other pair of it."""
-        sides, (known, counts, best) = sides_of(a_file, b_file), head.value
-        common = pa.table({"pair": known, "n": counts, "best": best.astype(np.int64)})
-        for batch in batches:
-            for part, links in link_blocks(batch, sides):
-                yield from _document_rows(part, links, common, sides if as_text else None)
-
-    kind = tokens.schema["key"].dataType.simpleString()
-    numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    made = tokens.mapInArrow(sums, f"row long, key {kind}, pair long, times long, {', '.join(f'{c} long' for c in numbers)}, groups {'string' if as_text else GROUPS}")
-    is_document = F.col("groups").isNotNull()
-    made = made.withColumn("groups", F.when(is_document, carry(F.col("groups"))))
-    more = {"n_best": F.when(F.col("best"), F.col("times")).otherwise(0), "count_sum": F.coalesce(F.col("times") * F.col("n"), F.lit(0))}
-    joined = made.join(pairs, "pair", "left").withColumns({c: F.col(c) + more[c] for c in more})
-    # a document's own row holds its key and groups, the others nulls
-    own = F.max_by(F.struct("key", "groups"), is_document.cast("int")).alias("own")
-    summed = joined.groupBy("row").agg(own, *[F.sum(c).alias(c) for c in numbers])
-    return summed.select(F.col("own.key").alias(key), *numbers, F.col("own.groups").alias("groups"))
-
-
-def _document_rows(part: pa.RecordBatch, links: pa.Table, common: pa.Table, shown) -> Iterator[pa.RecordBatch]:
-    n = part.num_rows
-    counted = pairs_of(links).join(common, "pair", join_type="left outer", use_threads=False)
-    found = counted.filter(counted["n"].is_valid())
-    doc, times = found["doc"].to_numpy(), found["times"].to_numpy()
-
-    def total(values: np.ndarray) -> np.ndarray:
-        out = np.zeros(n, np.int64)
-        np.add.at(out, doc, values)
-        return out
-
-    lengths = [pc.list_value_length(part[c]).cast(pa.int64()) for c in "ab"]
-    groups = groups_of(part, links, shown)
-    n_groups = np.bincount(links["doc"].filter(pc.and_(links["a_ends"], links["b_ends"])).to_numpy(), minlength=n)
-    n_links = np.bincount(links["doc"].to_numpy(), minlength=n)
-    documents = [
-        part["row"], part["key"],
-        # no pair is like this one, and no other row has it
-        pc.subtract(-1, part["row"]), pa.array(np.zeros(n, np.int64)), *lengths, pa.array(n_groups, pa.int64()),
-        pa.array(n_links, pa.int64()), pa.array(total(found["best"].to_numpy() * times)), pa.array(total(found["n"].to_numpy() * times)), groups,
-    ]
-    names = ["row", "key", "pair", "times", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
-    yield pa.RecordBatch.from_arrays(documents, names)
-    rest = counted.filter(counted["n"].is_null())
-    zeros = pa.array(np.zeros(rest.num_rows, np.int64))
-    row = part["row"].take(rest["doc"].combine_chunks())
-    others = [row, pa.nulls(rest.num_rows, part["key"].type), rest["pair"].combine_chunks(), rest["times"].combine_chunks(), *[zeros] * 6,
-              pa.nulls(rest.num_rows, groups.type)]
-    yield pa.RecordBatch.from_arrays(others, names)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+    aligned = written(align_texts(rows, a_file, b_file, as_text).withColumn("groups", carry(F.col("groups"))), "aligned")
+    sums = link_sums(aligned, pair_counts(aligned), head_size=head_size)
+    found = aligned.select("row", "key", *NUMBERS, "groups").join(sums, "row")
+    return found.select(F.col("key").alias(key), *NUMBERS, "n_best", "count_sum", "groups")
