@@ -66,6 +66,18 @@ def shard(rng, n=3000, n_terms=120):
     return rows, made
 
 
+def test_blocks_that_were_not_kept(monkeypatch):
+    rng = np.random.default_rng(4)
+    _, made = shard(rng, 400)
+    asked = [(np.array([0, 3, 12]), np.array([1, 1, 2])), (np.array([1, 2, 50]), np.array([3, 1, 1]))] * 2
+    wanted = [made.search(*a, 10) for a in asked]
+    monkeypatch.setattr(S, "HELD", 1)
+    made.blocks.clear()
+    for a, (docs, scores) in zip(asked, wanted):
+        again = made.search(*a, 10)
+        assert again[0].tolist() == docs.tolist() and again[1].tolist() == scores.tolist() and len(made.blocks) <= 2
+
+
 def test_bounds_hold_and_blocks_are_skipped():
     rng = np.random.default_rng(3)
     rows, made = shard(rng)

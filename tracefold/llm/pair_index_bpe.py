@@ -229,7 +229,7 @@ def encoder_of(tokenizer_file: str) -> PairIndexEncoder:
     return PairIndexEncoder(tokenizer_file)
 
 
-def encode_texts(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text: str = "text", *, block_bytes: int = 4 << 20) -> DataFrame:
+def encode_texts(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text: str = "text", *, block_bytes: int = 1 << 20) -> DataFrame:
     """key and ids (array of int) for each row."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
@@ -245,7 +245,7 @@ def encode_texts(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text
     return rows.mapInArrow(encode, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
-def decode_ids(ids: Column, tokenizer_file: str, *, block_ids: int = 1 << 21) -> Column:
+def decode_ids(ids: Column, tokenizer_file: str, *, block_ids: int = 1 << 18) -> Column:
     """The text of a list of ids: its tokens, special ones too, with a space between them."""
 
     @F.arrow_udf("string")
