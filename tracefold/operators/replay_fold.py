@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracefold.cluster import cut_lineage, task_slots
+from tracefold.operators.automaton import Automaton, compile_automata, start_states
 from tracefold.operators.models import Nets, transition_arcs
+from tracefold.operators.prefix_tree import fold_tree
 from tracefold.operators.sessions import SEGMENT_EVENTS, Piece, Sessions, union_all, with_session_values
 from tracefold.schemas import STATUS_OK, STATUS_PATH_EXPLOSION, STATUS_UNKNOWN_EVENT
 
@@ -171,11 +173,20 @@ def fold_segment(rows: DataFrame, watch: bool = False) -> DataFrame:
 
     ``watch`` also fills ``low``, what the outcome depends on: without it ``low`` stays empty.
     """
-    opening = F.transform("toks", lambda tok, k: F.struct(
+    return rows.withColumn("state", F.aggregate("labels", _opening(F.col("toks"), watch), lambda s, label: _step(s, label, watch)))
+
+
+def _opening(toks: Column, watch: bool = False) -> Column:
+    """The state before the first event."""
+    markings = F.transform(toks, lambda tok, k: F.struct(
         tok.alias("tok"), k.alias("org"), F.lit(0).alias("lost"), F.lit("").alias("miss")))
     low = F.transform("init", lambda n: F.lit(NEVER_TESTED)) if watch else F.array().cast("array<int>")
-    zero = F.struct(opening.alias("buf"), F.lit(0).alias("pos"), F.lit(False).alias("exploded"), low.alias("low"))
-    return rows.withColumn("state", F.aggregate("labels", zero.cast(STATE), lambda s, label: _step(s, label, watch)))
+    return F.struct(markings.alias("buf"), F.lit(0).alias("pos"), F.lit(False).alias("exploded"), low.alias("low")).cast(STATE)
+
+
+def fold_part(rows: DataFrame) -> DataFrame:
+    """Advance ``state`` over the labels in ``part``."""
+    return rows.withColumn("state", F.aggregate("part", F.col("state").cast(STATE), lambda s, label: _step(s, label, False)))
 
 
 # --- whole sessions ---------------------------------------------------------------
@@ -199,50 +210,95 @@ def label_segments(sessions: Sessions, labels: DataFrame, size: int, join) -> Da
 
 
 def replay_fold(sessions: Sessions, nets: Nets, expected: DataFrame, join,
-                size: int = SEGMENT_EVENTS, share_variants: bool = False) -> DataFrame:
+                size: int = SEGMENT_EVENTS, share_variants: bool = False, share_prefixes: bool = False) -> DataFrame:
     """Replay sessions that carry ``model_id`` and length ``n``; one result row per session.
 
     ``share_variants`` replays equal event lists once. It costs two more shuffles and pays
-    off when sessions are short and repeat.
+    off when sessions are short and repeat. ``share_prefixes`` also replays equal beginnings
+    once, in a few rounds; it pays off where a step of the model costs much.
     """
     labels, models = event_options(nets, expected)
     # one row per run, of which every task needs all
     models = F.broadcast(models)
     segments = label_segments(sessions, labels, size, join)
     short = segments.where(F.col("n") <= size)
-    folded = _fold_variants(short, models) if share_variants else _fold_first(short.join(models, "model_id"))
+    if share_prefixes:
+        models = F.broadcast(cut_lineage(models))
+    shares = share_variants or share_prefixes
+    folded = _fold_variants(short, models, share_prefixes) if shares else _fold_first(short.join(models, "model_id"))
     if sessions.longest <= size:
         return _finish(folded)
     columns = [*SESSION, "n", "unknown", "names", "final", "tok", "miss", "exploded"]
-    longer = _fold_long(segments.where(F.col("n") > size), models, size)
+    longer = _fold_long(segments.where(F.col("n") > size), models, size, sessions.longest)
     return _finish(folded.select(columns).unionByName(longer.select(columns)))
 
 
 def _fold_first(rows: DataFrame) -> DataFrame:
-    folded = fold_segment(rows.withColumn("toks", F.array("init")))
+    return _outcome(fold_segment(rows.withColumn("toks", F.array("init"))))
+
+
+def _outcome(folded: DataFrame) -> DataFrame:
     return folded.withColumns({
         "tok": F.col("state.buf")[0]["tok"], "miss": missing_codes(F.col("state.buf")[0]["miss"]), "exploded": F.col("state.exploded")})
 
 
-def _fold_variants(rows: DataFrame, models: DataFrame) -> DataFrame:
+def _fold_variants(rows: DataFrame, models: DataFrame, prefixes: bool) -> DataFrame:
     variants = rows.select("model_id", "labels").distinct()
-    results = (
-        _fold_first(variants.join(models, "model_id"))
-        .select("model_id", "labels", "tok", "miss", "exploded")
-    )
+    if prefixes:
+        results = _outcome(fold_tree(variants, models, _opening(F.array("init")), fold_part))
+    else:
+        results = _fold_first(variants.join(models, "model_id"))
+    results = results.select("model_id", "labels", "tok", "miss", "exploded")
     # left without a hint: Spark sees the size of the results and splits a variant many sessions share
     return rows.join(results, ["model_id", "labels"]).join(models.select("model_id", "names", "final"), "model_id")
 
 
-def _fold_long(segments: DataFrame, models: DataFrame, size: int) -> DataFrame:
-    """Fold sessions of several segments, all segments at once, until they fit together.
+def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int) -> DataFrame:
+    """Fold sessions of several segments, all segments at once.
 
-    The first segment of a session runs from the truth, so each round settles at least the
-    next one, and all of them as soon as their starts no longer matter.
+    Where an automaton of the net tells what each segment starts from, they run once from there;
+    otherwise they run until they fit together.
     """
     # an unknown event cuts a session off: later segments do not count
     within = F.col("unknown").isNull() | (F.col("segment") <= F.expr(f"greatest(unknown.pos - 1, 0L) div {size}"))
-    segments = cut_lineage(segments.where(within))
+    segments, models = cut_lineage(segments.where(within)), F.broadcast(cut_lineage(models))
+    automata = compile_automata(models, fold_segment)
+    # one row per run
+    others = [row.model_id for row in models.select("model_id").collect() if row.model_id not in automata]
+    ways = []
+    if automata:
+        ways.append(_fold_by_states(segments.where(F.col("model_id").isin(sorted(automata))), models, automata, -(-longest // size)))
+    if others:
+        ways.append(_fold_in_rounds(segments.where(F.col("model_id").isin(others)), models))
+    runs, settled = (union_all(parts) for parts in zip(*ways))
+    ends = (
+        settled.groupBy(*SESSION)
+        .agg(F.max_by("tok", "segment").alias("tok"), F.max("exploded").alias("exploded"))
+        .join(segments.where("segment = 0").select(*SESSION, "n", "unknown"), SESSION)
+    )
+    missing = (
+        _pick_winners(runs, size).groupBy(*SESSION)
+        .agg(F.flatten(F.sort_array(F.collect_list(F.struct("segment", "miss")))["miss"]).alias("miss"))
+    )
+    return ends.join(missing, SESSION).join(models.select("model_id", "names", "final"), "model_id")
+
+
+RUN = [*SESSION, "segment", "toks_out", "orgs", "misses"]
+
+
+def _fold_by_states(segments: DataFrame, models: DataFrame, automata: dict[str, Automaton], most: int) -> tuple[DataFrame, DataFrame]:
+    """Runs of all segments from their true starts, and their ends."""
+    starts = start_states(segments, automata, SESSION, most)
+    runs = _run(segments.join(starts, [*SESSION, "segment"]), models, watch=False)
+    return runs.select(RUN), runs.select(*SESSION, "segment", F.col("toks_out")[0].alias("tok"), "exploded")
+
+
+def _fold_in_rounds(segments: DataFrame, models: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Runs of all segments from starts that fit the segments before them, and their ends.
+
+    The first segment of a session runs from the truth, so each round settles at least the
+    next one, and all of them as soon as their starts no longer matter.
+    """
     runs = _run(segments.join(models.select("model_id", F.array("init").alias("toks")), "model_id"), models)
     while True:
         linked = cut_lineage(_link(runs))
@@ -257,25 +313,16 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int) -> DataFrame:
         runs = runs.join(again.select(*SESSION, "segment"), [*SESSION, "segment"], "left_anti").unionByName(rerun)
         runs = cut_lineage(runs)
     shifted = F.zip_with(F.col("toks_out")[0], F.col("shift"), lambda n, d: n + d)
-    ends = (
-        linked.groupBy(*SESSION)
-        .agg(F.max_by(shifted, F.col("segment")).alias("tok"), F.max("exploded").alias("exploded"))
-        .join(segments.where("segment = 0").select(*SESSION, "n", "unknown"), SESSION)
-    )
-    missing = (
-        _pick_winners(runs, size).groupBy(*SESSION)
-        .agg(F.flatten(F.sort_array(F.collect_list(F.struct("segment", "miss")))["miss"]).alias("miss"))
-    )
-    return ends.join(missing, SESSION).join(models.select("model_id", "names", "final"), "model_id")
+    return runs.select(RUN), linked.select(*SESSION, "segment", shifted.alias("tok"), "exploded")
 
 
-def _run(starts: DataFrame, models: DataFrame) -> DataFrame:
+def _run(starts: DataFrame, models: DataFrame, watch: bool = True) -> DataFrame:
     """Fold segments from the markings in ``toks``.
 
     The segments are few bytes and much work, so they are spread over all task slots.
     """
     spread = starts.repartition(task_slots(starts.sparkSession), *SESSION, "segment")
-    folded = fold_segment(spread.join(models, "model_id"), watch=True)
+    folded = fold_segment(spread.join(models, "model_id"), watch)
     of_first = F.transform(missing_codes(F.col("state.buf")[0]["miss"]), lambda m: m % F.size("init"))
     made_up = F.transform("init", lambda _, place: F.size(F.filter("lost", lambda p: p == place)))
     return cut_lineage(folded.withColumn("lost", of_first).select(
@@ -368,7 +415,7 @@ def _pick_winners(runs: DataFrame, size: int) -> DataFrame:
         )
         step *= 2
     # codes count events from the start of the segment
-    base = F.col("segment") * size * F.size("low")
+    base = F.col("segment") * size * F.size(F.col("toks_out")[0])
     codes = F.transform(missing_codes(F.get("misses", F.col("pick"))), lambda code: code + base)
     return runs.join(rows, key).select(*key, codes.alias("miss"))
 

@@ -96,7 +96,7 @@ def assign_runs(sessions: Sessions, runs: Sequence[Run]) -> Sessions:
 
 
 def check_logs(sessions: Sessions, nets: Nets, runs: Sequence[Run], *, method: str = "auto",
-               segment: int = SEGMENT_EVENTS, share_variants: bool = False) -> DataFrame:
+               segment: int = SEGMENT_EVENTS, share_variants: bool = False, share_prefixes: bool = False) -> DataFrame:
     """Replay every session of every run; one result row per (model, session).
 
     ``method`` is "scan" (windows; event names must be unique), "fold" (any model) or
@@ -105,7 +105,7 @@ def check_logs(sessions: Sessions, nets: Nets, runs: Sequence[Run], *, method: s
     nets = nets_of_runs(nets, runs)
     facts = check_nets(nets, [run.key for run in runs])
     assigned = assign_runs(sessions, runs)
-    return replay_assigned(assigned, nets, runs, facts, method, segment, share_variants)
+    return replay_assigned(assigned, nets, runs, facts, method, segment, share_variants, share_prefixes)
 
 
 def check_counts(sessions: Sessions, nets: Nets, runs: Sequence[Run], **options) -> DataFrame:
@@ -123,7 +123,7 @@ def _counted(results: DataFrame) -> DataFrame:
 
 
 def replay_assigned(assigned: Sessions, nets: Nets, runs: Sequence[Run], facts: dict[str, ModelFacts], method: str = "auto",
-                    segment: int = SEGMENT_EVENTS, share_variants: bool = False, counts: bool = False) -> DataFrame:
+                    segment: int = SEGMENT_EVENTS, share_variants: bool = False, share_prefixes: bool = False, counts: bool = False) -> DataFrame:
     plain = [m for m, f in facts.items() if f.most_per_name == 1 and method != "fold"]
     if method == "scan" and len(plain) < len(facts):
         raise ValueError("event names with several transitions need the fold")
@@ -135,7 +135,7 @@ def replay_assigned(assigned: Sessions, nets: Nets, runs: Sequence[Run], facts:
     if rest:
         chosen, picked = _pick(assigned, rest, facts), [r for r in runs if r.key in rest]
         folded = replay_fold(chosen, _only(nets, rest), _expected(nets, picked), event_join(facts, rest),
-                             segment, share_variants)
+                             segment, share_variants, share_prefixes)
         results.append(_counted(folded) if counts else folded)
     return union_all(results).select(COUNT_COLUMNS if counts else RESULT_COLUMNS)
 
