@@ -35,7 +35,7 @@ from tracefold.llm.common import written
 from tracefold.llm.decontamination import words_of
 
 SCALE = 10**9
-HELD = 1 << 21  # maxima of a shard's blocks that are kept for the next items
+HELD = 1 << 23  # maxima of a shard's blocks that are kept for the next items
 
 
 def term_weight(documents: int, holding: int) -> int:
@@ -204,7 +204,7 @@ def forward_rows(docs: DataFrame, terms, key: str, text: str) -> DataFrame:
 
 
 def rank(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", *,
-         limit: int = 10, percent: int = 75, block_bytes: int = 4 << 20, shard_postings: int = 1 << 19, block: int = 32) -> DataFrame:
+         limit: int = 10, percent: int = 75, block_bytes: int = 4 << 20, shard_postings: int = 1 << 20, block: int = 32) -> DataFrame:
     """item, rank, key and score of the best ``limit`` documents for each row of ``items``.
 
     ``percent`` is the share of a document's length in its damping, ``block`` the documents of a block.
