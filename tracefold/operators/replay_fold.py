@@ -229,7 +229,7 @@ def replay_fold(sessions: Sessions, nets: Nets, expected: DataFrame, join,
     if sessions.longest <= size:
         return _finish(folded)
     columns = [*SESSION, "n", "unknown", "names", "final", "tok", "miss", "exploded"]
-    longer = _fold_long(segments.where(F.col("n") > size), models, size, sessions.longest)
+    longer = _with_all_missing(*_fold_long(segments.where(F.col("n") > size), models, size, sessions.longest))
     return _finish(folded.select(columns).unionByName(longer.select(columns)))
 
 
@@ -253,8 +253,8 @@ def _fold_variants(rows: DataFrame, models: DataFrame, prefixes: bool) -> DataFr
     return rows.join(results, ["model_id", "labels"]).join(models.select("model_id", "names", "final"), "model_id")
 
 
-def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int) -> DataFrame:
-    """Fold sessions of several segments, all segments at once.
+def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int) -> tuple[DataFrame, DataFrame]:
+    """Fold sessions of several segments, all segments at once: how each session ends, and what each segment missed.
 
     Where an automaton of the net tells what each segment starts from, they run once from there;
     otherwise they run until they fit together.
@@ -275,12 +275,45 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int)
         settled.groupBy(*SESSION)
         .agg(F.max_by("tok", "segment").alias("tok"), F.max("exploded").alias("exploded"))
         .join(segments.where("segment = 0").select(*SESSION, "n", "unknown"), SESSION)
+        .join(models.select("model_id", "names", "final"), "model_id")
     )
-    missing = (
-        _pick_winners(runs, size).groupBy(*SESSION)
-        .agg(F.flatten(F.sort_array(F.collect_list(F.struct("segment", "miss")))["miss"]).alias("miss"))
+    return ends, _pick_winners(runs, size)
+
+
+def _with_all_missing(ends: DataFrame, missing: DataFrame) -> DataFrame:
+    """Sessions with the list of their missing tokens, of all segments in one row."""
+    gathered = missing.groupBy(*SESSION).agg(F.flatten(F.sort_array(F.collect_list(F.struct("segment", "miss")))["miss"]).alias("miss"))
+    return ends.join(gathered, SESSION)
+
+
+def ledger_fold(sessions: Sessions, nets: Nets, expected: DataFrame, join, size: int = SEGMENT_EVENTS) -> DataFrame:
+    """Missing and left tokens of each session as rows: (model_id, case_id, kind, at, place_id, tokens).
+
+    A session of one segment is a row of bounded size; the missing tokens of a longer one stay with its segments.
+    """
+    labels, models = event_options(nets, expected)
+    models = F.broadcast(models)
+    segments = label_segments(sessions, labels, size, join)
+    folded = _fold_first(segments.where(F.col("n") <= size).join(models, "model_id"))
+    columns = [*SESSION, "n", "unknown", "names", "final", "tok", "exploded"]
+    ends, missing = folded.select(columns), folded.select(*SESSION, "names", "miss", "exploded", "unknown")
+    if sessions.longest > size:
+        long_ends, long_missing = _fold_long(segments.where(F.col("n") > size), models, size, sessions.longest)
+        ends = ends.unionByName(long_ends.select(columns))
+        whole = long_ends.select(*SESSION, "names", "exploded", "unknown")
+        missing = missing.unionByName(long_missing.join(whole, SESSION).select(*missing.columns))
+    # what is missing at the end is found by _finish, which notes it after what was missing before
+    none = F.array().cast("array<bigint>")
+    closed = _finish(ends.withColumn("miss", none)).where(F.col("status") == STATUS_OK)
+    at_end = closed.select(*SESSION, F.lit("missing").alias("kind"), F.col("session_length").alias("at"), F.explode("missing_tokens").alias("place_id"))
+    left = closed.select(*SESSION, F.lit("left").alias("kind"), F.col("session_length").alias("at"), F.explode("unconsumed_tokens").alias("place_id"))
+    on_the_way = (
+        missing.where(~F.col("exploded") & F.col("unknown").isNull())
+        .select(*SESSION, F.size("names").alias("width"), "names", F.explode("miss").alias("code"))
+        .select(*SESSION, F.lit("missing").alias("kind"), F.expr("code div width").alias("at"), F.get("names", (F.col("code") % F.col("width")).cast("int")).alias("place_id"))
     )
-    return ends.join(missing, SESSION).join(models.select("model_id", "names", "final"), "model_id")
+    rows = on_the_way.unionByName(at_end).unionByName(left)
+    return rows.groupBy(*SESSION, "kind", "at", "place_id").agg(F.count(F.lit(1)).alias("tokens"))
 
 
 RUN = [*SESSION, "segment", "toks_out", "orgs", "misses"]

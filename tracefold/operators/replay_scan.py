@@ -184,6 +184,23 @@ def _collect_results(piece: Piece) -> DataFrame:
     )
 
 
+def ledger_scan(sessions: Sessions, nets: Nets, expected: DataFrame, join) -> DataFrame:
+    """Missing and left tokens of each session as rows: (model_id, case_id, kind, at, place_id, tokens)."""
+    effects = event_effects(nets, expected)
+    return union_all(_ledger(_replay_piece(piece, effects, join)) for piece in sessions.pieces)
+
+
+def _ledger(piece: Piece) -> DataFrame:
+    # steps are used twice; a session is not gathered for either
+    steps = piece.rows.where(F.col("unknown").isNull() & F.col("place_id").isNotNull())
+    missing = steps.where("made_up > 0").groupBy("model_id", "case_id", "at", "place_id").agg(F.sum("made_up").alias("tokens"))
+    left = _per_place(piece.with_rows(steps)).where("left > 0")
+    return (
+        missing.select("model_id", "case_id", F.lit("missing").alias("kind"), "at", "place_id", "tokens")
+        .unionByName(left.select("model_id", "case_id", F.lit("left").alias("kind"), F.col("n").alias("at"), "place_id", F.col("left").alias("tokens")))
+    )
+
+
 def repeat_tokens(counted: Column) -> Column:
     """Counted places, in order, as one entry per token."""
     return F.flatten(F.transform(counted, lambda p: F.array_repeat(p["place_id"], p["left"].cast("int"))))

@@ -24,6 +24,7 @@ USER_LOG = "SELECT CAST(user_id AS VARCHAR) AS case_id, ts, event_type AS event
 DAY_LOG = ("SELECT CAST(user_id AS VARCHAR) || '@' || strftime(ts, '%Y-%m-%d') AS case_id, ts, event_type AS event "
            "FROM events")
 SHARD_LOG = "SELECT CAST(user_id % 20 AS VARCHAR) AS case_id, ts, event_type AS event FROM events"
+QUARTER_LOG = "SELECT CAST(user_id % 4 AS VARCHAR) AS case_id, ts, event_type AS event FROM events"
 HOUR_LOG = ("SELECT CAST(user_id AS VARCHAR) || '@' || strftime(ts, '%Y-%m-%d %H') AS case_id, ts, event_type AS event "
             "FROM events")
 CHAT_LOG = "SELECT CAST(conv_id AS VARCHAR) AS case_id, turn AS ts, role AS event FROM conversations"
@@ -151,6 +152,13 @@ FLAT = """SELECT {model}case_id, status, error_detail, array_to_string(mt, ',')
 FROM result"""
 
 
+LEDGER = """
+SELECT model_id, case_id, kind, "at", place_id, count(*) AS tokens FROM (
+  SELECT model_id, case_id, 'missing' AS kind, unnest(mi) AS "at", unnest(mt) AS place_id FROM result
+  UNION ALL
+  SELECT model_id, case_id, 'left', n, unnest(tok) FROM result) GROUP BY ALL"""
+
+
 def check(log: str, model: str, final: Sequence[str], trim: bool = True) -> str:
     return replay(log, {model: final}, trim) + "\n" + FLAT.format(model="")
 
@@ -318,10 +326,14 @@ WHERE event NOT IN ({", ".join(sorted({repr(t[1]) for t in NETS["shop_noerror"]}
         "surrounding_events": " UNION ALL ".join(
             f"SELECT * FROM ({with_context(log, 'shop', trim=False)}SELECT case_id, n AS session_length, surrounding_events FROM reported)"
             for log in (HOUR_LOG, USER_LOG)),
-        "sort_sessions_hot": f"WITH {ordered(SHARD_LOG)}\nSELECT case_id, CAST(pos AS BIGINT) AS pos, event FROM ordered",
-        "trim_sessions_hot": f"WITH {ordered(SHARD_LOG)},\n{TRIMMED}\nSELECT case_id, CAST(pos AS BIGINT) AS pos, event FROM trimmed",
-        "replay_scan_hot": check(SHARD_LOG, "shop", shop_final),
-        "check_logs_long": replay(SHARD_LOG, {"shop_amb": shop_final, "switch": shop_final}, trim=False) + "\n" + FLAT.format(model="model_id, "),
+        "sort_sessions_hot": f"WITH {ordered(QUARTER_LOG)}\nSELECT case_id, CAST(pos AS BIGINT) AS pos, event FROM ordered",
+        "trim_sessions_hot": f"WITH {ordered(QUARTER_LOG)},\n{TRIMMED}\nSELECT case_id, CAST(pos AS BIGINT) AS pos, event FROM trimmed",
+        "replay_scan_hot": check(QUARTER_LOG, "shop", shop_final),
+        "check_logs_long": replay(QUARTER_LOG, {"shop_amb": shop_final, "switch": shop_final}, trim=False) + "\n" + FLAT.format(model="model_id, "),
+        "check_logs_segments": replay(SHARD_LOG, {"shop_amb": shop_final, "switch": shop_final}, trim=False) + "\n" + FLAT.format(model="model_id, "),
+        "check_logs_prefixes": check(DAY_LOG, "shop_amb", shop_final),
+        "missing_steps": replay(DAY_LOG, {"shop": shop_final, "shop_amb": shop_final}) + LEDGER,
+        "missing_steps_hot": replay(SHARD_LOG, {"shop": shop_final, "shop_amb": shop_final, "switch": shop_final}, trim=False) + LEDGER,
         "generate_report": with_context(DAY_LOG, "shop") + """SELECT case_id, status, error_detail, array_to_string(mt, ',') AS missing_tokens,
   array_to_string(mi, ',') AS missing_indices, array_to_string(tok, ',') AS unconsumed_tokens, n AS session_length,
   surrounding_events FROM reported""",

@@ -14,6 +14,7 @@ from tracefold.local import nets_from_rows
 from tracefold.operators import models as M
 from tracefold.operators import sessions as S
 from tracefold.plans import check as C
+from tracefold.plans import ledger as L
 from tracefold.plans import report as R
 from tracefold.sources.delimited import join_line, read_delimited, split_line
 from tracefold.sources.pnml import read_models
@@ -45,6 +46,11 @@ def shard_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.extract_event_log(table(spark, sf_dir, "events"), F.col("user_id") % 20, "ts", "event_type")
 
 
+def quarter_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all events as one case: sessions longer than a segment."""
+    return S.extract_event_log(table(spark, sf_dir, "events"), F.col("user_id") % 4, "ts", "event_type")
+
+
 def hour_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events of a user within an hour as a case: many of one or two events."""
     hour = F.concat_ws("@", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH"))
@@ -326,22 +332,45 @@ def conformance_multi_model(spark, sf_dir):
 
 
 def sort_sessions_hot(spark, sf_dir):
-    return S.order_events(shard_log(spark, sf_dir), hot_rows=200).rows("pos", "event")
+    return S.order_events(quarter_log(spark, sf_dir), hot_rows=1000).rows("pos", "event")
 
 
 def trim_sessions_hot(spark, sf_dir):
-    return S.trim_sessions(S.order_events(shard_log(spark, sf_dir), hot_rows=200), FIRST_EVENTS, LAST_EVENTS).rows("pos", "event")
+    return S.trim_sessions(S.order_events(quarter_log(spark, sf_dir), hot_rows=1000), FIRST_EVENTS, LAST_EVENTS).rows("pos", "event")
 
 
 def replay_scan_hot(spark, sf_dir):
-    sessions = S.order_events(shard_log(spark, sf_dir), hot_rows=200)
+    sessions = S.order_events(quarter_log(spark, sf_dir), hot_rows=1000)
     return flat(C.check_logs(sessions, demo_nets(spark), [shop()], method="scan")).drop("model_id")
 
 
+LONG_RUNS = [C.Run("shop_amb"), C.Run("switch", expected_final=("p2",))]
+
+
 def check_logs_long(spark, sf_dir):
-    """Sessions of several segments, on a model with a choice and on one that changes with every event."""
-    runs = [C.Run("shop_amb"), C.Run("switch", expected_final=("p2",))]
-    return flat(C.check_logs(S.order_events(shard_log(spark, sf_dir)), demo_nets(spark), runs, segment=101))
+    """Sessions longer than a segment, on a model with a choice and on one that changes with every event."""
+    return flat(C.check_logs(S.order_events(quarter_log(spark, sf_dir)), demo_nets(spark), LONG_RUNS))
+
+
+def check_logs_segments(spark, sf_dir):
+    """The same of many short segments."""
+    return flat(C.check_logs(S.order_events(shard_log(spark, sf_dir)), demo_nets(spark), LONG_RUNS, segment=101))
+
+
+def check_logs_prefixes(spark, sf_dir):
+    return _check(spark, day_log(spark, sf_dir), shop("shop_amb"), share_prefixes=True)
+
+
+def missing_steps(spark, sf_dir):
+    """The ledger of missing and left tokens, of a model without and of one with choices."""
+    runs = [shop("shop"), shop("shop_amb")]
+    return L.token_ledger(S.order_events(day_log(spark, sf_dir)), demo_nets(spark), runs)
+
+
+def missing_steps_hot(spark, sf_dir):
+    """The ledger of sessions that are split over tasks and folded in several segments."""
+    sessions = S.order_events(shard_log(spark, sf_dir), hot_rows=200)
+    return L.token_ledger(sessions, demo_nets(spark), [C.Run("shop"), *LONG_RUNS], segment=101)
 
 
 def unknown_events(spark, sf_dir):
@@ -400,6 +429,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         final_marking, check_logs, replay_ambiguous, check_logs_ambiguous, replay_path_explosion,
         conformance_multi_model, unknown_events, conformance_report, report_lines, save_report,
         surrounding_events, generate_report, run_counters, sort_sessions_hot, trim_sessions_hot, replay_scan_hot, check_logs_long,
-        model_scan,
+        model_scan, check_logs_segments, check_logs_prefixes, missing_steps, missing_steps_hot,
     ]
     return {query.__name__: query for query in listed}
