@@ -40,17 +40,45 @@ def test_context_definition():
     assert around(log, [0, 1, 3, 4]) == ["(>> a > b > c)", "(a >> b > c)", "(b > c >> d)", "(b > c > d >>)"]
 
 
+CONTEXT_NETS = {
+    "m": [("t1", "a", ["p1"], ["p2"]), ("t2", "b", ["p3"], []), ("t3", "c", ["p2", "p3"], ["p1"])],
+    "choice": [("t1", "a", ["p1"], ["p2"]), ("t2", "b", ["p3"], []), ("t3", "c", ["p2", "p3"], ["p1"]), ("t4", "a", ["p3"], ["p1"])],
+}
+CONTEXT_LOGS = {"one": ["a"], "two": ["b", "a"], "three": ["b", "b", "c"], "four": list("bacb"), "fine": list("a"),
+                "long": list("bacbbacabc"), "bad": list("abx"), "badtwo": list("xa")}
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1, 3])
+@pytest.mark.parametrize("model, options", [
+    ("m", {}), ("m", {"method": "fold"}), ("choice", {}), ("choice", {"segment": 1}), ("m", {"segment": 3, "method": "fold"}), ("choice", {"share_variants": True})])
+def test_surrounding_events(spark, hot_rows, model, options):
+    nets, run = nets_from_rows(spark, CONTEXT_NETS), [Run(model, expected_final=("p1", "p9"))]
+    rows = generate_report(order_events(log_table(spark, CONTEXT_LOGS), hot_rows=hot_rows), nets, run, **options).collect()
+    assert len(rows) == len(CONTEXT_LOGS)
+    for row in rows:
+        log = CONTEXT_LOGS[row.case_id]
+        assert list(row.surrounding_events) == around(log, replay(CONTEXT_NETS[model], log, ["p1", "p9"])[3]), row.case_id
+
+
 @pytest.mark.parametrize("hot_rows", [None, 3])
-def test_surrounding_events(spark, hot_rows):
-    net = [("t1", "a", ["p1"], ["p2"]), ("t2", "b", ["p3"], []), ("t3", "c", ["p2", "p3"], ["p1"])]
-    logs = {"one": ["a"], "two": ["b", "a"], "three": ["b", "b", "c"], "four": list("bacb"), "fine": list("a"),
-            "long": list("bacbbacabc"), "bad": list("abx"), "badtwo": list("xa")}
-    nets, run = nets_from_rows(spark, {"m": net}), [Run("m", expected_final=("p1", "p9"))]
-    rows = generate_report(order_events(log_table(spark, logs), hot_rows=hot_rows), nets, run).collect()
-    assert len(rows) == len(logs)
+def test_surrounding_events_of_trimmed_sessions(spark, hot_rows):
+    nets, runs = nets_from_rows(spark, CONTEXT_NETS), [Run("m", "", ("c",), ("b",), ("p9",)), Run("choice", "", ("c",), ("b",), ("p9",))]
+    logs = {"x": list("bacbbacabca"), "y": list("aacbbb"), "z": list("acba"), "none": list("aaa")}
+    rows = generate_report(order_events(log_table(spark, logs), hot_rows=hot_rows), nets, runs).collect()
+    trimmed = {"x": list("cbbacab"), "y": list("cbbb"), "z": list("cb")}
+    assert {(r.model_id, r.case_id) for r in rows} == {(m, c) for m in CONTEXT_NETS for c in trimmed}
     for row in rows:
-        log = logs[row.case_id]
-        assert list(row.surrounding_events) == around(log, replay(net, log, ["p1", "p9"])[3]), row.case_id
+        log = trimmed[row.case_id]
+        assert list(row.surrounding_events) == around(log, replay(CONTEXT_NETS[row.model_id], log, ["p9"])[3]), row
+
+
+def test_report_reads_the_log_once(spark):
+    path = shared_path(spark, "test-log")
+    log_table(spark, CONTEXT_LOGS).write.parquet(path)
+    nets, runs = nets_from_rows(spark, CONTEXT_NETS), [Run("m")]
+    report = generate_report(order_events(spark.read.parquet(path)), nets, runs)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Scan ExistingRDD" not in plan
 
 
 def test_report_rows(spark):

@@ -1,4 +1,8 @@
-"""The events around each missing token."""
+"""The events around each event of a session, and the texts that show them.
+
+Neighbours come from the window that orders the session. A chunk of a split session gets the two events before
+and after it from the chunks next to it, so that no event is sent to another task but four for each chunk.
+"""
 
 from __future__ import annotations
 
@@ -7,51 +11,47 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracefold.functions.text import context_text
-from tracefold.operators.sessions import Piece, Sessions, union_all
+from tracefold.operators.sessions import Piece, neighbours
 
-REACH = (-2, -1, 1, 2)
+TEXTS = ("around", "around_end", "short")
 
 
-def with_neighbours(piece: Piece) -> DataFrame:
-    """Rows with the two events before and after: b2, b1, event, a1, a2."""
-    names = {-2: "b2", -1: "b1", 1: "a1", 2: "a2"}
+def with_neighbours(piece: Piece) -> Piece:
+    """Rows with the two events before and after: b2, b1, a1, a2."""
     if not piece.split:
-        in_order = Window.partitionBy(*piece.keys).orderBy("pos")
-        near = {names[d]: F.lag("event", -d).over(in_order) if d < 0 else F.lead("event", d).over(in_order) for d in REACH}
-        return piece.rows.withColumns(near)
-    # a chunk ends in the middle of a session, so each event reports itself to its neighbours
-    sent = piece.rows.withColumn("d", F.explode(F.array(F.lit(0), *[F.lit(d) for d in REACH])))
-    at = lambda d: F.max(F.when(F.col("d") == -d, F.col("event")))
-    keys = list(dict.fromkeys([*piece.keys, "model_id"]))
-    return (
-        sent.withColumn("pos", F.col("pos") + F.col("d"))
-        .groupBy(*keys, "pos")
-        .agg(at(0).alias("event"), F.max("n").alias("n"), *[at(d).alias(names[d]) for d in REACH])
-        .where(F.col("event").isNotNull())
-    )
-
-
-def surrounding_events(results: DataFrame, sessions: Sessions) -> DataFrame:
-    """Add ``surrounding_events`` to check results: one text per missing token, in order.
-
-    Sessions of one or two events get a single text in any case. Missing tokens are
-    joined to the events at their position, so a long session is spread by position.
+        return piece  # the window that ordered the session has added them
+    by_chunk = Window.partitionBy(*piece.task_keys).orderBy("pos")
+    near = piece.rows.withColumns(neighbours(by_chunk))
+    rows = near.join(_halo(near, piece), list(piece.task_keys))
+    first, last = F.col("b1").isNull(), F.col("a1").isNull()
+    filled = {
+        "b2": F.coalesce("b2", F.when(first, F.get("before", F.size("before") - 2)).otherwise(F.get("before", F.size("before") - 1))),
+        "b1": F.coalesce("b1", F.get("before", F.size("before") - 1)),
+        "a1": F.coalesce("a1", F.get("after", F.lit(0))),
+        "a2": F.coalesce("a2", F.when(last, F.get("after", F.lit(1))).otherwise(F.get("after", F.lit(0)))),
+    }
+    return piece.with_rows(rows.withColumns(filled).drop("before", "after"))
+
+
+def _halo(near: DataFrame, piece: Piece) -> DataFrame:
+    """For each chunk the events of the two chunks before and after it that stand at their edges, in order.
+
+    A chunk holds an event at least, so the two chunks next to it hold the two next to it.
     """
-    session = ["model_id", "case_id"]
-    length = F.col("session_length")
-    wanted = F.when(length <= 2, F.array(F.lit(0).cast("bigint"))).otherwise(F.col("missing_indices"))
-    requests = (
-        results.select(*session, length, F.posexplode(wanted).alias("nth", "at"))
-        .withColumn("pos", F.least("at", length - 1))
-    )
-    events = union_all(
-        with_neighbours(p).select(*session, "pos", "event", "b1", "b2", "a1", "a2") for p in sessions.pieces)
-    texts = (
-        requests.join(events, [*session, "pos"])
-        .select(*session, "nth", context_text("at", "session_length").alias("text"))
-        .groupBy(*session).agg(F.sort_array(F.collect_list(F.struct("nth", "text")))["text"].alias("surrounding_events"))
-    )
-    return (
-        results.join(texts, session, "left")
-        .withColumn("surrounding_events", F.coalesce("surrounding_events", F.array().cast("array<string>")))
-    )
+    edge = F.when(F.col("b2").isNull() | F.col("a2").isNull(), F.struct("pos", "event"))
+    edges = near.groupBy(*piece.task_keys).agg(F.sort_array(F.collect_list(edge))["event"].alias("edges"))
+    by_session = Window.partitionBy(*piece.keys).orderBy("chunk")
+    of = lambda start, end: F.flatten(F.collect_list("edges").over(by_session.rowsBetween(start, end)))
+    return edges.select(*piece.task_keys, of(-2, -1).alias("before"), of(1, 2).alias("after"))
+
+
+def with_texts(piece: Piece) -> Piece:
+    """Rows with ``around``, the text of a token missing at the event; ``around_end``, on the last one, that of a token
+    missing at the end; and ``short``, on the first one of a session of one or two events, the text of that session."""
+    here = context_text("pos", "n")
+    near = with_neighbours(piece)
+    return near.with_rows(near.rows.withColumns({
+        "around": here,
+        "around_end": F.when(F.col("pos") == F.col("n") - 1, context_text("n", "n")),
+        "short": F.when((F.col("n") <= 2) & (F.col("pos") == 0), here),
+    }))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracefold.cluster import cut_lineage, task_slots
+from tracefold.operators.context import TEXTS, with_texts
 from tracefold.operators.automaton import Automaton, compile_automata, start_states
 from tracefold.operators.models import Nets, transition_arcs
 from tracefold.operators.prefix_tree import fold_tree
@@ -192,44 +193,51 @@ def fold_part(rows: DataFrame) -> DataFrame:
 # --- whole sessions ---------------------------------------------------------------
 
 
-def label_segments(sessions: Sessions, labels: DataFrame, size: int, join) -> DataFrame:
-    """Sessions as arrays of event labels, ``size`` events per row, up to the first unknown event."""
+def label_segments(sessions: Sessions, labels: DataFrame, size: int, join, context: bool = False) -> DataFrame:
+    """Sessions as arrays of event labels, ``size`` events per row, up to the first unknown event.
+
+    ``context`` adds ``around``, the text of each of these events, and the session's other texts where they stand.
+    """
     def one(piece: Piece) -> DataFrame:
         rows = join(piece.rows, labels, ["model_id", "event"], "left")
         unknown = F.min(F.when(F.col("label").isNull(), F.struct("pos", "event")))
         rows = with_session_values(piece.with_rows(rows), unknown=unknown).rows
         known = F.col("unknown").isNull() | (F.col("pos") < F.col("unknown.pos"))
+        listed = lambda name: F.sort_array(F.collect_list(F.when(known, F.struct("pos", name))))[name].alias(name + "s" if name == "label" else name)
+        texts = [listed("around"), F.max("around_end").alias("around_end"), F.max("short").alias("short")] if context else []
         session = ["model_id", *[k for k in piece.keys if k != "model_id"]]
         return (
             rows.where(known | (F.col("pos") == 0))
             .groupBy(*session, F.expr(f"pos div {size}").alias("segment"))
-            .agg(F.sort_array(F.collect_list(F.when(known, F.struct("pos", "label"))))["label"].alias("labels"),
-                 F.first("n").alias("n"), F.first("unknown").alias("unknown"))
+            .agg(listed("label"), F.first("n").alias("n"), F.first("unknown").alias("unknown"), *texts)
         )
-    return union_all(one(piece) for piece in sessions.pieces)
+    return union_all(one(with_texts(piece) if context else piece) for piece in sessions.pieces)
 
 
 def replay_fold(sessions: Sessions, nets: Nets, expected: DataFrame, join,
-                size: int = SEGMENT_EVENTS, share_variants: bool = False, share_prefixes: bool = False) -> DataFrame:
+                size: int = SEGMENT_EVENTS, share_variants: bool = False, share_prefixes: bool = False, context: bool = False) -> DataFrame:
     """Replay sessions that carry ``model_id`` and length ``n``; one result row per session.
 
     ``share_variants`` replays equal event lists once. It costs two more shuffles and pays
     off when sessions are short and repeat. ``share_prefixes`` also replays equal beginnings
-    once, in a few rounds; it pays off where a step of the model costs much.
+    once, in a few rounds; it pays off where a step of the model costs much. ``context`` adds the events
+    around missing tokens to the results.
     """
     labels, models = event_options(nets, expected)
     # one row per run, of which every task needs all
     models = F.broadcast(models)
-    segments = label_segments(sessions, labels, size, join)
+    segments = label_segments(sessions, labels, size, join, context)
     short = segments.where(F.col("n") <= size)
     if share_prefixes:
         models = F.broadcast(cut_lineage(models))
     shares = share_variants or share_prefixes
     folded = _fold_variants(short, models, share_prefixes) if shares else _fold_first(short.join(models, "model_id"))
+    if context:
+        folded = folded.withColumn("around", F.transform("miss", lambda code: F.get("around", F.floor(code / F.size("names")).cast("int"))))
     if sessions.longest <= size:
         return _finish(folded)
-    columns = [*SESSION, "n", "unknown", "names", "final", "tok", "miss", "exploded"]
-    longer = _with_all_missing(*_fold_long(segments.where(F.col("n") > size), models, size, sessions.longest))
+    columns = [*SESSION, "n", "unknown", "names", "final", "tok", "miss", "exploded", *(TEXTS if context else ())]
+    longer = _with_all_missing(*_fold_long(segments.where(F.col("n") > size), models, size, sessions.longest), size, context)
     return _finish(folded.select(columns).unionByName(longer.select(columns)))
 
 
@@ -253,8 +261,8 @@ def _fold_variants(rows: DataFrame, models: DataFrame, prefixes: bool) -> DataFr
     return rows.join(results, ["model_id", "labels"]).join(models.select("model_id", "names", "final"), "model_id")
 
 
-def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int) -> tuple[DataFrame, DataFrame]:
-    """Fold sessions of several segments, all segments at once: how each session ends, and what each segment missed.
+def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fold sessions of several segments, all segments at once: how each session ends, what each segment missed, and the segments.
 
     Where an automaton of the net tells what each segment starts from, they run once from there;
     otherwise they run until they fit together.
@@ -277,13 +285,20 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int)
         .join(segments.where("segment = 0").select(*SESSION, "n", "unknown"), SESSION)
         .join(models.select("model_id", "names", "final"), "model_id")
     )
-    return ends, _pick_winners(runs, size)
+    return ends, _pick_winners(runs, size), segments
 
 
-def _with_all_missing(ends: DataFrame, missing: DataFrame) -> DataFrame:
+def _with_all_missing(ends: DataFrame, missing: DataFrame, segments: DataFrame, size: int, context: bool) -> DataFrame:
     """Sessions with the list of their missing tokens, of all segments in one row."""
-    gathered = missing.groupBy(*SESSION).agg(F.flatten(F.sort_array(F.collect_list(F.struct("segment", "miss")))["miss"]).alias("miss"))
-    return ends.join(gathered, SESSION)
+    lists, others = ["miss"], []
+    if context:
+        nth = lambda code: F.floor(code / F.col("width")).cast("bigint") - F.col("segment") * size
+        missing = missing.join(segments.select(*SESSION, "segment", *TEXTS), [*SESSION, "segment"])
+        missing = missing.withColumn("around", F.transform("miss", lambda code: F.get("around", nth(code).cast("int"))))
+        lists, others = ["miss", "around"], TEXTS[1:]
+    gathered = missing.groupBy(*SESSION).agg(
+        F.sort_array(F.collect_list(F.struct("segment", *lists))).alias("all"), *[F.max(c).alias(c) for c in others])
+    return ends.join(gathered, SESSION).withColumns({c: F.flatten(F.col("all")[c]) for c in lists})
 
 
 def ledger_fold(sessions: Sessions, nets: Nets, expected: DataFrame, join, size: int = SEGMENT_EVENTS) -> DataFrame:
@@ -298,7 +313,7 @@ def ledger_fold(sessions: Sessions, nets: Nets, expected: DataFrame, join, size:
     columns = [*SESSION, "n", "unknown", "names", "final", "tok", "exploded"]
     ends, missing = folded.select(columns), folded.select(*SESSION, "names", "miss", "exploded", "unknown")
     if sessions.longest > size:
-        long_ends, long_missing = _fold_long(segments.where(F.col("n") > size), models, size, sessions.longest)
+        long_ends, long_missing, _ = _fold_long(segments.where(F.col("n") > size), models, size, sessions.longest)
         ends = ends.unionByName(long_ends.select(columns))
         whole = long_ends.select(*SESSION, "names", "exploded", "unknown")
         missing = missing.unionByName(long_missing.join(whole, SESSION).select(*missing.columns))
@@ -450,7 +465,7 @@ def _pick_winners(runs: DataFrame, size: int) -> DataFrame:
     # codes count events from the start of the segment
     base = F.col("segment") * size * F.size(F.col("toks_out")[0])
     codes = F.transform(missing_codes(F.get("misses", F.col("pick"))), lambda code: code + base)
-    return runs.join(rows, key).select(*key, codes.alias("miss"))
+    return runs.join(rows, key).select(*key, F.size(F.col("toks_out")[0]).alias("width"), codes.alias("miss"))
 
 
 def _finish(folded: DataFrame) -> DataFrame:
@@ -467,6 +482,11 @@ def _finish(folded: DataFrame) -> DataFrame:
     width = F.size("names")
     in_place = F.zip_with("names", F.col("end.tok"), lambda p, n: F.array_repeat(p, n))
     if_ok = lambda value, kind: F.when(F.col("status") == STATUS_OK, value).otherwise(F.array().cast(kind))
+    context = []
+    if "around" in folded.columns:
+        at_end = F.array_repeat("around_end", F.size("end.miss") - F.size("miss"))
+        texts = F.when(F.col("n") <= 2, F.array("short")).otherwise(if_ok(F.concat("around", at_end), "array<string>"))
+        context = [texts.alias("surrounding_events")]
     return folded.withColumns({"end": end, "status": status}).select(
         "model_id", "case_id", "status",
         F.when(F.col("status") == STATUS_UNKNOWN_EVENT, F.col("unknown.event"))
@@ -475,4 +495,5 @@ def _finish(folded: DataFrame) -> DataFrame:
         if_ok(F.transform(F.col("end.miss"), lambda m: F.floor(m / width)), "array<bigint>").alias("missing_indices"),
         if_ok(F.flatten(in_place), "array<string>").alias("unconsumed_tokens"),
         F.col("n").alias("session_length"),
+        *context,
     )

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tracefold.operators.context import TEXTS, with_texts
 from tracefold.operators.models import Nets, directed_arcs
 from tracefold.operators.sessions import Piece, Sessions, union_all, with_session_values
 from tracefold.schemas import STATUS_OK, STATUS_UNKNOWN_EVENT
@@ -70,13 +71,14 @@ def _closing_effects(nets: Nets, expected: DataFrame) -> DataFrame:
     )
 
 
-def replay_scan(sessions: Sessions, nets: Nets, expected: DataFrame, join, counts: bool = False) -> DataFrame:
+def replay_scan(sessions: Sessions, nets: Nets, expected: DataFrame, join, counts: bool = False, context: bool = False) -> DataFrame:
     """Replay sessions that carry ``model_id`` and length ``n``; one result row per session.
 
     ``join`` joins log rows with a table per event name. ``counts`` only counts tokens, which needs
-    no lists however long a session is.
+    no lists however long a session is. ``context`` adds the events around missing tokens to the results.
     """
     effects = event_effects(nets, expected)
+    sessions = sessions.map(with_texts) if context else sessions
     finish = _count_results if counts else _collect_results
     return union_all(finish(_replay_piece(piece, effects, join)) for piece in sessions.pieces)
 
@@ -91,16 +93,18 @@ def _replay_piece(piece: Piece, effects: DataFrame, join) -> Piece:
 def _token_steps(piece: Piece) -> Piece:
     """One row per event and touched place; a session with an unknown event keeps a single row."""
     last = F.col("pos") == F.col("n") - 1
-    at = lambda name, pos: F.transform(name, lambda e: F.struct(pos.alias("at"), e.alias("effect")))
+    texts = [c for c in TEXTS if c in piece.rows.columns]
+    around = lambda text: [F.col(text).alias("around")] if texts else []
+    at = lambda name, pos, text: F.transform(name, lambda e: F.struct(pos.alias("at"), *around(text), e.alias("effect")))
     all_effects = F.concat(
-        at("effects", F.col("pos")),
-        F.when(last, at("closing", F.col("n"))).otherwise(F.array()),
+        at("effects", F.col("pos"), "around"),
+        F.when(last, at("closing", F.col("n"), "around_end")).otherwise(F.array()),
     )
     rows = (
         piece.rows.where(F.col("unknown").isNull() | (F.col("pos") == 0))
-        .select(*dict.fromkeys(["model_id", *piece.task_keys]), "n", "unknown",
+        .select(*dict.fromkeys(["model_id", *piece.task_keys]), "n", "unknown", *texts[2:],
                 F.explode_outer(F.when(F.col("unknown").isNull(), all_effects)).alias("step"))
-        .select("*", "step.at", "step.effect.*").drop("step")
+        .select("*", "step.at", *["step.around" for _ in texts[:1]], "step.effect.*").drop("step")
     )
     return piece.with_rows(rows)
 
@@ -141,7 +145,9 @@ CARRIED = ("model_id", "n", "unknown")
 
 
 def _carried(piece: Piece) -> list[Column]:
-    return [F.first(c).alias(c) for c in CARRIED if c not in piece.keys]
+    # the text of a short session stands on its first event
+    short = [F.max("short").alias("short")] if "short" in piece.rows.columns else []
+    return [F.first(c).alias(c) for c in CARRIED if c not in piece.keys] + short
 
 
 def _outcome_columns() -> list[Column]:
@@ -169,7 +175,8 @@ def _count_results(piece: Piece) -> DataFrame:
 
 
 def _collect_results(piece: Piece) -> DataFrame:
-    missing = F.when(F.col("made_up") > 0, F.struct("at", "ord", "place_id"))
+    context = "around" in piece.rows.columns
+    missing = F.when(F.col("made_up") > 0, F.struct("at", "ord", "place_id", *(["around"] if context else [])))
     left = F.when(F.col("left") > 0, F.struct("place_id", "left"))
     per_session = _per_place(piece, missing=F.collect_list(missing)).groupBy(*piece.keys).agg(
         *_carried(piece),
@@ -181,6 +188,7 @@ def _collect_results(piece: Piece) -> DataFrame:
         F.col("missing.at").alias("missing_indices"),
         repeat_tokens(F.col("left")).alias("unconsumed_tokens"),
         F.col("n").alias("session_length"),
+        *([F.when(F.col("n") <= 2, F.array("short")).otherwise(F.col("missing.around")).alias("surrounding_events")] if context else []),
     )
 
 

@@ -124,10 +124,18 @@ def order_events(log: DataFrame, hot_rows: int | None = None, sizes: CaseSizes |
     return Sessions((whole, split), sizes.largest)
 
 
+def neighbours(in_order) -> dict[str, Column]:
+    """The two events before and after a row of a window: b2, b1, a1, a2."""
+    near = {f"b{d}": F.lag("event", d) for d in (2, 1)} | {f"a{d}": F.lead("event", d) for d in (1, 2)}
+    return {name: value.over(in_order) for name, value in near.items()}
+
+
 def _order_within_task(log: DataFrame) -> Piece:
+    """One window gives the position and the neighbours, which cost nothing where they are not used."""
     by_case = Window.partitionBy("case_id").orderBy("ts", "event")
-    rows = log.withColumn("pos", F.row_number().over(by_case).cast("bigint") - 1)
-    return Piece(rows.select("case_id", "pos", "ts", "event"))
+    near = neighbours(by_case)
+    rows = log.withColumns({"pos": F.row_number().over(by_case).cast("bigint") - 1, **near})
+    return Piece(rows.select("case_id", "pos", "ts", "event", *near))
 
 
 def _order_across_tasks(log: DataFrame, sizes: CaseSizes) -> Piece:

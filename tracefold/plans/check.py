@@ -8,9 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracefold.cluster import cut_lineage
 from tracefold.local import local_table
-from tracefold.operators.context import surrounding_events
 from tracefold.operators.models import ModelFacts, Nets, check_nets, event_join
 from tracefold.operators.replay_fold import replay_fold
 from tracefold.operators.replay_scan import replay_scan
@@ -123,7 +121,8 @@ def _counted(results: DataFrame) -> DataFrame:
 
 
 def replay_assigned(assigned: Sessions, nets: Nets, runs: Sequence[Run], facts: dict[str, ModelFacts], method: str = "auto",
-                    segment: int = SEGMENT_EVENTS, share_variants: bool = False, share_prefixes: bool = False, counts: bool = False) -> DataFrame:
+                    segment: int = SEGMENT_EVENTS, share_variants: bool = False, share_prefixes: bool = False, counts: bool = False,
+                    context: bool = False) -> DataFrame:
     plain = [m for m, f in facts.items() if f.most_per_name == 1 and method != "fold"]
     if method == "scan" and len(plain) < len(facts):
         raise ValueError("event names with several transitions need the fold")
@@ -131,13 +130,13 @@ def replay_assigned(assigned: Sessions, nets: Nets, runs: Sequence[Run], facts:
     results = []
     if plain:
         chosen, picked = _pick(assigned, plain, facts), [r for r in runs if r.key in plain]
-        results.append(replay_scan(chosen, _only(nets, plain), _expected(nets, picked), event_join(facts, plain), counts))
+        results.append(replay_scan(chosen, _only(nets, plain), _expected(nets, picked), event_join(facts, plain), counts, context))
     if rest:
         chosen, picked = _pick(assigned, rest, facts), [r for r in runs if r.key in rest]
         folded = replay_fold(chosen, _only(nets, rest), _expected(nets, picked), event_join(facts, rest),
-                             segment, share_variants, share_prefixes)
+                             segment, share_variants, share_prefixes, context)
         results.append(_counted(folded) if counts else folded)
-    return union_all(results).select(COUNT_COLUMNS if counts else RESULT_COLUMNS)
+    return union_all(results).select(COUNT_COLUMNS if counts else [*RESULT_COLUMNS, *(["surrounding_events"] if context else [])])
 
 
 def _pick(assigned: Sessions, models: list[str], facts: dict[str, ModelFacts]) -> Sessions:
@@ -153,13 +152,12 @@ def unknown_events(log: DataFrame, nets: Nets, model_id: str) -> DataFrame:
 
 
 def generate_report(sessions: Sessions, nets: Nets, runs: Sequence[Run], **options) -> DataFrame:
-    """Check results with the events around each missing token.
+    """Check results with ``surrounding_events``: the events around each missing token as a text, in order.
 
-    The results, a row per session, are written to the shared folder: they are needed both
-    to find the events and to be completed with them, and replaying twice costs more.
+    Sessions of one or two events get a single text in any case. Texts are made where the events are
+    ordered and go through the replay, so the log is read once.
     """
     nets = nets_of_runs(nets, runs)
     facts = check_nets(nets, [run.key for run in runs])
     assigned = assign_runs(sessions, runs)
-    results = cut_lineage(replay_assigned(assigned, nets, runs, facts, **options))
-    return surrounding_events(results, assigned)
+    return replay_assigned(assigned, nets, runs, facts, context=True, **options)
