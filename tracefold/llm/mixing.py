@@ -3,7 +3,8 @@
 A token budget is handed down a tree of groups (say domain, language, source). Children share their
 parent's tokens by weight. A child cannot get more than its documents hold in ``max_epochs`` epochs;
 what it leaves goes to its siblings by their weights, and to the parent's siblings only when the whole
-family is full, as a family's capacity is the sum of its members'.
+family is full, as a family's capacity is the sum of its members'. Members of weight 0 count for nothing there, at any level,
+so what they hold is left to the others.
 
 A leaf's tokens are whole epochs and a prefix of one more. Every epoch has its own seeded order of the
 leaf's documents. Where the prefix ends is found by two histograms over the leading digits of the
@@ -45,12 +46,12 @@ def weight_of(level: str, weights: Mapping[str, int]) -> Column:
 
 
 def share(children: DataFrame, parent: Sequence[str], own: str) -> DataFrame:
-    """``tokens`` for each child of (parent, own, weight, cap, given): capped shares of what the parent is given."""
+    """``tokens`` for each child of (parent, own, weight, cap, given), weights above 0: capped shares of what the parent is given."""
     family = Window.partitionBy(*parent, "given")
     by_need = family.orderBy(F.col("cap") / F.col("weight"), own)
     before = F.coalesce(F.sum("cap").over(by_need.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     weights = F.sum("weight").over(by_need.rowsBetween(0, Window.unboundedFollowing))
-    ranked = children.filter("weight > 0").withColumns({"before": before, "weights": weights})
+    ranked = children.withColumns({"before": before, "weights": weights})
     full = _big("cap") * _big("weights") + _big("before") * _big("weight") <= _big("given") * _big("weight")
     ranked = ranked.withColumn("full", full)
     ranked = ranked.withColumns({
@@ -62,8 +63,13 @@ def share(children: DataFrame, parent: Sequence[str], own: str) -> DataFrame:
 
 def budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapping[str, int]], *, budget_percent: int,
             max_epochs: int) -> DataFrame:
-    """Tokens for each leaf of (levels, held): ``budget_percent`` of all tokens, handed down the tree."""
+    """Tokens for each leaf of (levels, held): ``budget_percent`` of all tokens, handed down the tree.
+
+    A leaf below a group of weight 0 adds to the budget but not to what its ancestors can hold.
+    """
     total = leaves.agg(F.coalesce(F.floor(F.sum("held") * budget_percent / 100), F.lit(0)).cast("long").alias("given"))
+    for level in levels:
+        leaves = leaves.filter(weight_of(level, weights.get(level, {})) > 0)
     given: DataFrame | None = None
     for k, level in enumerate(levels):
         path = list(levels[:k + 1])

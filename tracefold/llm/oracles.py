@@ -19,9 +19,9 @@ def _share(name: str, nodes: str, parent: str, own: str) -> str:
 MIXING = f"""
 WITH d AS (SELECT doc_id, CASE TRY_CAST(regexp_extract(source, '[0-9]+$') AS INT) % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'books' WHEN 2 THEN 'code' ELSE 'other' END AS domain,
                   lang, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS held FROM documents),
-leaf AS (SELECT domain, lang, source, sum(held)::BIGINT AS held FROM d GROUP BY ALL HAVING sum(held) > 0),
+leaf AS (SELECT domain, lang, source, sum(held)::BIGINT AS held FROM d WHERE source IS DISTINCT FROM 'src19' GROUP BY ALL HAVING sum(held) > 0),
 {_share("l0", """SELECT domain, (sum(held) * 4)::BIGINT AS cap, CASE domain WHEN 'web' THEN 5 WHEN 'books' THEN 3 WHEN 'code' THEN 2 ELSE 1 END AS weight,
-        (SELECT sum(held) FROM leaf)::BIGINT AS given FROM leaf GROUP BY domain""", "", "domain")},
+        (SELECT sum(held) FROM d)::BIGINT AS given FROM leaf GROUP BY domain""", "", "domain")},
 {_share("l1", """SELECT domain, lang, (sum(held) * 4)::BIGINT AS cap, CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS weight,
         any_value(tokens) AS given FROM leaf JOIN l0 USING (domain) GROUP BY domain, lang""", "domain", "lang")},
 {_share("l2", """SELECT domain, lang, source, held * 4 AS cap, 1 AS weight, tokens AS given FROM leaf JOIN l1 USING (domain, lang)""", "domain, lang", "source")},

@@ -40,8 +40,9 @@ def mix_groups() -> dict[str, Column]:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = mix_groups()
-    found = mixing.mix(table(spark, sf_dir, "documents").withColumn("domain", groups["domain"]), groups, MIX_WEIGHTS)
+    """One source is switched off: what it would have taken goes to its siblings."""
+    groups, weights = mix_groups(), {**MIX_WEIGHTS, "source": {"src19": 0}}
+    found = mixing.mix(table(spark, sf_dir, "documents").withColumn("domain", groups["domain"]), groups, weights)
     return found.select("doc.doc_id", "doc.domain", "doc.lang", "doc.source", "epoch", "n_tokens", "take_tokens")
 
 
