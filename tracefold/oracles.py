@@ -296,6 +296,31 @@ lent AS (SELECT model_id, tid, side, place_id, s.arc_ord + base AS arc_ord
   FROM {sides()} s JOIN ends USING (model_id) JOIN tops USING (model_id) WHERE s.transition_id = other),
 merged AS (SELECT * FROM {sides()} UNION ALL SELECT model_id, tid, side, place_id, arc_ord FROM lent)
 SELECT model_id, transition_id, side, place_id, CAST(min(arc_ord) AS INTEGER) AS arc_ord FROM merged GROUP BY ALL""",
+        "model_edit_log": f"""WITH {ORDER_NETS},
+o AS (SELECT CAST(o_orderkey AS VARCHAR) AS model_id, o_orderstatus AS st, o_orderpriority[1] AS pr FROM orders),
+arcs0 AS (
+  SELECT * FROM arcs
+  UNION ALL SELECT model_id, base + arc_ord, replace(source, 't3', 't2'), replace(target, 't3', 't2') FROM arcs JOIN tops USING (model_id)
+  WHERE model_id IN (SELECT model_id FROM o WHERE st = 'O') AND ((source[1] = 'p' AND target = 't3') OR source = 't3')),
+tops0 AS (SELECT model_id, max(arc_ord) + 1 AS base FROM arcs0 GROUP BY model_id),
+arcs1 AS (
+  SELECT * FROM arcs0
+  UNION ALL SELECT model_id, coalesce(base, 0) + k, source, target FROM o LEFT JOIN tops0 USING (model_id),
+    (VALUES (0, 'p1', 't100'), (1, 'p2', 't100'), (2, 't100', 'p100')) v(k, source, target) WHERE pr = '1'),
+trans1 AS (
+  SELECT model_id, trans_ord, transition_id, name FROM transitions
+  UNION ALL SELECT model_id, coalesce(max(trans_ord) + 1, 0), 't100', 'A' FROM o LEFT JOIN transitions USING (model_id) WHERE pr = '1' GROUP BY model_id),
+drop1 AS (SELECT model_id FROM o WHERE st = 'F'),
+arcs2 AS (SELECT * FROM arcs1 WHERE NOT (model_id IN (FROM drop1) AND CASE WHEN source[1] = 't' THEN source ELSE target END = 't1')),
+trans2 AS (SELECT * FROM trans1 WHERE NOT (model_id IN (FROM drop1) AND transition_id = 't1')),
+ends AS (SELECT model_id, pr, CASE WHEN pr IN ('1', '2') THEN '_b' ELSE '' END AS suffix FROM o),
+arcs3 AS (SELECT model_id, arc_ord, source || coalesce(suffix, '') AS source, target || coalesce(suffix, '') AS target FROM arcs2 LEFT JOIN ends USING (model_id)),
+tops3 AS (SELECT model_id, max(arc_ord) + 1 AS base FROM arcs3 GROUP BY model_id)
+SELECT model_id, 'place' AS kind, place_ord AS ord, place_id || coalesce(suffix, '') AS id, name AS more FROM places LEFT JOIN ends USING (model_id)
+UNION ALL SELECT model_id, 'place', CAST(coalesce(max(place_ord) + 1, 0) AS INTEGER), 'p100', 'end' FROM o LEFT JOIN places USING (model_id) GROUP BY model_id
+UNION ALL SELECT model_id, 'transition', CAST(trans_ord AS INTEGER), transition_id || coalesce(suffix, ''), name FROM trans2 LEFT JOIN ends USING (model_id)
+UNION ALL SELECT model_id, 'arc', CAST(arc_ord AS INTEGER), source, target FROM arcs3
+UNION ALL SELECT model_id, 'arc', CAST(coalesce(base, 0) AS INTEGER), 'p100', 't1' FROM ends LEFT JOIN tops3 USING (model_id) WHERE pr = '2'""",
         "model_suffix_ids": f"""WITH {ORDER_NETS}
 SELECT model_id, transition_id || '_b' AS transition_id, side, place_id || '_b' AS place_id, arc_ord, init_tokens
 FROM {sides()} JOIN places USING (model_id, place_id)""",

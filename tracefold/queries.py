@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracefold.cluster import shared_path
 from tracefold.demo import FIRST_EVENTS, LAST_EVENTS, NETS
 from tracefold.local import nets_from_rows
+from tracefold.operators import edits as E
 from tracefold.operators import models as M
 from tracefold.operators import sessions as S
 from tracefold.plans import check as C
@@ -97,6 +98,36 @@ def order_nets(spark: SparkSession, sf_dir: str) -> M.Nets:
     return M.Nets(places, transitions.select("model_id", "trans_ord", "transition_id", "name"), inputs.unionByName(outputs))
 
 
+def order_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nets of ``order_nets`` as a row for each model, from one scan and one shuffle of the lines."""
+    supp, part, line = F.col("l_suppkey") % 10, F.col("l_partkey") % 10, F.col("l_linenumber").cast("int")
+    transition, kind = F.concat(F.lit("t"), "l_linenumber"), F.when(F.col("l_tax") == 0, "s").otherwise("p")
+
+    def element(table: str, ord: Column, id: Column, target=None, name=None, tokens=0) -> Column:
+        target, name, tokens = (c if isinstance(c, Column) else F.lit(c) for c in (target, name, tokens))
+        return F.struct(F.lit(table).alias("kind"), ord.cast("int").alias("ord"), id.alias("id"), target.cast("string").alias("target"),
+                        name.cast("string").alias("name"), tokens.cast("int").alias("tokens"))
+    place = lambda k, tokens: element("place", k, F.concat(F.lit("p"), k), None, F.concat(F.lit("place "), k), tokens)
+    elements = F.array(
+        element("transition", line, transition, None, F.char(F.ascii("l_returnflag"))),
+        place(supp, F.when(F.col("l_returnflag") == "R", 1).otherwise(0)), place(part, 0),
+        F.when(F.col("l_linestatus") == "O", element("arc", line * 2, F.concat(kind, supp), transition)),
+        F.when(F.col("l_discount") > 0.02, element("arc", line * 2 + 1, transition, F.concat(F.lit("p"), part))))
+    rows = (
+        table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("model_id"), F.inline(F.filter(elements, lambda e: e.isNotNull())))
+        .repartition("model_id")
+        .groupBy("model_id", "kind", "ord", "id", "target")
+        .agg(F.min("name").alias("name"), F.max("tokens").alias("tokens"), F.count(F.lit(1)).cast("int").alias("copies"))
+    )
+    file = F.concat(F.lit("order-"), "model_id", F.lit(".pnml"))
+    listed = {
+        "places": F.collect_list(F.when(F.col("kind") == "place", F.struct("ord", "id", "name", "tokens", file))),
+        "transitions": F.collect_list(F.when(F.col("kind") == "transition", F.struct("ord", "id", "name"))),
+        "arcs": F.flatten(F.collect_list(F.when(F.col("kind") == "arc", F.array_repeat(F.struct("ord", "id", "target"), F.col("copies"))))),
+    }
+    return rows.groupBy("model_id").agg(*[F.sort_array(v).cast(E.LIST[c]).alias(c) for c, v in listed.items()])
+
+
 def shop(model: str = "shop", area: str = "shop", expected: tuple[str, ...] = ("p2",)) -> C.Run:
     return C.Run(model, area, FIRST_EVENTS, LAST_EVENTS, expected)
 
@@ -191,8 +222,14 @@ def model_transition_lookup(spark, sf_dir):
     return M.transition_lookup(_with_closing_transition(order_nets(spark, sf_dir)))
 
 
+def _edited(models: DataFrame, edits: Column) -> M.Nets:
+    """Models after edits that follow from their own rows."""
+    return E.nets_of_rows(E.fold_edits(models.withColumn("edits", edits)))
+
+
 def model_arcs(spark, sf_dir):
-    return M.transition_arcs(_with_closing_transition(order_nets(spark, sf_dir)))
+    closing = E.edit("add_transition", 1, id=F.lit("t100"), name=F.lit("A"), inputs=F.array(F.lit("p1"), F.lit("p2")), outputs=F.array(F.lit("p100")))
+    return M.transition_arcs(_edited(order_models(spark, sf_dir), F.array(closing)))
 
 
 def model_initial_marking(spark, sf_dir):
@@ -241,18 +278,35 @@ def _net_rows(nets: M.Nets) -> DataFrame:
 
 
 def model_delete_transition(spark, sf_dir):
-    nets = order_nets(spark, sf_dir)
-    return _net_rows(M.delete_transitions(nets, nets.transitions.where("name = 'N'")))
+    dropped = F.filter("transitions", lambda t: t["name"] == "N")
+    return _net_rows(_edited(order_models(spark, sf_dir), F.transform(dropped, lambda t: E.edit("delete_transition", 1, id=t["transition_id"]))))
 
 
 def model_merge_transitions(spark, sf_dir):
-    nets = order_nets(spark, sf_dir)
-    merges = (
-        nets.transitions.groupBy("model_id")
-        .agg(F.min_by("transition_id", "trans_ord").alias("transition_id"), F.max_by("transition_id", "trans_ord").alias("other_id"))
-        .where("transition_id <> other_id")
-    )
-    return M.transition_arcs(M.merge_transitions(nets, merges))
+    """The first transition of each model gets the places of its last."""
+    first, last = (F.col("transitions")[k]["transition_id"] for k in (F.lit(0), F.size("transitions") - 1))
+    merge = F.filter(F.array(E.edit("merge", 1, id=first, other=last)), lambda e: e["id"] != e["other"])
+    return M.transition_arcs(_edited(order_models(spark, sf_dir), merge))
+
+
+def model_edit_log(spark, sf_dir):
+    """All kinds of edits, given as rows for each order, applied in the order of their numbers."""
+    status, priority = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
+    p100, t1 = F.lit("p100"), F.lit("t1")
+    log = F.array(
+        F.when(status == "O", E.edit("merge", 0, id=F.lit("t2"), other=F.lit("t3"))),
+        F.when(priority == "1", E.edit("add_transition", 1, id=F.lit("t100"), name=F.lit("A"), inputs=F.array(F.lit("p1"), F.lit("p2")), outputs=F.array(p100))),
+        F.when(status == "F", E.edit("delete_transition", 2, id=t1)),
+        F.when(priority.isin("1", "2"), E.edit("suffix", 3, name=F.lit("b"))),
+        E.edit("add_place", 4, id=p100, name=F.lit("end")),
+        F.when(priority == "2", E.edit("add_arc", 5, id=p100, other=t1)))
+    edits = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("model_id"), F.inline(F.filter(log, lambda e: e.isNotNull())))
+    nets = E.fold_edits(E.with_edits(order_models(spark, sf_dir), edits))
+    elements = F.concat(
+        F.transform("places", lambda r: F.struct(F.lit("place").alias("kind"), r["place_ord"].alias("ord"), r["place_id"].alias("id"), r["name"].alias("more"))),
+        F.transform("transitions", lambda r: F.struct(F.lit("transition").alias("kind"), r["trans_ord"].alias("ord"), r["transition_id"].alias("id"), r["name"].alias("more"))),
+        F.transform("arcs", lambda r: F.struct(F.lit("arc").alias("kind"), r["arc_ord"].alias("ord"), r["source"].alias("id"), r["target"].alias("more"))))
+    return nets.select("model_id", F.inline(elements))
 
 
 def model_suffix_ids(spark, sf_dir):
@@ -429,6 +483,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         final_marking, check_logs, replay_ambiguous, check_logs_ambiguous, replay_path_explosion,
         conformance_multi_model, unknown_events, conformance_report, report_lines, save_report,
         surrounding_events, generate_report, run_counters, sort_sessions_hot, trim_sessions_hot, replay_scan_hot, check_logs_long,
-        model_scan, check_logs_segments, check_logs_prefixes, missing_steps, missing_steps_hot,
+        model_scan, check_logs_segments, check_logs_prefixes, missing_steps, missing_steps_hot, model_edit_log,
     ]
     return {query.__name__: query for query in listed}
