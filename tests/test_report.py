@@ -134,18 +134,48 @@ def test_null_fields_cannot_be_joined(spark):
 def test_counters(spark):
     counters = R.RunCounters()
     with pytest.raises(ValueError):
-        counters.value("deviating")
+        counters.watch(spark.range(1))
     counters.register("deviating", R.outcome() == "deviating")
     counters.register("failed", F.col("status") != "ok")
+    counters.register("events", value=F.col("session_length"), start=10)
+    counters.register("lost", F.col("missing_count") > 0, F.col("missing_count"))
+    for refused in (counters.value, counters.reset, counters.increment, lambda name: counters.watch(spark.range(1), name)):
+        with pytest.raises(ValueError, match="no counter called odd"):
+            refused("odd")
+    assert counters.values() == {"deviating": 0, "failed": 0, "events": 10, "lost": 0}
     logs = {"good": ["go left", "turn back", "stop"], "bad": ["go left", "stop"], "odd": ["fly"]}
     results = check_counts(order_events(log_table(spark, logs)), nets_from_rows(spark, NETS), [Run("walk", expected_final=("p5",))])
-    for _ in range(2):  # a new watch starts from zero
+    for _ in range(2):  # a new watch counts its own rows
         counters.watch(results).collect()
-        assert (counters.value("deviating"), counters.value("failed")) == (1, 1)
+        assert counters.values() == {"deviating": 1, "failed": 1, "events": 16, "lost": 1}
+    counters.increment("failed")
+    counters.increment("lost", 5)
+    counters.reset("events", 3)
+    assert counters.values() == {"deviating": 1, "failed": 2, "events": 3, "lost": 6}
+    counters.watch(results.where("status = 'ok'"), "events").collect()
+    assert (counters.value("events"), counters.value("deviating")) == (8, 1)
+    counters.watch(results.limit(0)).collect()
+    assert counters.values() == {"deviating": 0, "failed": 1, "events": 3, "lost": 5}
     assert {(r.outcome, r.sessions) for r in R.count_outcomes(results).collect()} == {
         ("conformant", 1), ("deviating", 1), ("unknown_event", 1)}
 
 
+@pytest.mark.parametrize("hot_rows", [None, 2])
+def test_rejects_and_results_are_counted_by_one_action(spark, hot_rows):
+    rows = [("a", 1, "go left"), ("a", 2, "turn back"), ("a", 3, "stop"), ("b", 1, "go left"), ("b", None, "stop"), (None, 1, "stop"), ("a", 4, None)]
+    path = shared_path(spark, "test-log")
+    local_table(spark, rows, SCHEMA).write.parquet(path)
+    counters = R.RunCounters()
+    counters.register("rows")
+    counters.register("rejects", ~R.is_complete_record())
+    counters.register("sessions")
+    results = R.watched_counts(spark.read.parquet(path), nets_from_rows(spark, NETS), [Run("walk", expected_final=("p5",))], counters,
+                               ("rows", "rejects"), ("sessions",), hot_rows=hot_rows)
+    assert results._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    results.write.parquet(shared_path(spark, "test-results"))
+    assert counters.values() == {"rows": 7, "rejects": 3, "sessions": 2}
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir()
     assert shared_path(spark, "x") != shared_path(spark, "x")

@@ -88,7 +88,8 @@ def apply_edits(nets: Nets, edits: DataFrame) -> Nets:
 
 def nets_of_rows(models: DataFrame) -> Nets:
     """Models as tables again."""
-    inline = lambda c: models.select("model_id", F.inline(c))
+    # the outer form, as Spark puts a test for empty lists before the plain one and would fold twice for it
+    inline = lambda c: models.select("model_id", F.inline_outer(c)).where(F.col(next(iter(MODEL[c]))).isNotNull())
     places = inline("places")
     return Nets(places.select("model_id", "model_file", "place_ord", "place_id", "name", "init_tokens"), inline("transitions"), inline("arcs"))
 

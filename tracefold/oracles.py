@@ -23,6 +23,8 @@ def names(values: Sequence[str]) -> str:
 USER_LOG = "SELECT CAST(user_id AS VARCHAR) AS case_id, ts, event_type AS event FROM events"
 DAY_LOG = ("SELECT CAST(user_id AS VARCHAR) || '@' || strftime(ts, '%Y-%m-%d') AS case_id, ts, event_type AS event "
            "FROM events")
+MEMBER_LOG = DAY_LOG + " WHERE user_id % 10 <> 0 AND ts IS NOT NULL AND event_type IS NOT NULL"
+OUTCOME = "CASE WHEN status <> 'ok' THEN status WHEN len(mt) = 0 AND len(tok) = 0 THEN 'conformant' ELSE 'deviating' END"
 SHARD_LOG = "SELECT CAST(user_id % 20 AS VARCHAR) AS case_id, ts, event_type AS event FROM events"
 QUARTER_LOG = "SELECT CAST(user_id % 4 AS VARCHAR) AS case_id, ts, event_type AS event FROM events"
 HOUR_LOG = ("SELECT CAST(user_id AS VARCHAR) || '@' || strftime(ts, '%Y-%m-%d %H') AS case_id, ts, event_type AS event "
@@ -362,10 +364,15 @@ WHERE event NOT IN ({", ".join(sorted({repr(t[1]) for t in NETS["shop_noerror"]}
         "generate_report": with_context(DAY_LOG, "shop") + """SELECT case_id, status, error_detail, array_to_string(mt, ',') AS missing_tokens,
   array_to_string(mi, ',') AS missing_indices, array_to_string(tok, ',') AS unconsumed_tokens, n AS session_length,
   surrounding_events FROM reported""",
-        "run_counters": replay(DAY_LOG, {"shop_noerror": shop_final}) + """
-SELECT CASE WHEN status <> 'ok' THEN status WHEN len(mt) = 0 AND len(tok) = 0 THEN 'conformant' ELSE 'deviating' END AS counter,
-  count(*) AS value FROM result GROUP BY ALL
-UNION ALL
-SELECT 'rejected_rows', count(*) FROM log WHERE case_id IS NULL OR ts IS NULL OR event IS NULL""",
+        "outcome_counts": replay(DAY_LOG, {"shop_noerror": shop_final, "shop_amb": shop_final}) + f"""
+SELECT model_id, {OUTCOME} AS outcome, count(*) AS sessions FROM result GROUP BY ALL""",
+        "run_counters": replay(MEMBER_LOG, {"shop_noerror": shop_final}) + f""",
+outcomes AS (SELECT {OUTCOME} AS outcome, len(mt) AS missing, n FROM result)
+SELECT 'rows' AS counter, count(*) AS value FROM events
+UNION ALL SELECT 'rejected_rows', count(*) FILTER (user_id IS NULL OR user_id % 10 = 0 OR ts IS NULL OR event_type IS NULL) FROM events
+UNION ALL SELECT name, count(outcome) FROM (VALUES ('conformant'), ('deviating'), ('unknown_event'), ('path_explosion')) v(name)
+  LEFT JOIN outcomes ON outcome = name GROUP BY name
+UNION ALL SELECT 'missing_tokens', CAST(coalesce(sum(missing), 0) AS BIGINT) FROM outcomes
+UNION ALL SELECT 'session_events', CAST(1000 + coalesce(sum(n), 0) AS BIGINT) FROM outcomes""",
     }
     return sql

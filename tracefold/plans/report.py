@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tracefold.functions.text import error_text, list_text, previous_midnight
 from tracefold.local import local_table
 from tracefold.operators.models import Nets
-from tracefold.operators.sessions import order_events
-from tracefold.plans.check import Run, check_logs, nets_of_runs
+from tracefold.operators.sessions import is_complete_record, measure_cases, order_events
+from tracefold.plans.check import Run, check_counts, check_logs, nets_of_runs
 from tracefold.schemas import REPORT_COLUMNS, STATUS_OK
 from tracefold.sources.delimited import join_line, save_lines
 
@@ -56,32 +56,71 @@ def save_report(report: DataFrame, path: str) -> None:
 
 
 class RunCounters:
-    """Named counts filled while a result is computed.
+    """Named counters, filled by the action that computes a result.
 
-    Each use of ``watch`` counts from zero. Reading a counter that was not registered is an error.
+    A counter starts at 0 or the given number. It grows by what rows passing a ``watch`` add to it and by
+    ``increment``; ``reset`` gives it a new start. Asking for a name that was not registered is an error. As with any metric that
+    tasks report, rows of a stage that runs again because an executor was lost count again.
     """
 
     def __init__(self) -> None:
-        self._conditions: dict[str, Column] = {}
-        self._seen: Observation | None = None
-
-    def register(self, name: str, condition: Column) -> None:
-        self._conditions[name] = condition
-
-    def watch(self, df: DataFrame) -> DataFrame:
-        if not self._conditions:
+        self._adds: dict[str, Column] = {}
+        self._start: dict[str, int] = {}
+        self._seen: dict[str, Observation] = {}
+
+    def register(self, name: str, condition: Column | None = None, value: Column | None = None, start: int = 0) -> None:
+        """A counter of the rows for which ``condition`` holds (all rows if None), or of the sum of ``value`` over them."""
+        added = F.lit(1) if value is None else value
+        self._adds[name] = F.coalesce(F.sum(added if condition is None else F.when(condition, added)), F.lit(0)).cast("bigint")
+        self.reset(name, start)
+
+    def reset(self, name: str, value: int = 0) -> None:
+        """Start again from ``value``; what was watched before no longer counts."""
+        self._known(name)
+        self._start[name] = value
+        self._seen.pop(name, None)
+
+    def increment(self, name: str, value: int = 1) -> None:
+        """Add to a counter on the driver."""
+        self._known(name)
+        self._start[name] += value
+
+    def watch(self, df: DataFrame, *names: str) -> DataFrame:
+        """``df``, whose rows are counted by ``names`` (all counters if none are given) in its next action.
+
+        Counters watched before are left with their start and count the new rows only.
+        """
+        if not self._adds:
             raise ValueError("no counter was registered")
-        self._seen = Observation()
-        counts = [F.count(F.when(c, 1)).alias(name) for name, c in self._conditions.items()]
-        return df.observe(self._seen, *counts)
+        names = names or tuple(self._adds)
+        for name in names:
+            self._known(name)
+        seen = Observation()
+        self._seen |= dict.fromkeys(names, seen)
+        return df.observe(seen, *[self._adds[name].alias(name) for name in names])
 
     def value(self, name: str) -> int:
-        """The count of the last watched action; waits until it has run."""
-        if name not in self._conditions:
-            raise ValueError(f"counter {name} was not registered ({', '.join(self._conditions)})")
-        if self._seen is None:
-            raise ValueError("nothing was watched")
-        return self._seen.get[name]
+        """Where the counter stands; waits for the action that was watched."""
+        self._known(name)
+        return self._start[name] + (self._seen[name].get[name] if name in self._seen else 0)
+
+    def values(self) -> dict[str, int]:
+        return {name: self.value(name) for name in self._adds}
+
+    def _known(self, name: str) -> None:
+        if name not in self._adds:
+            raise ValueError(f"there is no counter called {name}, only {sorted(self._adds)}")
+
+
+def watched_counts(log: DataFrame, nets: Nets, runs: Sequence[Run], counters: RunCounters, at_log: Sequence[str], at_results: Sequence[str],
+                   hot_rows: int | None = None, **options) -> DataFrame:
+    """``check_counts`` of a log, with counters on the raw rows, rejects included, and on the results.
+
+    Both are filled by the action that computes the results; where a hot case is cut into chunks, by the job that does so.
+    """
+    sizes = measure_cases(log.where(is_complete_record()), hot_rows)
+    results = check_counts(order_events(counters.watch(log, *at_log), sizes=sizes), nets, runs, **options)
+    return counters.watch(results, *at_results)
 
 
 def outcome() -> Column:

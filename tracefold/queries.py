@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from tracefold.cluster import shared_path
 from tracefold.demo import FIRST_EVENTS, LAST_EVENTS, NETS
-from tracefold.local import nets_from_rows
+from tracefold.local import local_table, nets_from_rows
 from tracefold.operators import edits as E
 from tracefold.operators import models as M
 from tracefold.operators import sessions as S
 from tracefold.plans import check as C
 from tracefold.plans import ledger as L
 from tracefold.plans import report as R
+from tracefold.schemas import STATUS_PATH_EXPLOSION, STATUS_UNKNOWN_EVENT
 from tracefold.sources.delimited import join_line, read_delimited, split_line
 from tracefold.sources.pnml import read_models
 
@@ -100,32 +101,29 @@ def order_nets(spark: SparkSession, sf_dir: str) -> M.Nets:
 
 def order_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nets of ``order_nets`` as a row for each model, from one scan and one shuffle of the lines."""
-    supp, part, line = F.col("l_suppkey") % 10, F.col("l_partkey") % 10, F.col("l_linenumber").cast("int")
-    transition, kind = F.concat(F.lit("t"), "l_linenumber"), F.when(F.col("l_tax") == 0, "s").otherwise("p")
-
-    def element(table: str, ord: Column, id: Column, target=None, name=None, tokens=0) -> Column:
-        target, name, tokens = (c if isinstance(c, Column) else F.lit(c) for c in (target, name, tokens))
-        return F.struct(F.lit(table).alias("kind"), ord.cast("int").alias("ord"), id.alias("id"), target.cast("string").alias("target"),
-                        name.cast("string").alias("name"), tokens.cast("int").alias("tokens"))
-    place = lambda k, tokens: element("place", k, F.concat(F.lit("p"), k), None, F.concat(F.lit("place "), k), tokens)
-    elements = F.array(
-        element("transition", line, transition, None, F.char(F.ascii("l_returnflag"))),
-        place(supp, F.when(F.col("l_returnflag") == "R", 1).otherwise(0)), place(part, 0),
-        F.when(F.col("l_linestatus") == "O", element("arc", line * 2, F.concat(kind, supp), transition)),
-        F.when(F.col("l_discount") > 0.02, element("arc", line * 2 + 1, transition, F.concat(F.lit("p"), part))))
-    rows = (
-        table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("model_id"), F.inline(F.filter(elements, lambda e: e.isNotNull())))
-        .repartition("model_id")
-        .groupBy("model_id", "kind", "ord", "id", "target")
-        .agg(F.min("name").alias("name"), F.max("tokens").alias("tokens"), F.count(F.lit(1)).cast("int").alias("copies"))
-    )
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("model_id"), F.struct(
+            F.col("l_linenumber").cast("int").alias("line"), F.ascii("l_returnflag").alias("flag"),
+            (F.col("l_suppkey") % 10).cast("int").alias("supp"), (F.col("l_partkey") % 10).cast("int").alias("part"),
+            F.when(F.col("l_tax") == 0, "s").otherwise("p").alias("kind"), (F.col("l_returnflag") == "R").cast("int").alias("marked"),
+            (F.col("l_linestatus") == "O").alias("in"), (F.col("l_discount") > 0.02).alias("out")).alias("l"))
+    # the lines of an order: a few rows of numbers
+    orders = lines.groupBy("model_id").agg(F.sort_array(F.collect_list("l")).alias("ls"))
+    first_of = lambda rows, key: F.filter(rows, lambda r, k: (k == 0) | (F.get(rows, k - 1)[key] != r[key]))
+    ends = F.sort_array(F.concat(
+        F.transform("ls", lambda l: F.struct(l["supp"].alias("k"), (-l["marked"]).alias("less"))),
+        F.transform("ls", lambda l: F.struct(l["part"].alias("k"), F.lit(0).alias("less")))))
+    orders = orders.withColumn("ends", ends)
+    named = lambda letter, c: F.concat(letter if isinstance(letter, Column) else F.lit(letter), c.cast("string"))
     file = F.concat(F.lit("order-"), "model_id", F.lit(".pnml"))
-    listed = {
-        "places": F.collect_list(F.when(F.col("kind") == "place", F.struct("ord", "id", "name", "tokens", file))),
-        "transitions": F.collect_list(F.when(F.col("kind") == "transition", F.struct("ord", "id", "name"))),
-        "arcs": F.flatten(F.collect_list(F.when(F.col("kind") == "arc", F.array_repeat(F.struct("ord", "id", "target"), F.col("copies"))))),
-    }
-    return rows.groupBy("model_id").agg(*[F.sort_array(v).cast(E.LIST[c]).alias(c) for c, v in listed.items()])
+    places = F.transform(first_of(F.col("ends"), "k"), lambda e: F.struct(e["k"], named("p", e["k"]), named("place ", e["k"]), -e["less"], file))
+    transitions = F.transform(first_of(F.col("ls"), "line"), lambda l: F.struct(l["line"], named("t", l["line"]), F.char(l["flag"])))
+    arcs = F.sort_array(F.concat(
+        F.transform(F.filter("ls", lambda l: l["in"]), lambda l: F.struct(
+            (l["line"] * 2).alias("arc_ord"), named(l["kind"], l["supp"]).alias("source"), named("t", l["line"]).alias("target"))),
+        F.transform(F.filter("ls", lambda l: l["out"]), lambda l: F.struct(
+            (l["line"] * 2 + 1).alias("arc_ord"), named("t", l["line"]).alias("source"), named("p", l["part"]).alias("target")))))
+    return orders.select("model_id", *[v.cast(E.LIST[c]).alias(c) for c, v in (("places", places), ("transitions", transitions), ("arcs", arcs))])
 
 
 def shop(model: str = "shop", area: str = "shop", expected: tuple[str, ...] = ("p2",)) -> C.Run:
@@ -271,15 +269,27 @@ def model_scan(spark, sf_dir):
     )
 
 
-def _net_rows(nets: M.Nets) -> DataFrame:
-    arcs = M.transition_arcs(nets)
-    return nets.transitions.join(arcs, ["model_id", "transition_id"], "left").select(
-        "model_id", "transition_id", "name", *[F.coalesce(c, F.lit("")).alias(c) for c in ("side", "place_id")])
+def _net_rows(nets: DataFrame) -> DataFrame:
+    """Each transition of model rows with the places on its sides, a transition without any once."""
+    kind = lambda a: F.substring(a["source"], 1, 1)
+    parts = F.concat(
+        F.transform("transitions", lambda t: F.struct(t["transition_id"].alias("transition_id"), t["name"].alias("name"), F.lit(None).cast("string").alias("side"),
+                                                      F.lit(None).cast("string").alias("place_id"))),
+        F.transform(F.filter("arcs", lambda a: kind(a).isin("p", "t")), lambda a: F.struct(
+            F.when(kind(a) == "p", a["target"]).otherwise(a["source"]).alias("transition_id"), F.lit(None).cast("string").alias("name"),
+            F.when(kind(a) == "p", "in").otherwise("out").alias("side"), F.when(kind(a) == "p", a["source"]).otherwise(a["target"]).alias("place_id"))))
+    ends = F.collect_set(F.when(F.col("side").isNotNull(), F.struct("side", "place_id")))
+    rows = (
+        nets.select("model_id", parts.alias("parts")).select("model_id", F.inline_outer("parts"))
+        .groupBy("model_id", "transition_id").agg(F.max("name").alias("name"), ends.alias("ends")).where(F.col("name").isNotNull())
+    )
+    return rows.select("model_id", "transition_id", "name", F.inline_outer("ends")).na.fill("", ["side", "place_id"])
 
 
 def model_delete_transition(spark, sf_dir):
     dropped = F.filter("transitions", lambda t: t["name"] == "N")
-    return _net_rows(_edited(order_models(spark, sf_dir), F.transform(dropped, lambda t: E.edit("delete_transition", 1, id=t["transition_id"]))))
+    edits = F.transform(dropped, lambda t: E.edit("delete_transition", 1, id=t["transition_id"]))
+    return _net_rows(E.fold_edits(order_models(spark, sf_dir).withColumn("edits", edits)))
 
 
 def model_merge_transitions(spark, sf_dir):
@@ -465,12 +475,32 @@ def generate_report(spark, sf_dir):
     return flat(C.generate_report(S.order_events(day_log(spark, sf_dir)), demo_nets(spark), [shop()])).drop("model_id")
 
 
+def member_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``day_log``, but users whose number ends with 0 have no case: their rows are rejects."""
+    member = F.when(F.col("user_id") % 10 != 0, F.col("user_id"))
+    day = F.concat(member.cast("string"), F.lit("@"), F.to_date("ts").cast("string"))
+    return S.extract_event_log(table(spark, sf_dir, "events"), day, "ts", "event_type")
+
+
 def run_counters(spark, sf_dir):
-    log = day_log(spark, sf_dir)
-    results = C.check_counts(S.order_events(log), demo_nets(spark), [shop("shop_noerror")])
-    outcomes = R.count_outcomes(results).select(F.col("outcome").alias("counter"), F.col("sessions").alias("value"))
-    rejects = log.agg(F.count(F.when(~S.is_complete_record(), 1)).alias("value")).select(F.lit("rejected_rows").alias("counter"), "value")
-    return outcomes.unionByName(rejects)
+    """Counters of the rows read and of the results, filled while the results are written."""
+    counters, outcomes = R.RunCounters(), ("conformant", "deviating", STATUS_UNKNOWN_EVENT, STATUS_PATH_EXPLOSION)
+    counters.register("rows")
+    counters.register("rejected_rows", ~S.is_complete_record())
+    for outcome in outcomes:
+        counters.register(outcome, R.outcome() == outcome)
+    counters.register("missing_tokens", value=F.col("missing_count"))
+    counters.register("session_events", value=F.col("session_length"), start=1000)
+    results = R.watched_counts(
+        member_log(spark, sf_dir), demo_nets(spark), [shop("shop_noerror")], counters, ("rows", "rejected_rows"),
+        (*outcomes, "missing_tokens", "session_events"))
+    results.write.parquet(shared_path(spark, "counted-results"))
+    return local_table(spark, counters.values().items(), "counter string, value bigint")
+
+
+def outcome_counts(spark, sf_dir):
+    results = C.check_counts(S.order_events(day_log(spark, sf_dir)), demo_nets(spark), [shop("shop_noerror"), shop("shop_amb")])
+    return R.count_outcomes(results)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -483,6 +513,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         final_marking, check_logs, replay_ambiguous, check_logs_ambiguous, replay_path_explosion,
         conformance_multi_model, unknown_events, conformance_report, report_lines, save_report,
         surrounding_events, generate_report, run_counters, sort_sessions_hot, trim_sessions_hot, replay_scan_hot, check_logs_long,
-        model_scan, check_logs_segments, check_logs_prefixes, missing_steps, missing_steps_hot, model_edit_log,
+        model_scan, check_logs_segments, check_logs_prefixes, missing_steps, missing_steps_hot, model_edit_log, outcome_counts,
     ]
     return {query.__name__: query for query in listed}
