@@ -47,6 +47,13 @@ def test_empty_table(spark):
     assert dedup_lines(documents(spark, mixed_rows()).limit(0)).count() == 0
 
 
+def test_no_run_stays_in_the_catalog(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    found = dedup_lines(documents(spark, lined_rows()))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert found.count() == len(lined_rows())
+
+
 def test_runs_are_levelled_and_joined_without_moving(spark):
     store = LineRuns(spark)
     for k in range(5):

@@ -11,7 +11,8 @@ next. Runs are bucketed by key and sorted within buckets, so joins and merges mo
 
 Keys are compared by 128 bits of hash. Every row is a document. Defined cases: a null text is one
 empty line and comes back as an empty text; rows with the same id share keeping; rows without an id
-keep a line only if no row with an id holds it.
+keep a line only if no row with an id holds it. Ids are numbers. Runs are tables of the session's catalog while
+they are needed, and are dropped before the result is returned.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracefold.cluster import shared_path
-from tracefold.llm.common import join_dealt, shuffle_partitions
+from tracefold.llm.common import join_dealt, shuffle_partitions, written
 
 BLANK = b" \t\n\v\f\r"
 KEY = ["hi", "lo"]
@@ -44,7 +45,7 @@ class LineRuns:
     """Sorted runs by level, each a bucketed table: hi, lo, n (documents), keeper (null if an older run has it)."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.levels = spark, []
+        self.spark, self.levels, self.names = spark, [], []
         self.buckets = shuffle_partitions(spark)
 
     def runs(self) -> list[DataFrame]:
@@ -52,6 +53,7 @@ class LineRuns:
 
     def _write(self, df: DataFrame) -> DataFrame:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.names.append(name)
         (df.select(*KEY, "n", "keeper").write.option("path", shared_path(self.spark, name)).format("parquet")
          .bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name))
         return self.spark.table(name)
@@ -87,6 +89,11 @@ class LineRuns:
     def merged(self) -> DataFrame:
         return reduce(self.merge, self.runs())
 
+    def drop(self) -> None:
+        """Take the runs out of the catalog."""
+        while self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.names.pop()}")
+
 
 def hashed_lines(rows: DataFrame, min_chars: int) -> DataFrame:
     """doc_id, version, hi, lo for each distinct key of at least ``min_chars`` code points of each row."""
@@ -121,9 +128,12 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", *, min
     hashed_lines(rows, min_chars).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
     lines = spark.read.schema(f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, version long, hi long, lo long, batch int").parquet(path)
     store = LineRuns(spark)
-    for k in range(batches):
-        store.add(lines.filter(F.col("batch") == k))
-    often = store.merged().filter(F.col("n") >= min_documents).select(*KEY, "keeper")
+    try:
+        for k in range(batches):
+            store.add(lines.filter(F.col("batch") == k))
+        often = written(store.merged().filter(F.col("n") >= min_documents).select(*KEY, "keeper"), "often-lines")
+    finally:
+        store.drop()
     gone = (join_dealt(lines, often, KEY, F.col("version")).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .groupBy(F.col("doc_id").alias("id"), F.col("version").alias("of")).agg(F.collect_set(F.struct(*KEY)).alias("gone")))
     joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("version") == F.col("of")), "left").select("doc_id", "text", "gone")
