@@ -134,7 +134,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", *, min
         often = written(store.merged().filter(F.col("n") >= min_documents).select(*KEY, "keeper"), "often-lines")
     finally:
         store.drop()
-    gone = (join_dealt(lines, often, KEY, F.col("version")).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    # sorted and merged: the common lines grow with the input, and dealing repeats them, so they are not to be broadcast by their file's size
+    gone = (join_dealt(lines, often.hint("merge"), KEY, F.col("version")).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .groupBy(F.col("doc_id").alias("id"), F.col("version").alias("of")).agg(F.collect_set(F.struct(*KEY)).alias("gone")))
     joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("version") == F.col("of")), "left").select("doc_id", "text", "gone")
 
