@@ -2,8 +2,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from brute import order, trim
+from tracefold.cluster import task_slots
 from tracefold.local import local_table
 from tracefold.operators import sessions as S
 
@@ -104,3 +106,12 @@ def test_hot_cases_are_few(spark, skewed_rows):
     sizes = S.measure_cases(log_of(spark, skewed_rows), hot_rows=500)
     assert sizes.hot == ("hot",) and sizes.total == len(skewed_rows) and sizes.largest == 2900
     assert S.measure_cases(log_of(spark, [])).hot == ()
+
+
+def test_chunks_do_not_grow_with_small_hot_limits(spark):
+    """A range partitioner samples every chunk to the driver."""
+    log = spark.range(40_000).select(F.lit("x").alias("case_id"), F.col("id").alias("ts"), (F.col("id") % 3).cast("string").alias("event"))
+    hot = S.order_events(log, hot_rows=10).pieces[-1].rows
+    chunks = hot.select("chunk").distinct().count()
+    assert 2 <= chunks <= S.CHUNKS_PER_SLOT * task_slots(spark)
+    assert hot.where("pos != ts").isEmpty() and hot.count() == 40_000

@@ -146,7 +146,9 @@ def _order_across_tasks(log: DataFrame, sizes: CaseSizes) -> Piece:
     numbered within their partition, which is the chunk. The checkpoint is needed because
     every later use must see the same chunks.
     """
-    chunks = max(2, -(-sizes.total // sizes.limit))
+    # a range partitioner sends a sample of each chunk to the driver: no more chunks than fill the slots or hold a task's rows
+    enough = max(CHUNKS_PER_SLOT * task_slots(log.sparkSession), -(-sizes.total // SMALLEST_HOT_CASE))
+    chunks = max(2, min(-(-sizes.total // sizes.limit), enough))
     numbered = (
         log.withColumn("origin", F.spark_partition_id())
         .groupBy("case_id", "ts", "event", "origin").agg(F.count(F.lit(1)).alias("copies"))
