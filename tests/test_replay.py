@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from brute import replay
 from fixtures import GOLDEN, NETS
+from tracefold.demo import NETS as DEMO
 from tracefold.local import local_table, nets_from_rows
 from tracefold.operators import replay_fold
 from tracefold.operators.sessions import order_events
@@ -186,3 +187,24 @@ def test_large_models_do_not_gather_the_log_by_event(spark, monkeypatch):
     wanted = sorted(map(str, check_logs(sessions_of(spark, logs), nets, runs).collect()))
     monkeypatch.setattr(models, "BROADCAST_MODEL_BYTES", 0)
     assert sorted(map(str, check_logs(sessions_of(spark, logs), nets, runs).collect())) == wanted
+
+
+def test_stretches_of_long_sessions(spark, monkeypatch):
+    """Sessions go on from stretch to stretch, with guesses and without, and nothing is folded behind an explosion."""
+    shop = [(t, event, list(ins), list(outs)) for t, event, ins, outs in DEMO["shop_amb"]]
+    rng = random.Random(7)
+    logs = {f"c{k}": rng.choices(["signup", "view", "click", "purchase", "error"], k=n) for k, n in enumerate((70, 95))}
+    logs |= {"full": ["signup"] * 105 + ["view"] * 105, "cut": ["signup", "view"] * 20 + ["fly"]}
+    wanted = {case: replay(shop, log, ["p2"]) for case, log in logs.items()}
+    assert wanted["full"][0] == "path_explosion"
+    rounds, parts, real = [], [], replay_fold._relay
+    monkeypatch.setattr(replay_fold, "_relay", lambda rows, *a: rounds.append(1) or parts.append(real(rows, *a)) or parts[-1])
+    monkeypatch.setattr(replay_fold, "FIRST_STRETCH", 20)
+    monkeypatch.setattr(replay_fold, "LAST_STRETCH", 40)
+    for slots in (1, 8):  # one slot: sessions fill the slots, so no guesses
+        monkeypatch.setattr(replay_fold, "task_slots", lambda _, n=slots: n)
+        rounds.clear(), parts.clear()
+        assert outcomes(check_logs(sessions_of(spark, logs), nets_from_rows(spark, DEMO), [Run("shop_amb")], segment=10)) == wanted
+        assert 1 < len(rounds) <= 8
+        # at most 40 events a row
+        assert all(p.where("size(out) > 4").isEmpty() for p in parts[:2])

@@ -4,11 +4,11 @@ Which transition fires depends on the tokens held, and ties keep several marking
 alive, so a session is a fold over its events. The fold is one native ``aggregate``
 over the events of a segment, with places and event names as small integers.
 
-A longer session is folded in many segments at once. Every segment first runs from a
-guess; its result then holds for all starts from which each test for a token would
-come out the same. Where the segment before it ends in such a start the guess was as
-good as the truth, and the other segments run again from what is now known. Results
-are exact: the rounds end only when every segment fits the one before it.
+A longer session is folded in segments, stretch by stretch. If sessions are few, the
+segments of a stretch first run at once from a guess; such a result holds for all starts
+from which each test for a token would come out the same. Then they are gone through in
+order: a segment whose true start the guess holds for is taken over, others are folded from
+that start. Results are exact, and nothing is folded behind an explosion.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tracefold.operators.context import TEXTS, with_texts
 from tracefold.operators.automaton import Automaton, compile_automata, start_states
 from tracefold.operators.models import Nets, transition_arcs
 from tracefold.operators.prefix_tree import fold_tree
-from tracefold.operators.sessions import SEGMENT_EVENTS, Piece, Sessions, union_all, with_session_values
+from tracefold.operators.sessions import CHUNKS_PER_SLOT, SEGMENT_EVENTS, Piece, Sessions, union_all, with_session_values
 from tracefold.schemas import STATUS_OK, STATUS_PATH_EXPLOSION, STATUS_UNKNOWN_EVENT
 
 PATH_LIMIT = 100
@@ -34,6 +34,12 @@ SESSION = ["model_id", "case_id"]
 MARKING = "struct<tok:array<int>,org:int,lost:int,miss:string>"
 STATE = f"struct<buf:array<{MARKING}>,pos:int,exploded:boolean,low:array<int>>"
 NEVER_TESTED = 2**31 - 1
+GUESS = "struct<toks:array<array<int>>,toks_out:array<array<int>>,orgs:array<int>,misses:array<string>,low:array<int>,exploded:boolean>"
+RELAYED = "struct<segment:bigint,toks_out:array<array<int>>,orgs:array<int>,misses:array<string>,exploded:boolean,held:boolean>"
+RELAY = f"struct<toks:array<array<int>>,exploded:boolean,out:array<{RELAYED}>>"
+# events of a session that a row folds, in the first round and at the most
+FIRST_STRETCH = 1 << 14
+LAST_STRETCH = 1 << 18
 OPTIONS = "array<array<struct<ins:array<int>,outs:array<int>>>>"
 
 
@@ -265,7 +271,7 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int)
     """Fold sessions of several segments, all segments at once: how each session ends, what each segment missed, and the segments.
 
     Where an automaton of the net tells what each segment starts from, they run once from there;
-    otherwise they run until they fit together.
+    otherwise they run stretch by stretch, from what the stretch before ends in.
     """
     # an unknown event cuts a session off: later segments do not count
     within = F.col("unknown").isNull() | (F.col("segment") <= F.expr(f"greatest(unknown.pos - 1, 0L) div {size}"))
@@ -277,7 +283,7 @@ def _fold_long(segments: DataFrame, models: DataFrame, size: int, longest: int)
     if automata:
         ways.append(_fold_by_states(segments.where(F.col("model_id").isin(sorted(automata))), models, automata, -(-longest // size)))
     if others:
-        ways.append(_fold_in_rounds(segments.where(F.col("model_id").isin(others)), models))
+        ways.append(_fold_in_rounds(segments.where(F.col("model_id").isin(others)), models, size))
     runs, settled = (union_all(parts) for parts in zip(*ways))
     ends = (
         settled.groupBy(*SESSION)
@@ -341,27 +347,75 @@ def _fold_by_states(segments: DataFrame, models: DataFrame, automata: dict[str,
     return runs.select(RUN), runs.select(*SESSION, "segment", F.col("toks_out")[0].alias("tok"), "exploded")
 
 
-def _fold_in_rounds(segments: DataFrame, models: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Runs of all segments from starts that fit the segments before them, and their ends.
+def _fold_in_rounds(segments: DataFrame, models: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Runs of all segments from their true starts, and their ends.
 
-    The first segment of a session runs from the truth, so each round settles at least the
-    next one, and all of them as soon as their starts no longer matter.
+    A round folds the next stretch of segments of every session, one after the other in one row, from the truth; what follows an
+    explosion is not folded. While sessions are too few to fill the task slots, the segments of a stretch first run at once
+    from what the stretch starts from; where such a run holds for the true start it is taken over. Once fewer than half do, guesses end.
     """
-    runs = _run(segments.join(models.select("model_id", F.array("init").alias("toks")), "model_id"), models)
+    slots = task_slots(segments.sparkSession)
+    front = segments.groupBy(*SESSION).agg(F.max("segment").alias("last")).join(
+        models.select("model_id", F.array("init").alias("toks")), "model_id")
+    front = cut_lineage(front)
+    guesses = front.count() < slots
+    done, width = 0, max(1, (FIRST_STRETCH if guesses else LAST_STRETCH) // size)
+    parts = []
     while True:
-        linked = cut_lineage(_link(runs))
-        open_sessions = linked.groupBy(*SESSION).agg(
-            F.min(F.when(~F.col("fits"), F.col("segment"))).alias("misfit"),
-            F.min(F.when(F.col("exploded"), F.col("segment"))).alias("boom"))
-        # what follows a settled explosion is of no account
-        if open_sessions.where("misfit <= coalesce(boom, misfit)").isEmpty():
+        stretch = segments.where(F.col("segment").between(done, done + width - 1)).join(front, SESSION)
+        if guesses:
+            guessed = _run(stretch.where(F.col("segment") > done), models)
+            guess = F.struct("toks", "toks_out", "orgs", "misses", "low", "exploded").cast(GUESS).alias("guess")
+            stretch = stretch.join(guessed.select(*SESSION, "segment", guess), [*SESSION, "segment"], "left")
+        else:
+            stretch = stretch.withColumn("guess", F.lit(None).cast(GUESS))
+        relayed = cut_lineage(_relay(stretch, models, slots))
+        parts.append(relayed.select(*SESSION, F.inline("out")))
+        done += width
+        going = ~F.col("exploded") & (F.col("last") >= done)
+        open_sessions, held, tried = relayed.agg(
+            F.count_if(going), F.sum(F.size(F.filter("out", lambda o: o["held"]))), F.sum(F.size("out") - 1)).first()
+        if not open_sessions:
             break
-        again = linked.where("not fits").select(*SESSION, "segment", F.col("next_toks").alias("toks"))
-        rerun = _run(segments.join(again, [*SESSION, "segment"]), models)
-        runs = runs.join(again.select(*SESSION, "segment"), [*SESSION, "segment"], "left_anti").unionByName(rerun)
-        runs = cut_lineage(runs)
-    shifted = F.zip_with(F.col("toks_out")[0], F.col("shift"), lambda n, d: n + d)
-    return runs.select(RUN), linked.select(*SESSION, "segment", shifted.alias("tok"), "exploded")
+        front = relayed.where(going).select(*SESSION, "last", "toks")
+        guesses = guesses and 2 * held >= tried
+        width = max(1, (min(4 * width * size, LAST_STRETCH) if guesses else LAST_STRETCH) // size)
+    runs = union_all(parts)
+    return runs.select(RUN), runs.select(*SESSION, "segment", F.col("toks_out")[0].alias("tok"), "exploded")
+
+
+def _relay(stretch: DataFrame, models: DataFrame, slots: int) -> DataFrame:
+    """Fold the segments of each session in order, from the markings in ``toks``: ``out`` holds a run for each segment."""
+    ordered = F.sort_array(F.collect_list(F.struct("segment", "labels", "guess")))  # LAST_STRETCH events at the most
+    rows = (
+        stretch.repartition(CHUNKS_PER_SLOT * slots, *SESSION)  # few sessions seldom meet in one task
+        .groupBy(*SESSION).agg(ordered.alias("stretch"), F.first("toks").alias("toks"), F.first("last").alias("last"))
+        .join(models, "model_id")
+    )
+    start = F.struct("toks", F.lit(False).alias("exploded"), F.array().cast(f"array<{RELAYED}>").alias("out")).cast(RELAY)
+    end = F.aggregate("stretch", start, _relay_step)
+    return rows.withColumn("end", end).select(*SESSION, "last", "end.*")
+
+
+def _relay_step(state: Column, part: Column) -> Column:
+    """The run of a segment, from its guess if that holds for the markings before it."""
+    guess = part["guess"]
+    gaps = F.zip_with(state["toks"], guess["toks"], lambda a, b: F.zip_with(a, b, lambda x, y: x - y))
+    same_size = F.coalesce(F.size(state["toks"]) == F.size(guess["toks"]), F.lit(False))
+    shift = F.when(same_size, bind(F.array_distinct(gaps), lambda g: F.when(F.size(g) == 1, g[0])))
+
+    def next_state(shift: Column) -> Column:
+        # places found empty are not shifted, and places found filled stay filled
+        holds = F.forall(F.zip_with(shift, guess["low"], lambda d, low: (
+            (low == NEVER_TESTED) | ((low == 0) & (d == 0)) | ((low > 0) & (d + low > 0)))), lambda x: x)
+        moved = F.transform(guess["toks_out"], lambda tok: F.zip_with(tok, shift, lambda n, d: n + d))
+        taken = F.struct(part["segment"], moved, guess["orgs"], guess["misses"], guess["exploded"], F.lit(True)).cast(RELAYED)
+        fold = F.aggregate(part["labels"], _opening(state["toks"]), lambda s, label: _step(s, label, False))
+        folded = bind(fold, lambda s: F.struct(
+            part["segment"], s["buf"]["tok"], s["buf"]["org"], s["buf"]["miss"], s["exploded"], F.lit(False)).cast(RELAYED))
+        run = F.when(F.coalesce(holds, F.lit(False)), taken).otherwise(folded)
+        return bind(run, lambda r: F.struct(r["toks_out"], r["exploded"], F.concat(state["out"], F.array(r))).cast(RELAY))
+    return F.when(state["exploded"], state).otherwise(bind(shift, next_state))
 
 
 def _run(starts: DataFrame, models: DataFrame, watch: bool = True) -> DataFrame:
@@ -371,64 +425,9 @@ def _run(starts: DataFrame, models: DataFrame, watch: bool = True) -> DataFrame:
     """
     spread = starts.repartition(task_slots(starts.sparkSession), *SESSION, "segment")
     folded = fold_segment(spread.join(models, "model_id"), watch)
-    of_first = F.transform(missing_codes(F.col("state.buf")[0]["miss"]), lambda m: m % F.size("init"))
-    made_up = F.transform("init", lambda _, place: F.size(F.filter("lost", lambda p: p == place)))
-    return cut_lineage(folded.withColumn("lost", of_first).select(
+    return cut_lineage(folded.select(
         *SESSION, "segment", "toks", F.col("state.buf.tok").alias("toks_out"), F.col("state.buf.org").alias("orgs"),
-        F.col("state.buf.miss").alias("misses"), F.col("state.low").alias("low"), made_up.alias("made_up"),
-        F.col("state.exploded").alias("exploded")))
-
-
-def _link(runs: DataFrame) -> DataFrame:
-    """Compare the start each segment ran from with the end of the segment before it.
-
-    Adds ``shift``, the tokens per place by which the true start differs from that of the
-    run; ``fits``, whether the run holds for the true start; and ``next_toks``, the start to
-    run from otherwise. A run holds if all markings are shifted alike, places found empty
-    are not shifted, and places found filled stay filled.
-
-    A shift d at the start of a segment is carried to its end as max(d - made up, -spare):
-    tokens that were made up use up a surplus, and no shortage exceeds what was spare. For
-    runs that hold that is d itself; for others it is a good guess at what to run from.
-    """
-    key = [*SESSION, "segment"]
-    ends = runs.select(*SESSION, (F.col("segment") + 1).alias("segment"), F.col("toks_out").alias("before"))
-    minus = lambda a, b: F.zip_with(a, b, lambda x, y: x - y)
-    same_size = F.size("before") == F.size("toks")
-    linked = (
-        runs.join(ends, key, "left")
-        .withColumn("before", F.coalesce("before", "toks"))
-        .withColumn("gaps", F.when(same_size, F.zip_with("before", "toks", minus)))
-        .withColumn("alike", F.coalesce(F.size(F.array_distinct("gaps")) == 1, F.lit(False)))
-        .withColumn("gap", F.when(F.col("alike"), F.col("gaps")[0]).otherwise(minus(F.col("before")[0], F.col("toks")[0])))
-    )
-    # running sums and maxima over the segments of a session: a row of numbers per segment and place
-    in_order = Window.partitionBy(*SESSION, "place").orderBy("segment")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    spare = F.when(F.col("low") == NEVER_TESTED, F.col("low")).otherwise(F.greatest(F.lit(0), F.col("low") - 1))
-    total = F.sum("gap").over(so_far) - F.coalesce(F.sum("made_up").over(before), F.lit(0))
-    floor = F.coalesce(F.max(F.col("made_up") - F.col("spare") - F.col("total")).over(before), F.lit(0))
-    holds = (
-        (F.col("low") == NEVER_TESTED)
-        | ((F.col("low") == 0) & (F.col("shift") == 0))
-        | ((F.col("low") > 0) & (F.col("shift") + F.col("low") > 0))
-    )
-    shifts = (
-        linked.select(*key, F.posexplode(F.arrays_zip("gap", "low", "made_up")).alias("place", "z"))
-        .select(*key, "place", "z.*")
-        .withColumns({"spare": spare.cast("bigint"), "total": total})
-        .withColumn("shift", (F.col("total") + F.greatest(F.lit(0), floor)).cast("int"))
-        .groupBy(*key).agg(F.bool_and(holds).alias("holds"),
-                           F.sort_array(F.collect_list(F.struct("place", "shift")))["shift"].alias("shift"))
-    )
-    return (
-        linked.join(shifts, key)
-        .withColumn("carried", minus(F.col("shift"), F.col("gap")))
-        .withColumn("next_toks", F.transform("before", lambda tok: F.zip_with(
-            tok, "carried", lambda n, d: F.greatest(F.lit(0), n + d))))
-        .select(*key, "toks_out", "exploded", "shift", "next_toks", (F.col("alike") & F.col("holds")).alias("fits"))
-    )
+        F.col("state.buf.miss").alias("misses"), F.col("state.low").alias("low"), F.col("state.exploded").alias("exploded")))
 
 
 def _pick_winners(runs: DataFrame, size: int) -> DataFrame:
