@@ -115,3 +115,12 @@ def test_chunks_do_not_grow_with_small_hot_limits(spark):
     chunks = hot.select("chunk").distinct().count()
     assert 2 <= chunks <= S.CHUNKS_PER_SLOT * task_slots(spark)
     assert hot.where("pos != ts").isEmpty() and hot.count() == 40_000
+
+
+def test_tasks_grow_with_the_log(spark, monkeypatch):
+    """Merged by the bytes of the bare log, a task would hold more rows the larger the log is."""
+    monkeypatch.setattr(S, "TASK_ROWS", 100)
+    log = spark.range(2000).select((F.col("id") % 50).cast("string").alias("case_id"), F.col("id").alias("ts"), F.lit("e").alias("event"))
+    rows = S.order_events(log).pieces[0].rows
+    assert rows.rdd.getNumPartitions() == 20
+    assert rows.groupBy("case_id").agg(F.max("pos").alias("p")).where("p != 39").isEmpty() and rows.count() == 2000

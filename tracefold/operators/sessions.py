@@ -23,6 +23,8 @@ from tracefold.local import local_table
 # A case is split once it holds more rows than a task's fair share, never below this.
 SMALLEST_HOT_CASE = 100_000
 CHUNKS_PER_SLOT = 4
+# Rows a task orders, replays and holds: the partitions of a larger log grow with it.
+TASK_ROWS = 100_000
 # Events per row wherever sessions are shown or folded as arrays.
 SEGMENT_EVENTS = 2048
 
@@ -63,6 +65,7 @@ class Sessions:
 
     pieces: tuple[Piece, ...]
     longest: int
+    total: int = 0
 
     @property
     def keys(self) -> tuple[str, ...]:
@@ -117,11 +120,22 @@ def order_events(log: DataFrame, hot_rows: int | None = None, sizes: CaseSizes |
     log = log.where(is_complete_record())
     sizes = sizes or measure_cases(log, hot_rows)
     if not sizes.hot:
-        return Sessions((_order_within_task(log),), sizes.largest)
+        return Sessions((_order_within_task(_spread(log, sizes)),), sizes.largest, sizes.total)
     hot = F.broadcast(local_table(log.sparkSession, [(c,) for c in sizes.hot], "case_id string"))
-    whole = _order_within_task(log.join(hot, "case_id", "left_anti"))
+    whole = _order_within_task(_spread(log.join(hot, "case_id", "left_anti"), sizes))
     split = _order_across_tasks(log.join(hot, "case_id", "left_semi"), sizes)
-    return Sessions((whole, split), sizes.largest)
+    return Sessions((whole, split), sizes.largest, sizes.total)
+
+
+def _spread(log: DataFrame, sizes: CaseSizes) -> DataFrame:
+    """A large log dealt by case to as many tasks as its rows ask for.
+
+    Left alone, partitions are merged by the bytes of the bare log, and what a row becomes in a task, once for every run and
+    place, is many times that.
+    """
+    if sizes.total <= TASK_ROWS:
+        return log
+    return log.repartition(max(task_slots(log.sparkSession), -(-sizes.total // TASK_ROWS)), "case_id")
 
 
 def neighbours(in_order) -> dict[str, Column]:
