@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracefold.cluster import shared_path
+from tracefold.cluster import shared_path, task_slots
 from tracefold.demo import FIRST_EVENTS, LAST_EVENTS, NETS
 from tracefold.local import local_table, nets_from_rows
 from tracefold.operators import edits as E
@@ -22,6 +22,8 @@ from tracefold.sources.delimited import join_line, read_delimited, split_line
 from tracefold.sources.pnml import read_models
 
 AS_OF = "2024-02-01"
+# a row becomes places, transitions and arcs with names
+LINES_PER_TASK = 200_000
 RAW_FIELDS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
@@ -107,6 +109,10 @@ def order_models(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("l_suppkey") % 10).cast("int").alias("supp"), (F.col("l_partkey") % 10).cast("int").alias("part"),
             F.when(F.col("l_tax") == 0, "s").otherwise("p").alias("kind"), (F.col("l_returnflag") == "R").cast("int").alias("marked"),
             (F.col("l_linestatus") == "O").alias("in"), (F.col("l_discount") > 0.02).alias("out")).alias("l"))
+    # dealt by order to as many tasks as there are rows for: merged by the bytes of the lines, tasks would hold too many models
+    n_lines = lines.count()
+    if n_lines > LINES_PER_TASK:
+        lines = lines.repartition(max(task_slots(spark), -(-n_lines // LINES_PER_TASK)), "model_id")
     # the lines of an order: a few rows of numbers
     orders = lines.groupBy("model_id").agg(F.sort_array(F.collect_list("l")).alias("ls"))
     first_of = lambda rows, key: F.filter(rows, lambda r, k: (k == 0) | (F.get(rows, k - 1)[key] != r[key]))
