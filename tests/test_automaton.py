@@ -124,3 +124,19 @@ def test_starts_left_out_after_an_explosion(spark):
     made = automaton.Automaton(2, [((1,),), ((2,),)], {(0, 0): 1, (0, 1): 0, (1, 0): 0, (1, 1): automaton.EXPLODED})
     rows = automaton.start_states(segments, {"m": made}, ["model_id", "case_id"], 4).orderBy("segment").collect()
     assert [(r.segment, r.toks) for r in rows] == [(0, [[1]])]
+
+
+def test_sessions_that_explode_need_no_markings(spark, monkeypatch):
+    """The automaton says so for sessions of one segment of a large log."""
+    logs = {"a": ["view"] * 13 + ["click"], "b": ["view", "click"] * 12, "c": ["signup"] * 3 + ["fly"], "d": ["view"] * 20 + ["fly"]}
+    wanted = {case: replay(net_of("explode"), log, ["p1"]) for case, log in logs.items()}
+    assert [w[0] for w in wanted.values()] == ["path_explosion", "ok", "unknown_event", "path_explosion"]
+    monkeypatch.setattr(replay_fold, "COMPILE_FROM", 0)
+    folded, real = [], replay_fold.fold_segment
+    monkeypatch.setattr(replay_fold, "fold_segment", lambda rows, *a: folded.append(rows) or real(rows, *a))
+    nets = nets_from_rows(spark, DEMO)
+    assert outcomes(check_logs(sessions_of(spark, logs), nets, [Run("explode", expected_final=("p1",))])) == wanted
+    assert {r.case_id: len(r.labels) for r in folded[-1].select("case_id", "labels").collect()} == {"a": 0, "b": 24, "c": 3, "d": 0}
+    chosen = [Run("explode", expected_final=("p1",)), Run("shop_amb")]  # with and without an automaton, equal sessions once
+    found = check_logs(sessions_of(spark, logs), nets, chosen, share_variants=True).where("model_id = 'explode'")
+    assert outcomes(found) == wanted

@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracefold.cluster import cut_lineage, task_slots
+from tracefold.local import local_table
 from tracefold.operators.context import TEXTS, with_texts
-from tracefold.operators.automaton import Automaton, compile_automata, start_states
+from tracefold.operators.automaton import EXPLODED, Automaton, compile_automata, start_states
 from tracefold.operators.models import Nets, transition_arcs
 from tracefold.operators.prefix_tree import fold_tree
 from tracefold.operators.sessions import CHUNKS_PER_SLOT, SEGMENT_EVENTS, Piece, Sessions, union_all, with_session_values
 from tracefold.schemas import STATUS_OK, STATUS_PATH_EXPLOSION, STATUS_UNKNOWN_EVENT
 
 PATH_LIMIT = 100
+# events from which it pays to compile the nets for sessions of one segment too
+COMPILE_FROM = 200_000
 SESSION = ["model_id", "case_id"]
 
 # A marking: tokens per place, the marking of the segment start it came from, how many
@@ -237,6 +240,8 @@ def replay_fold(sessions: Sessions, nets: Nets, expected: DataFrame, join,
     if share_prefixes:
         models = F.broadcast(cut_lineage(models))
     shares = share_variants or share_prefixes
+    if sessions.total > COMPILE_FROM and not share_prefixes:
+        models = _with_tables(models)
     folded = _fold_variants(short, models, share_prefixes) if shares else _fold_first(short.join(models, "model_id"))
     if context:
         folded = folded.withColumn("around", F.transform("miss", lambda code: F.get("around", F.floor(code / F.size("names")).cast("int"))))
@@ -247,8 +252,24 @@ def replay_fold(sessions: Sessions, nets: Nets, expected: DataFrame, join,
     return _finish(folded.select(columns).unionByName(longer.select(columns)))
 
 
+def _with_tables(models: DataFrame) -> DataFrame:
+    """Models with the table of their automaton: ``after``, null where there is none."""
+    models = F.broadcast(cut_lineage(models))
+    rows = [(m, a.table(), a.labels) for m, a in compile_automata(models, fold_segment).items()]
+    return F.broadcast(cut_lineage(models.join(F.broadcast(local_table(models.sparkSession, rows, "model_id string, after array<int>, n_labels int")), "model_id", "left")))
+
+
 def _fold_first(rows: DataFrame) -> DataFrame:
-    return _outcome(fold_segment(rows.withColumn("toks", F.array("init"))))
+    """Fold sessions of one segment. An automaton tells, a number an event, which of them explode; these need no markings."""
+    opened = rows.withColumn("toks", F.array("init"))
+    if "after" not in rows.columns:
+        return _outcome(fold_segment(opened))
+    last = F.aggregate("labels", F.lit(0), lambda s, label: F.when(s == EXPLODED, s).otherwise(F.get("after", s * F.col("n_labels") + label)))
+    explodes = F.col("after").isNotNull() & (last == EXPLODED)
+    given = opened.withColumn("explodes", explodes).withColumn("all_labels", F.col("labels"))
+    folded = fold_segment(given.withColumn("labels", F.when(F.col("explodes"), F.array().cast("array<int>")).otherwise(F.col("all_labels"))))
+    result = _outcome(folded)
+    return result.withColumns({"exploded": F.col("exploded") | F.col("explodes"), "labels": F.col("all_labels")}).drop("all_labels", "explodes")
 
 
 def _outcome(folded: DataFrame) -> DataFrame:
@@ -316,25 +337,28 @@ def ledger_fold(sessions: Sessions, nets: Nets, expected: DataFrame, join, size:
     models = F.broadcast(models)
     segments = label_segments(sessions, labels, size, join)
     folded = _fold_first(segments.where(F.col("n") <= size).join(models, "model_id"))
-    columns = [*SESSION, "n", "unknown", "names", "final", "tok", "exploded"]
-    ends, missing = folded.select(columns), folded.select(*SESSION, "names", "miss", "exploded", "unknown")
+    columns = [*SESSION, "n", "unknown", "names", "final", "tok", "miss", "exploded"]
+    parts = [_ledger_rows(_finish(folded))]
     if sessions.longest > size:
-        long_ends, long_missing, _ = _fold_long(segments.where(F.col("n") > size), models, size, sessions.longest)
-        ends = ends.unionByName(long_ends.select(columns))
-        whole = long_ends.select(*SESSION, "names", "exploded", "unknown")
-        missing = missing.unionByName(long_missing.join(whole, SESSION).select(*missing.columns))
-    # what is missing at the end is found by _finish, which notes it after what was missing before
-    none = F.array().cast("array<bigint>")
-    closed = _finish(ends.withColumn("miss", none)).where(F.col("status") == STATUS_OK)
-    at_end = closed.select(*SESSION, F.lit("missing").alias("kind"), F.col("session_length").alias("at"), F.explode("missing_tokens").alias("place_id"))
-    left = closed.select(*SESSION, F.lit("left").alias("kind"), F.col("session_length").alias("at"), F.explode("unconsumed_tokens").alias("place_id"))
-    on_the_way = (
-        missing.where(~F.col("exploded") & F.col("unknown").isNull())
-        .select(*SESSION, F.size("names").alias("width"), "names", F.explode("miss").alias("code"))
-        .select(*SESSION, F.lit("missing").alias("kind"), F.expr("code div width").alias("at"), F.get("names", (F.col("code") % F.col("width")).cast("int")).alias("place_id"))
-    )
-    rows = on_the_way.unionByName(at_end).unionByName(left)
-    return rows.groupBy(*SESSION, "kind", "at", "place_id").agg(F.count(F.lit(1)).alias("tokens"))
+        ends, missing, _ = _fold_long(segments.where(F.col("n") > size), models, size, sessions.longest)
+        # what is missing at the end is found by _finish
+        parts.append(_ledger_rows(_finish(ends.withColumn("miss", F.array().cast("array<bigint>")).select(columns))))
+        whole = ends.where(~F.col("exploded") & F.col("unknown").isNull()).select(*SESSION, "names")
+        parts.append(
+            missing.join(whole, SESSION).select(*SESSION, F.size("names").alias("width"), "names", F.explode("miss").alias("code"))
+            .select(*SESSION, F.lit("missing").alias("kind"), F.expr("code div width").alias("at"),
+                    F.get("names", (F.col("code") % F.col("width")).cast("int")).alias("place_id")))
+    # parts share no (kind, at) of a session, so each is counted where its sessions are
+    return union_all(p.groupBy(*SESSION, "kind", "at", "place_id").agg(F.count(F.lit(1)).alias("tokens")) for p in parts)
+
+
+def _ledger_rows(results: DataFrame) -> DataFrame:
+    """Rows for the tokens in the lists of results, from one pass over them; failed checks have none."""
+    row = lambda kind, at, place: F.struct(F.lit(kind).alias("kind"), at.alias("at"), place.alias("place_id"))
+    rows = F.concat(
+        F.zip_with("missing_tokens", "missing_indices", lambda p, at: row("missing", at, p)),
+        F.transform("unconsumed_tokens", lambda p: row("left", F.col("session_length"), p)))
+    return results.where(F.col("status") == STATUS_OK).select(*SESSION, F.inline(rows))
 
 
 RUN = [*SESSION, "segment", "toks_out", "orgs", "misses"]
