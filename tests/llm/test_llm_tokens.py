@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from cases import documents, mixed_rows
@@ -78,6 +79,38 @@ def test_frequent_parts_are_encoded_once():
     assert encoder.encoded == 101  # and not 200
 
 
+def test_each_distinct_part_of_a_block_is_looked_up_once(monkeypatch):
+    encoder, asked, lookup = T.CachedEncoder(BYTES), [], T.CachedEncoder.lookup
+    monkeypatch.setattr(encoder, "lookup", lambda parts: asked.extend(parts) or lookup(encoder, parts))
+    ids_of(encoder, ["the the the", None, "", "the the"] * 50)
+    assert sorted(asked) == [" the", "the"]
+
+
+def test_plain_parts_need_no_rules_of_the_tokenizer(monkeypatch):
+    tokenizer, encoder = Tokenizer.from_file(BYTES), T.CachedEncoder(BYTES)
+    text = "A (small) house, été 漢字。 no. 12a: a--b;x"
+    monkeypatch.setattr(encoder, "encode_odd", lambda parts: pytest.fail(f"{parts}"))
+    assert ids_of(encoder, [text]) == [tokenizer.encode(text, add_special_tokens=False).ids]
+
+
+def test_random_characters_are_encoded_as_by_the_tokenizer():
+    rng, tokenizer, encoder = random.Random(7), Tokenizer.from_file(BYTES), T.CachedEncoder(BYTES)
+    some = [*map(chr, range(0x250)), *(chr(c) for c in range(0x2000, 0x2070)), *" \n'.,a1<|þÿ" * 40]
+    anywhere = lambda: chr(rng.choice([rng.randrange(0xD800), rng.randrange(0xE000, 0x110000)]))
+    texts = ["".join(rng.choice(some) if rng.random() < 0.8 else anywhere() for _ in range(rng.randrange(60))) for _ in range(2000)]
+    texts.append("".join(rng.choice("abc") for _ in range(20_000)))
+    assert ids_of(encoder, texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_texts_are_cut_before_white_space():
+    texts = [*odd_texts(), "\u3000a\u2003 b\xa0c\u2028", "“a” \u200b\u205f\x85x\x1c y"]
+    for kind in (pa.string(), pa.large_string()):
+        content, ends = T.content_of(pa.array(["left out", *texts, None], kind)[1:])
+        starts = T.part_starts(content, ends).tolist()
+        parts = [bytes(content[a:z]).decode() for a, z in zip(starts, [*starts[1:], len(content)])]
+        assert parts == [part for t in texts for part in T.PART.findall(t)]
+
+
 def test_plain_special_strings():
     tokenizer = Tokenizer.from_file(BYTES)
     tokenizer.encode_special_tokens = True

@@ -6,7 +6,8 @@ lengths, then blocks of whole documents that can be decoded on their own. A bloc
 and the bit offset of every 64th id, so that decoding starts at all of them at once.
 
 Texts are encoded in parts: no token of a byte-level vocabulary has a white space after another
-character, so a text is cut before every run of white space. Each distinct part is encoded once.
+character, so a text is cut before every run of white space. Arrow numbers the distinct parts of a
+block of texts; only these are looked up in a worker's cache, and those that it lacks are encoded.
 
 Defined cases: a null or empty text has only the end id. A null document id comes first. Rows with
 the same id follow each other in the order of their texts' hashes. No documents give no files.
@@ -24,37 +25,56 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracefold.cluster import cut_lineage
-from tracefold.llm.common import PartCache, blocks_of, shuffle_partitions
+from tracefold.llm.common import PartCache, blocks_of, shuffle_partitions, take_lists
 from tracefold.llm.huffman import Code, code_lengths
 
 # \x1c-\x1f are white space for Python only
 PART = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
+WHITE = [chr(c).encode() for c in range(0x3001) if PART.fullmatch(chr(c) + " ")]
+ASCII_WHITE = np.isin(np.arange(256), [c[0] for c in WHITE if len(c) == 1])
+#: What follows the first byte of the other white space.
+WHITE_TAILS = {lead: [c[1:] for c in WHITE if c[0] == lead] for lead in sorted({c[0] for c in WHITE if len(c) > 1})}
 MAGIC, HEAD, BLOCK = b"THUF1", "<IQI", "<QII"
 BLOCK_IDS = 1 << 16
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 
 
 class CachedEncoder(PartCache):
     """Ids of texts as little-endian unsigned 32-bit numbers; ``plain``: special strings in a text are ordinary text.
 
-    Many parts go through the tokenizer in one call, with a special token between them, which cuts a text before all
-    other rules.
+    Plain parts of byte-level vocabularies go to the tokenizer's model. Many others go through the tokenizer in one call,
+    with a special token between them, which cuts a text before all other rules.
     """
 
     def __init__(self, tokenizer_file: str, held: int = 800_000, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        from tracefold.llm.byte_parts import ByteParts
+
         super().__init__(held)
         self.tokenizer, self.plain = Tokenizer.from_file(tokenizer_file), plain
         special = [(k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
         self.cut_id, self.cut = special[0] if special else (None, None)
+        self.byte_parts = ByteParts(self.tokenizer) if ByteParts.fits(self.tokenizer) else None
 
     def encode_parts(self, parts: list[str]) -> list[bytes]:
+        if not self.byte_parts or not parts:
+            return self.encode_odd(parts)
+        plain, ids = self.byte_parts.encode(parts)
+        odd = [part for part, taken in zip(parts, plain.tolist()) if not taken]
+        if not odd:
+            return ids
+        by_kind = iter(ids), iter(self.encode_odd(odd))
+        return [next(by_kind[not taken]) for taken in plain.tolist()]
+
+    def encode_odd(self, parts: list[str]) -> list[bytes]:
+        """By all rules of the tokenizer."""
         alone = [k for k, part in enumerate(parts) if self.cut is None or self.cut[0] in part]
         apart = set(alone)
         together = [k for k in range(len(parts)) if k not in apart]
@@ -74,7 +94,52 @@ class CachedEncoder(PartCache):
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        return self.join([PART.findall(t) if t else [] for t in texts])
+        ids, upto = self.ids_of(pa.array(texts, pa.string()))
+        content, ends = ids.tobytes(), (upto * 4).tolist()
+        return [content[a:z] for a, z in zip([0, *ends], ends)]
+
+    def ids_of(self, texts: pa.Array, last: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, ``last`` behind each, one after the other, and where each text's ids end."""
+        content, ends = content_of(texts)
+        starts = part_starts(content, ends)
+        offsets = np.append(starts, len(content)).astype(np.int32)
+        parts = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(content)).dictionary_encode()
+        found = self.lookup(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+        values = np.append(np.frombuffer(b"".join(found), "<u4"), np.array(last, "<u4"))
+        value_ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4
+        # one more part ends every text
+        upto = np.searchsorted(starts, ends)
+        which = np.insert(parts.indices.to_numpy(), upto, len(found))
+        return take_lists(values, np.append(value_ends, len(values)), which, upto + np.arange(1, len(upto) + 1))
+
+
+def content_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts one after the other, and where each text ends; null is empty."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, ends, content = texts.buffers()
+    if not len(texts) or content is None:
+        return np.zeros(0, np.uint8), np.zeros(len(texts), np.int64)
+    ends = np.frombuffer(ends, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    return np.frombuffer(content, np.uint8)[ends[0]:ends[-1]], ends[1:] - ends[0]
+
+
+def part_starts(content: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where the parts of texts start: the same as PART finds in each."""
+    white = ASCII_WHITE[content]
+    for lead, following in WHITE_TAILS.items():
+        places = np.flatnonzero(content == lead)
+        # a lead byte has its whole character behind it
+        for tail in following if len(places) else ():
+            here = places
+            for k, byte in enumerate(tail, 1):
+                here = here[content[here + k] == byte]
+            for k in range(len(tail) + 1):
+                white[here + k] = True
+    cut = white.copy()
+    cut[1:] &= ~white[:-1]
+    starts = np.append(0, ends[:-1])[np.diff(ends, prepend=0) > 0]
+    cut[starts] = True
+    return np.flatnonzero(cut)
 
 
 @lru_cache(maxsize=1)
@@ -90,12 +155,13 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, key: str = "doc_id",
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = encoder_of(tokenizer_file), np.array([end_id], "<u4").tobytes()
+        encoder, size = encoder_of(tokenizer_file), np.dtype(width).itemsize
         for batch in batches:
             for a, z in blocks_of(batch["text"], BLOCK_BYTES):
-                found = encoder.encode(batch["text"].slice(a, z - a).to_pylist())
-                ids = [np.frombuffer(f + end, "<u4").astype(width).tobytes() for f in found]
-                yield pa.RecordBatch.from_arrays([*(batch[c].slice(a, z - a) for c in ("part", "doc_id")), pa.array(ids, pa.binary())], ["part", "doc_id", "ids"])
+                ids, upto = encoder.ids_of(batch["text"].slice(a, z - a), (end_id,))
+                offsets = pa.py_buffer(np.append(0, upto * size).astype(np.int32))
+                rows = pa.Array.from_buffers(pa.binary(), z - a, [None, offsets, pa.py_buffer(ids.astype(width))])
+                yield pa.RecordBatch.from_arrays([*(batch[c].slice(a, z - a) for c in ("part", "doc_id")), rows], ["part", "doc_id", "ids"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("version"))
     ordered = rows.repartitionByRange(shuffle_partitions(spark), "doc_id", "version").sortWithinPartitions("doc_id", "version")
